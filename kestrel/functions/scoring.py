@@ -76,5 +76,5 @@ def score_sql(value: str, buckets, strict: bool = False) -> str:
         else:
             nxt = ordered[i + 1][0] if i + 1 < len(ordered) else None
             cond = "TRUE" if nxt is None else f"{value} < {nxt}"
-        parts.append(f"WHEN {cond} THEN {s}")
+        parts.append(f"WHEN {cond} THEN CAST({s} AS DOUBLE)")
     return f"CASE WHEN {value} IS NULL THEN NULL {' '.join(parts)} END"

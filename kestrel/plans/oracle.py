@@ -256,4 +256,22 @@ ORACLE = {
             FROM sc JOIN customer c ON sc.userId = c.c_custkey GROUP BY 1)
       SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY s DESC, c_mktsegment) - 1 AS INTEGER) AS rank
       FROM j""",
+    "minmax_scale": """
+      WITH b AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer)
+      SELECT c_custkey, round((c_acctbal - (SELECT lo FROM b)) / ((SELECT hi FROM b) - (SELECT lo FROM b)), 9)
+             AS acctbal_scaled FROM customer""",
+    "standard_scale": """
+      SELECT c_custkey, round(c_acctbal / (SELECT stddev_samp(c_acctbal) FROM customer), 9) AS acctbal_std
+      FROM customer""",
+    "string_index": """
+      WITH f AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1),
+      r AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY n DESC, c_mktsegment) - 1 AS DOUBLE) AS seg_index FROM f)
+      SELECT c.c_custkey, r.seg_index FROM customer c JOIN r ON c.c_mktsegment = r.c_mktsegment""",
+    "one_hot": """
+      WITH f AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1),
+      r AS (SELECT c_mktsegment, row_number() OVER (ORDER BY n DESC, c_mktsegment) - 1 AS idx FROM f)
+      SELECT c.c_custkey,
+             array_to_string(list_transform(range((SELECT count(*) FROM f)),
+                                            lambda i: CASE WHEN i = r.idx THEN '1' ELSE '0' END), ',') AS seg_onehot
+      FROM customer c JOIN r ON c.c_mktsegment = r.c_mktsegment""",
 }
