@@ -189,9 +189,12 @@ def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter
             m = kmeans(data, k, max_iter=max_iter, seed=seed, features=features, distance=distance)
             pred = m.transform(data)
             ev = "cosine" if distance == "cosine" else "squaredEuclidean"
-            out.append({"k": k, "cost": float(m.summary.trainingCost),
-                        "silhouette": float(silhouette(pred, features, ev)),
-                        "sizes": list(m.summary.clusterSizes)})
+            sizes = list(m.summary.clusterSizes)
+            # silhouette is undefined with a single non-empty cluster
+            sil = (float(silhouette(pred, features, ev)) if sum(1 for n in sizes if n > 0) > 1
+                   else float("nan"))
+            out.append({"k": k, "cost": float(m.summary.trainingCost), "silhouette": sil,
+                        "sizes": sizes})
     finally:
         data.unpersist()
     return out
