@@ -45,9 +45,11 @@ def range_table(tags: DataFrame) -> DataFrame:
 
 def rule_match(biz: DataFrame, field: str, tags: DataFrame, *, key: str = "id",
                out: str | None = None, on_unmatched: str = "drop",
-               max_rules: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rules: int = MAX_BROADCAST_ROWS, keep: list[str] = ()) -> DataFrame:
     """``(userId, out)``: the attribute tag whose rule equals ``biz[field]``.
 
+    Columns listed in ``keep`` are carried through from ``biz``.
+
     ``on_unmatched``: ``drop`` removes users whose value has no rule (inner
     join), ``null`` keeps them with a null tag, ``error`` fails the job at the
     first such row (``raise_error``, evaluated on the executors).
@@ -56,7 +58,7 @@ def rule_match(biz: DataFrame, field: str, tags: DataFrame, *, key: str = "id",
         raise ValueError(f"on_unmatched must be one of {ON_UNMATCHED}")
     out = out or field
     rules = checked_broadcast(rule_table(tags), max_rules)
-    left = biz.select(F.col(key).alias("userId"),
+    left = biz.select(F.col(key).alias("userId"), *[F.col(c) for c in keep],
                       F.trim(F.col(field).cast("string")).alias("__v"))
     how = "inner" if on_unmatched == "drop" else "left"
     j = left.join(rules, left["__v"] == rules["rule"], how)
@@ -65,7 +67,7 @@ def rule_match(biz: DataFrame, field: str, tags: DataFrame, *, key: str = "id",
         name = F.when(name.isNull() & F.col("__v").isNotNull(),
                       F.raise_error(F.concat(F.lit(f"no attribute tag for {field} = "),
                                              F.col("__v")))).otherwise(name)
-    return j.select("userId", name.alias(out))
+    return j.select("userId", *keep, name.alias(out))
 
 
 def range_match(biz: DataFrame, value, tags_or_ranges: DataFrame, *, key: str = "id",

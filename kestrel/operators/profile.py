@@ -105,6 +105,14 @@ def sync_strings(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def sync_table(df: DataFrame, key: str, store: "ProfileStore | None" = None):
+    """Table sync: string form (see ``sync_strings``) keyed by ``userId``;
+    blanks are null, so the upsert never writes them.  With a ``store`` the
+    rows are upserted and the new version number is returned."""
+    s = sync_strings(df).withColumnRenamed(key.lower(), KEY)
+    return store.save(s) if store is not None else s
+
+
 def to_cells(df: DataFrame, key: str, family: str, include_key: bool = True,
              sort: bool = True, partitions: int | None = None) -> DataFrame:
     """Wide rows -> ``(row_key, family, qualifier, value)``, null or blank cells dropped.
@@ -138,3 +146,14 @@ def cells_to_wide(cells: DataFrame, fields: list[str], key: str = KEY) -> DataFr
     """Long ``(key, field, value)`` -> one column per field (values listed, so no extra pass)."""
     return cells.groupBy(key).pivot("field", fields).agg(F.first("value"))
 
+
+
+def log_lines_to_cells(lines: DataFrame, names: list[str], key: str, family: str,
+                       sep: str = "\t") -> DataFrame:
+    """Log ingest: delimited lines of exactly ``len(names)`` fields -> cells.
+
+    Wrong-width lines are dropped, trailing empty fields kept; the key field
+    becomes the row key and is not stored as a cell.
+    """
+    from kestrel.sources.meta import parse_delimited_lines
+    return to_cells(parse_delimited_lines(lines, names, sep), key, family, include_key=False)

@@ -55,6 +55,15 @@ def bp_als_top5(spark, sf_dir):
     return models.preference_tag(e, user="user_id", item=item, top_n=5)
 
 
+def als_explicit_top5(spark, sf_dir):
+    """Clicks as explicit ratings: split, fit, RMSE on held-out pairs, then
+    the top 5 users of every item."""
+    ratings = shop.click_counts(_t(spark, sf_dir))
+    model, _rmse, umap, imap = models.rating_model(ratings, user="userId", item="productId",
+                                                   rating="clicks")
+    return models.top_users_per_item(model, 5, umap, imap)
+
+
 def _doc_features(spark, sf_dir):
     t = _t(spark, sf_dir)
     d = t.documents.select("doc_id", "n_chars", "lang", "source")
@@ -67,8 +76,10 @@ def _doc_features(spark, sf_dir):
 
 
 def _classify(kind, spark, sf_dir, **params):
+    """Fit on a seeded 80 % split, score every labelled document."""
     data = _doc_features(spark, sf_dir)
-    model = ml.classifier(kind, **params).fit(data)
+    train, _test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
+    model = ml.classifier(kind, **params).fit(train)
     return model.transform(data).select("doc_id", F.col("prediction").alias("prediction"))
 
 
@@ -134,5 +145,6 @@ QUERIES = {
     "string_index": string_index, "one_hot": one_hot,
     "rfm_kmeans": rfm_kmeans, "rfe_kmeans": rfe_kmeans, "psm_kmeans": psm_kmeans,
     "elbow": elbow, "usg_tree": usg_tree, "bp_als_top5": bp_als_top5,
-    "logreg": logreg, "linreg": linreg, "random_forest": random_forest, "gbt": gbt,
+    "als_explicit_top5": als_explicit_top5, "logreg": logreg, "linreg": linreg,
+    "random_forest": random_forest, "gbt": gbt,
 }

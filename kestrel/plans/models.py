@@ -186,6 +186,54 @@ def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str =
     return recommendations_to_strings(grouped)
 
 
+def rating_model(ratings: DataFrame, *, user: str, item: str, rating: str, rank: int = 10,
+                 max_iter: int = 10, reg: float = 0.1, train_ratio: float = 0.8,
+                 seed: int = ml.KMEANS_SEED):
+    """Explicit-rating ALS.
+
+    A seeded train/test split measures the model: predictions for the test
+    pairs are joined to the actual ratings on (user, item) and give the RMSE.
+    The returned model is then refitted on all ratings, so every user and
+    item has factors.  Ids are made 32-bit first (``ml.int_ids``).
+    Returns ``(model, rmse, user_map, item_map)``; a map is None when the ids
+    were used as they are.
+    """
+    data = ratings.select(F.col(user).alias("__user"), F.col(item).alias("__item"),
+                          F.col(rating).cast("float").alias("r"))
+    data, umap = ml.int_ids(data, "__user", "uid")
+    data, imap = ml.int_ids(data, "__item", "iid")
+    data = data.select("uid", "iid", "r")
+    train, test = data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+    est = ml.als(False, user="uid", item="iid", rating="r", rank=rank, max_iter=max_iter,
+                 reg=reg, seed=seed)
+    pred = est.fit(train).transform(test.select("uid", "iid")).withColumnRenamed("prediction", "p")
+    scored = pred.join(test, ["uid", "iid"])
+    err = ml.rmse(scored, label="r", prediction="p") if scored.take(1) else float("nan")
+    return est.fit(data), err, umap, imap
+
+
+def top_users_per_item(model, n: int, user_map: DataFrame | None = None,
+                       item_map: DataFrame | None = None) -> DataFrame:
+    """``(itemId, userIds, ratings)``: the best ``n`` users of every item,
+    with the original ids when maps are given."""
+    recs = model.recommendForAllItems(n)
+    flat = recs.select("iid", F.posexplode("recommendations").alias("pos", "r")).select(
+        "iid", "pos", F.col("r.uid").alias("uid"), F.col("r.rating").alias("rating"))
+    if user_map is not None:
+        flat = flat.join(user_map, "uid").withColumnRenamed("__user", "user")
+    else:
+        flat = flat.withColumn("user", F.col("uid").cast("long"))
+    if item_map is not None:
+        flat = flat.join(item_map, "iid").withColumnRenamed("__item", "itemId")
+    else:
+        flat = flat.withColumn("itemId", F.col("iid").cast("long"))
+    g = flat.groupBy("itemId").agg(F.sort_array(F.collect_list(
+        F.struct("pos", F.col("user").cast("string").alias("u"),
+                 F.round("rating", 4).cast("string").alias("x")))).alias("l"))
+    return g.select("itemId", F.concat_ws(",", F.col("l.u")).alias("userIds"),
+                    F.concat_ws(",", F.col("l.x")).alias("ratings"))
+
+
 # --------------------------------------------------------------- template
 
 def run_tag_model(spark: SparkSession, catalog: DataFrame, tag_id: int, compute, *,

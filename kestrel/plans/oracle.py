@@ -274,4 +274,24 @@ ORACLE = {
              array_to_string(list_transform(range((SELECT count(*) FROM f)),
                                             lambda i: CASE WHEN i = r.idx THEN '1' ELSE '0' END), ',') AS seg_onehot
       FROM customer c JOIN r ON c.c_mktsegment = r.c_mktsegment""",
+    "log_cells": """
+      WITH lines AS (
+        SELECT concat_ws(chr(9), CAST(event_id AS VARCHAR), CAST(epoch_us(ts) AS VARCHAR),
+                         CAST(user_id AS VARCHAR), event_type, CAST(value AS VARCHAR), props) AS line
+        FROM events
+        UNION ALL
+        SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+      t AS (SELECT string_split(line, chr(9)) AS tok FROM lines),
+      w AS (SELECT tok FROM t WHERE len(tok) = 6),
+      c AS (
+        SELECT tok[1] AS row_key, 'ts' AS qualifier, tok[2] AS value FROM w
+        UNION ALL SELECT tok[1], 'user_id', tok[3] FROM w
+        UNION ALL SELECT tok[1], 'event_type', tok[4] FROM w
+        UNION ALL SELECT tok[1], 'value', tok[5] FROM w
+        UNION ALL SELECT tok[1], 'props', tok[6] FROM w)
+      SELECT row_key, 'detail' AS family, qualifier, value FROM c
+      WHERE length(trim(value)) > 0""",
+    "sql_group_order": """
+      SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 2) AS avg_bal
+      FROM customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""",
 }

@@ -28,6 +28,7 @@ from kestrel.functions.dates import relative_window
 from kestrel.functions.text import date_to_int, extract_or_null
 from kestrel.operators import catalog as cat
 from kestrel.operators import cleanup, match, measures, profile
+from kestrel.operators.broadcast import checked_broadcast
 from kestrel.sources.conditions import conditions_predicate
 from kestrel.sources.tables import Tables
 
@@ -249,12 +250,11 @@ def usg_line_label(spark, sf_dir):
 def usg_share_label(spark, sf_dir):
     t = _t(spark, sf_dir)
     counts = measures.share_counts(labelled_lines(t))
-    coded = counts.select("userId", "total", "male_total", "female_total",
-                          measures.share_rule(F.col("total"), F.col("male_total"),
-                                              F.col("female_total")).alias("__rule"))
+    coded = counts.withColumn("__rule", measures.share_rule(F.col("total"), F.col("male_total"),
+                                                            F.col("female_total")))
     tags = shop_tags(spark, USG_TAG, "purchase gender", USG_RULES)
-    labelled = match.rule_match(coded, "__rule", tags, key="userId", out="usg")
-    return counts.join(labelled, "userId")
+    return match.rule_match(coded, "__rule", tags, key="userId", out="usg",
+                            keep=["total", "male_total", "female_total"])
 
 
 def dict_encode(spark, sf_dir):
@@ -334,6 +334,19 @@ def drop_malformed(spark, sf_dir):
                                  types={"event_id": "long", "user_id": "long", "value": "double"})
 
 
+def log_cells(spark, sf_dir):
+    """Raw lines -> well-formed event records -> (row_key, family, qualifier, value)."""
+    return profile.log_lines_to_cells(raw_lines(_t(spark, sf_dir)), EVENT_FIELDS, "event_id", "detail")
+
+
+def sql_group_order(spark, sf_dir):
+    """Hand-written SQL: one-key GROUP BY with ORDER BY."""
+    _t(spark, sf_dir).customer.createOrReplaceTempView("k_customer")
+    return spark.sql("""
+        SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 2) AS avg_bal
+        FROM k_customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""")
+
+
 def tags_string_to_cells(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     s = c.select("c_custkey", F.concat(F.lit("segment:"), "c_mktsegment", F.lit(",nation:"),
@@ -361,7 +374,7 @@ def contingency(spark, sf_dir):
     t = _t(spark, sf_dir)
     n = t.nation.select("n_nationkey", "n_regionkey")
     cust = t.customer
-    c = cust.join(F.broadcast(n), cust["c_nationkey"] == n["n_nationkey"])
+    c = cust.join(checked_broadcast(n), cust["c_nationkey"] == n["n_nationkey"])
     return c.groupBy("c_mktsegment", "n_regionkey").agg(F.count(F.lit(1)).alias("n"))
 
 
