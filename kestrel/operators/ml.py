@@ -113,24 +113,32 @@ class ModelStore:
 
 
 def tree_pipeline(features: list[str], label: str = "label", *, impurity: str = "gini",
-                  max_depth: int = 5, max_bins: int = 32, max_categories: int = 4) -> Pipeline:
-    """Assembler -> categorical indexer -> decision tree."""
+                  max_depth: int = 5, max_bins: int = 32, max_categories: int = 4,
+                  weight: str | None = None) -> Pipeline:
+    """Assembler -> categorical indexer -> decision tree (optionally weighted)."""
+    tree = DecisionTreeClassifier(labelCol=label, featuresCol="features", impurity=impurity,
+                                  maxDepth=max_depth, maxBins=max_bins)
+    if weight:
+        tree = tree.setWeightCol(weight)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="raw_features"),
-        VectorIndexer(inputCol="raw_features", outputCol="features", maxCategories=max_categories),
-        DecisionTreeClassifier(labelCol=label, featuresCol="features", impurity=impurity,
-                               maxDepth=max_depth, maxBins=max_bins),
+        VectorAssembler(inputCols=features, outputCol="raw_features", handleInvalid="keep"),
+        VectorIndexer(inputCol="raw_features", outputCol="features", maxCategories=max_categories,
+                      handleInvalid="keep"),
+        tree,
     ])
 
 
 def cross_validate(pipeline: Pipeline, df: DataFrame, *, label: str = "label", folds: int = 3,
                    impurities=("gini", "entropy"), depths=(5, 10), bins=(32, 64),
-                   metric: str = "accuracy", seed: int = KMEANS_SEED, parallelism: int = 2):
+                   metric: str = "accuracy", seed: int = KMEANS_SEED, parallelism: int = 4,
+                   weight: str | None = None):
     """k-fold search over impurity x depth x bins of the pipeline's tree."""
     tree = pipeline.getStages()[-1]
     grid = (ParamGridBuilder().addGrid(tree.impurity, list(impurities))
             .addGrid(tree.maxDepth, list(depths)).addGrid(tree.maxBins, list(bins)).build())
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
+    if weight:
+        ev = ev.setWeightCol(weight)
     return CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev,
                           numFolds=folds, seed=seed, parallelism=parallelism).fit(df)
 

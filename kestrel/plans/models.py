@@ -9,6 +9,7 @@ named by rank, so the labels do not depend on cluster numbering.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
 from pyspark.ml import Pipeline
@@ -135,15 +136,26 @@ def usg_learned_tag(lines: DataFrame, tags: DataFrame, *, categorical: list[str]
     Categorical goods attributes are indexed, assembled, vector-indexed and
     fed to a decision tree; 3-fold search over impurity x depth; the fitted
     pipeline labels every line, then the share rule names each user.
+
+    The tree only sees the categorical attributes, so identical lines are
+    interchangeable: training runs on the distinct (attributes, label) rows
+    weighted by their count.  The training set is bounded by the number of
+    attribute combinations instead of growing with the order lines.
     """
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
-    base = ml.tree_pipeline([f"{c}_idx" for c in categorical], label=label)
+    base = ml.tree_pipeline([f"{c}_idx" for c in categorical], label=label, weight="__w")
     pipe = Pipeline(stages=idx + base.getStages())
 
     def train():
-        train_df = lines.select(*categorical, F.col(label).cast("double").alias(label))
-        return ml.cross_validate(pipe, train_df, label=label, folds=folds, depths=(3, 5),
-                                 bins=(32,), seed=seed).bestModel
+        # bounded by the attribute combinations: safe to keep in memory
+        train_df = (lines.groupBy(*categorical, F.col(label).cast("double").alias(label))
+                    .agg(F.count(F.lit(1)).cast("double").alias("__w"))
+                    .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            return ml.cross_validate(pipe, train_df, label=label, folds=folds, depths=(3, 5),
+                                     bins=(32,), seed=seed, weight="__w").bestModel
+        finally:
+            train_df.unpersist()
 
     from pyspark.ml import PipelineModel
     model = store.load_or_train("usg_tree", PipelineModel, train, retrain) if store else train()
