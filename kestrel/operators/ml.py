@@ -53,22 +53,37 @@ def std_scale(df: DataFrame, col: str = "features", out: str = "scaled",
 
 def kmeans(df: DataFrame, k: int, *, max_iter: int = 20, seed: int = KMEANS_SEED,
            features: str = "features", init: str = "k-means||",
-           distance: str = "euclidean") -> KMeansModel:
-    return (KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, initMode=init,
-                   distanceMeasure=distance).fit(df))
+           distance: str = "euclidean", weight: str | None = None) -> KMeansModel:
+    km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, initMode=init,
+                distanceMeasure=distance)
+    if weight:
+        km = km.setWeightCol(weight)
+    return km.fit(df)
 
 
 def kmeans_sweep(df: DataFrame, k: int, *, iters=KMEANS_SWEEP_ITERS, seed: int = KMEANS_SEED,
-                 features: str = "features") -> KMeansModel:
+                 features: str = "features", weight: str | None = None) -> KMeansModel:
     """Fit one model per ``maxIter`` and keep the lowest within-cluster cost."""
-    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    cols = [features] + ([weight] if weight else [])
+    data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = [kmeans(data, k, max_iter=i, seed=seed, features=features) for i in iters]
+        models = [kmeans(data, k, max_iter=i, seed=seed, features=features, weight=weight)
+                  for i in iters]
     finally:
         data.unpersist()
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
+def distinct_weighted(df: DataFrame, cols: list[str], weight: str = "weight") -> DataFrame:
+    """Distinct rows of ``cols`` with their count as a double weight.
+
+    For estimators that accept instance weights (k-means, trees, the
+    evaluators) this is the same training set as the duplicated rows, but
+    its size is bounded by the distinct values instead of the row count.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(weight))
+
+
 def rank_centers(model: KMeansModel) -> DataFrame:
     """``(cluster, rank)``: clusters ordered by descending sum of their centre
     coordinates (rank 0 = largest); ties keep the lower cluster index first.

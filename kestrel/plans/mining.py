@@ -21,13 +21,14 @@ def rfm_kmeans(spark, sf_dir):
     scores = shop.rfm_scores(spark, sf_dir)
     tags = shop_tags(spark, shop.RFM_TAG, "customer value", shop.RFM_RULES)
     return models.kmeans_tag(scores, ["r_score", "f_score", "m_score"], tags, 5, out="rfm",
-                             sweep=True)
+                             sweep=True, discrete=True)
 
 
 def rfe_kmeans(spark, sf_dir):
     scores = shop.rfe_scores(spark, sf_dir)
     tags = shop_tags(spark, shop.RFE_TAG, "activity", shop.RFE_RULES)
-    return models.kmeans_tag(scores, ["r_score", "f_score", "e_score"], tags, 4, out="rfe")
+    return models.kmeans_tag(scores, ["r_score", "f_score", "e_score"], tags, 4, out="rfe",
+                             discrete=True)
 
 
 def psm_kmeans(spark, sf_dir):

@@ -65,12 +65,15 @@ def pay_type_tag(orders: DataFrame, tags: DataFrame, *, user: str = "memberid",
 def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int, *,
                out: str, scale: bool = False, sweep: bool = False, null_policy: str = "skip",
                store: ml.ModelStore | None = None, model_name: str | None = None,
-               retrain: bool = False, max_iter: int = 20) -> DataFrame:
+               retrain: bool = False, max_iter: int = 20, discrete: bool = False) -> DataFrame:
     """Cluster users on ``cols`` and name each cluster by the rank of its
     centre (largest coordinate sum = rank 0 = rule ``"0"``).
 
     ``null_policy``: what the vector assembler does with a null measure
     (``skip`` drops the user, ``error`` fails as the original models did).
+    ``discrete``: the features take few values (1..5 scores), so k-means is
+    fitted on the distinct vectors weighted by their number of users; every
+    user is then scored by the fitted model (a narrow map).
     """
     data = ml.assemble(features_df.select("userId", *cols), cols, "raw",
                        handle_invalid=null_policy)
@@ -78,11 +81,13 @@ def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int,
     if scale:
         data = MinMaxScaler(inputCol="raw", outputCol="scaled").fit(data).transform(data)
         feat = "scaled"
+    weight = "__w" if discrete else None
+    fit_on = ml.distinct_weighted(data, [feat], weight) if discrete else data
 
     def train():
         if sweep:
-            return ml.kmeans_sweep(data, k, features=feat)
-        return ml.kmeans(data, k, max_iter=max_iter, features=feat)
+            return ml.kmeans_sweep(fit_on, k, features=feat, weight=weight)
+        return ml.kmeans(fit_on, k, max_iter=max_iter, features=feat, weight=weight)
 
     if store is not None:
         model = store.load_or_train(model_name or out, KMeansModel, train, retrain)

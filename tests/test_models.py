@@ -121,3 +121,20 @@ def test_elbow_reports_each_k(spark):
     assert [r["k"] for r in res] == [2, 3] and res[1]["silhouette"] > 0.9
     cos = ml.elbow(data, range(2, 3), max_iter=10, distance="cosine")
     assert cos[0]["k"] == 2
+
+
+def test_weighted_distinct_kmeans_matches_full(spark):
+    data = ml.assemble(_scores(spark), ["r_score", "f_score", "m_score"])
+    full = ml.kmeans(data, 3)
+    w = ml.kmeans(ml.distinct_weighted(data, ["features"], "w"), 3, weight="w")
+    key = lambda m: sorted(tuple(round(x, 9) for x in c) for c in m.clusterCenters())
+    assert key(full) == key(w)
+    assert abs(full.summary.trainingCost - w.summary.trainingCost) < 1e-9
+
+
+def test_kmeans_tag_discrete_labels(spark):
+    tags = spark.createDataFrame(VALUE_TAGS, CATALOG)
+    out = models.kmeans_tag(_scores(spark), ["r_score", "f_score", "m_score"], tags, 3, out="rfm",
+                            discrete=True, sweep=True)
+    got = dict((r.userId, r.rfm) for r in out.collect())
+    assert len(got) == 30 and got[0] == "rank0" and got[15] == "rank1" and got[25] == "rank2"
