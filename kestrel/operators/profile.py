@@ -86,6 +86,44 @@ class ProfileStore:
         return v
 
 
+class BucketedProfileTable:
+    """Versioned profile as catalog tables ``<name>_v<n>``, bucketed and
+    sorted by the key.
+
+    Reading a version keeps its bucket layout, so the upsert's join with the
+    new tags shuffles only the new side (hashed into the same buckets); the
+    stored profile, the large side, is read in place.  A version exists once
+    its ``saveAsTable`` committed.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, key: str = KEY, buckets: int = 64):
+        self.spark, self.name, self.key, self.buckets = spark, name, key, buckets
+
+    def versions(self) -> list[int]:
+        prefix = f"{self.name}_v".lower()
+        out = []
+        for t in self.spark.catalog.listTables():
+            n = t.name.lower()
+            if not t.isTemporary and n.startswith(prefix) and n[len(prefix):].isdigit():
+                out.append(int(n[len(prefix):]))
+        return sorted(out)
+
+    def current_version(self) -> int | None:
+        v = self.versions()
+        return v[-1] if v else None
+
+    def read(self) -> DataFrame | None:
+        v = self.current_version()
+        return None if v is None else self.spark.table(f"{self.name}_v{v}")
+
+    def save(self, new: DataFrame) -> int:
+        merged = upsert(self.read(), new, self.key)
+        v = (self.current_version() or 0) + 1
+        (merged.write.bucketBy(self.buckets, self.key).sortBy(self.key)
+         .mode("error").saveAsTable(f"{self.name}_v{v}"))
+        return v
+
+
 def recommendations_to_strings(recs: DataFrame, *, user: str = "userId",
                                item: str = "productId", rating: str = "rating",
                                array: str = "recommendations") -> DataFrame:
@@ -129,8 +167,10 @@ def to_cells(df: DataFrame, key: str, family: str, include_key: bool = True,
             .select(F.col("__k").cast("string").alias("row_key"), F.lit(family).alias("family"),
                     "qualifier", "value"))
     if sort:
-        n = partitions or long.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        long = long.repartitionByRange(int(n), "row_key").sortWithinPartitions("row_key", "qualifier")
+        # without an explicit count AQE sizes the range partitions from the data
+        ranged = (long.repartitionByRange(int(partitions), "row_key") if partitions
+                  else long.repartitionByRange("row_key"))
+        long = ranged.sortWithinPartitions("row_key", "qualifier")
     return long
 
 

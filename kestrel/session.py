@@ -26,9 +26,12 @@ DEFAULT_CONF = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "kestrel") -> SparkSession:
+    scratch = tempfile.mkdtemp(prefix="kestrel-local-", dir=os.environ.get("TMPDIR", "/tmp"))
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               # local runs only: tables go to a scratch warehouse
+               .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse")))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

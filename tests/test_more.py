@@ -59,3 +59,22 @@ def test_streaming_upsert_sink(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert rows(store.read(), "userId", "gender") == [(1, "m"), (2, "m"), (3, "f")]
+
+
+def test_bucketed_profile_join_shuffles_only_new_side(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = profile.BucketedProfileTable(spark, "kestrel_profile_t", buckets=4)
+        for t in store.versions():
+            spark.sql(f"DROP TABLE IF EXISTS kestrel_profile_t_v{t}")
+        store.save(spark.createDataFrame([(i, f"g{i % 2}") for i in range(100)], "userId long, gender string"))
+        new = spark.createDataFrame([(i, "x") for i in range(50, 150)], "userId long, job string")
+        merged = profile.upsert(store.read(), new)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        # one exchange (new side), none for the bucketed profile scan
+        assert plan.count("Exchange hashpartitioning") == 1
+        v = store.save(new)
+        assert v == 2 and store.read().count() == 150
+        assert rows(store.read().where("userId = 60"), "userId", "gender", "job") == [(60, "g0", "x")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
