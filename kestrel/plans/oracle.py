@@ -294,4 +294,13 @@ ORACLE = {
     "sql_group_order": """
       SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 2) AS avg_bal
       FROM customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""",
+    "template_pay_type": f"""
+      WITH o AS (SELECT o_custkey, o_orderpriority FROM orders
+                 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{s.ORDERS_AS_OF}' - 730
+                                                     AND DATE '{s.ORDERS_AS_OF}' - 1),
+      c AS (SELECT o_custkey, o_orderpriority AS val, count(*) AS n FROM o GROUP BY 1, 2),
+      b AS (SELECT o_custkey, val,
+                   row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, val ASC) AS rn FROM c)
+      SELECT b.o_custkey AS userId, v.name AS pay_type
+      FROM b JOIN {_rules(s.PRIORITY_RULES)} ON trim(b.val) = v.rule WHERE b.rn = 1""",
 }

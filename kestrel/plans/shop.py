@@ -113,43 +113,62 @@ def _t(spark, sf_dir) -> Tables:
 # ---------------------------------------------------------------- rule tags
 
 def rule_match_inner(spark, sf_dir):
-    t = _t(spark, sf_dir)
+    """Segment tag (exact rule; customers without a rule get no row)."""
+    from kestrel.plans.models import match_tag
     tags = shop_tags(spark, SEGMENT_TAG, "segment", SEGMENT_RULES)
-    return match.rule_match(t.customer, "c_mktsegment", tags, key="c_custkey", out="segment")
+    return match_tag(_t(spark, sf_dir).customer, tags, "c_mktsegment", key="c_custkey", out="segment")
 
 
 def rule_match_left_default(spark, sf_dir):
-    t = _t(spark, sf_dir)
+    from kestrel.plans.models import match_tag
     tags = shop_tags(spark, SEGMENT_TAG, "segment", SEGMENT_RULES)
-    return match.rule_match(t.customer, "c_mktsegment", tags, key="c_custkey", out="segment",
-                            on_unmatched="null")
+    return match_tag(_t(spark, sf_dir).customer, tags, "c_mktsegment", key="c_custkey", out="segment",
+                     on_unmatched="null")
 
 
 def age_range(spark, sf_dir):
-    """First-order date -> yyyyMMdd int -> band (users outside every band: no row)."""
-    t = _t(spark, sf_dir)
-    first = (t.orders.groupBy("o_custkey")
-             .agg(F.min("o_orderdate").alias("first_order")))
+    """First-order date as a ``yyyy-MM-dd`` string (the birthday input of the
+    age model) -> yyyyMMdd int -> band; users outside every band get no row."""
+    from kestrel.plans.models import age_band_tag
+    first = (_t(spark, sf_dir).orders.groupBy("o_custkey")
+             .agg(F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_order")))
     tags = shop_tags(spark, FIRST_ORDER_TAG, "first order", FIRST_ORDER_RULES)
-    value = date_to_int(F.date_format("first_order", "yyyy-MM-dd"))
-    return match.range_match(first, value, tags, key="o_custkey", out="first_order_band")
+    return age_band_tag(first, tags, key="o_custkey", birthday="first_order", out="first_order_band")
 
 
 def consume_cycle(spark, sf_dir):
-    """Days since the latest order -> cycle band; beyond the last band: no row."""
-    t = _t(spark, sf_dir)
-    last = t.orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
-    days = F.datediff(F.to_date(F.lit(ORDERS_AS_OF)), F.to_date("last_order"))
+    """Days since the latest order (finish times as epoch seconds, as the
+    cycle model takes them) -> cycle band; beyond the last band: no row."""
+    from kestrel.plans.models import consume_cycle_tag
+    o = _t(spark, sf_dir).orders.select("o_custkey", F.unix_timestamp("o_orderdate").alias("finish"))
     tags = shop_tags(spark, CYCLE_TAG, "consumption cycle", CYCLE_RULES)
-    return match.range_match(last, days, tags, key="o_custkey", out="cycle")
+    return consume_cycle_tag(o, tags, user="o_custkey", finish_epoch="finish", as_of=ORDERS_AS_OF,
+                             out="cycle")
 
 
 def pay_type_top1(spark, sf_dir):
     """Most used order priority per customer (ties -> smallest value) -> tag."""
-    t = _t(spark, sf_dir)
-    top = measures.most_frequent(t.orders, user="o_custkey", value="o_orderpriority", out="priority")
+    from kestrel.plans.models import pay_type_tag
     tags = shop_tags(spark, PRIORITY_TAG, "payment preference", PRIORITY_RULES)
-    return match.rule_match(top, "priority", tags, key="userId", out="pay_type")
+    return pay_type_tag(_t(spark, sf_dir).orders, tags, user="o_custkey", code="o_orderpriority",
+                        out="pay_type")
+
+
+# Fixed value: business rule of the template query's payment tag.
+RECENT_PAY_RULE = ("inType=parquet\ntable=orders\n"
+                   "selectFieldNames=o_custkey,o_orderpriority\nwhereCondition=o_orderdate#year#2")
+
+
+def template_pay_type(spark, sf_dir):
+    """The tag template end to end: fetch the business tag and its attribute
+    tags from the catalog, parse the rule, read the orders it names (last two
+    years before the evaluation date), compute the payment preference."""
+    from kestrel.plans.models import pay_type_tag, run_tag_model
+    catalog = spark.createDataFrame(tag_rows(PRIORITY_TAG, "recent payment", PRIORITY_RULES,
+                                             RECENT_PAY_RULE), CATALOG_SCHEMA)
+    compute = lambda biz, tags: pay_type_tag(biz, tags, user="o_custkey",
+                                             code="o_orderpriority", out="pay_type")
+    return run_tag_model(spark, catalog, PRIORITY_TAG, compute, as_of=ORDERS_AS_OF, base=sf_dir)
 
 
 def top1_window(spark, sf_dir):
