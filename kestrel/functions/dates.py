@@ -58,3 +58,14 @@ def relative_window(field, unit: str, n: int, as_of=None) -> Column:
     d = F.to_date(field)
     ref = as_of_date(as_of)
     return d.between(F.date_sub(ref, days_for(unit, n)), F.date_sub(ref, 1))
+
+
+def shift_date_string(value, days: int, fmt: str = "yyyy-MM-dd") -> Column:
+    """Date string ``days`` days later (earlier when negative), same format."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.date_format(F.date_add(F.to_date(value, fmt), days), fmt)
+
+
+def today_string(fmt: str = "yyyy-MM-dd", as_of=None) -> Column:
+    """The evaluation date (default: today) as a string."""
+    return F.date_format(as_of_date(as_of), fmt)

@@ -78,11 +78,16 @@ def merge_chains(catalog: DataFrame | None, chains: DataFrame, names: list[str])
         nodes = cur.select(F.col(n).alias("name"), F.col("__pid").alias("pid")).distinct()
         existing = cat.where(F.col("level") == lvl).select(F.col("id"), "name", "pid")
         known = nodes.join(existing, ["name", "pid"], "left")
-        # One scalar per level; new ids are numbered in one ordered window,
-        # sized by the new tags of one level (catalog-sized, not data-sized).
+        # One scalar per level.  New ids follow (pid, name) order: numbered
+        # within each parent, shifted by the new tags of the parents before
+        # it (a window over one row per parent, never over all new tags).
         max_id = cat.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        new = (known.where(F.col("id").isNull())
-               .withColumn("id", F.lit(max_id) + F.row_number().over(Window.orderBy("pid", "name")))
+        fresh = known.where(F.col("id").isNull()).select("name", "pid")
+        offsets = (fresh.groupBy("pid").agg(F.count(F.lit(1)).alias("__n"))
+                   .withColumn("__off", F.sum("__n").over(Window.orderBy("pid")) - F.col("__n")))
+        new = (fresh.join(offsets, "pid")
+               .withColumn("id", F.lit(max_id) + F.col("__off")
+                           + F.row_number().over(Window.partitionBy("pid").orderBy("name")))
                .select("id", "name", F.lit(lvl).alias("level"), "pid"))
         cat = cat.unionByName(new)
         ids = cat.where(F.col("level") == lvl).select(F.col("id").alias("__nid"), F.col("name").alias(n),

@@ -81,3 +81,10 @@ def test_relative_window_month_is_30_days(spark):
                                "d date")
     got = [r[0] for r in df.where(dates.relative_window("d", "month", 1, "2020-10-06")).collect()]
     assert got == [dt.date(2020, 10, 5), dt.date(2020, 9, 6)]
+
+
+def test_date_string_shift_and_today(spark):
+    df = spark.createDataFrame([("2019-12-31",)], "d string")
+    r = df.select(dates.shift_date_string("d", 1), dates.shift_date_string("d", -365),
+                  dates.today_string(as_of="2020-07-13")).first()
+    assert tuple(r) == ("2020-01-01", "2018-12-31", "2020-07-13")
