@@ -167,10 +167,14 @@ def to_cells(df: DataFrame, key: str, family: str, include_key: bool = True,
             .select(F.col("__k").cast("string").alias("row_key"), F.lit(family).alias("family"),
                     "qualifier", "value"))
     if sort:
-        # without an explicit count AQE sizes the range partitions from the data
-        ranged = (long.repartitionByRange(int(partitions), "row_key") if partitions
-                  else long.repartitionByRange("row_key"))
-        long = ranged.sortWithinPartitions("row_key", "qualifier")
+        # Range partitions on the full sort key: the global order is the same
+        # as by row key, and a row key with very many cells is spread over
+        # several tasks instead of one.  Without an explicit count AQE sizes
+        # the partitions from the data.
+        order = ["row_key", "qualifier", "value"]
+        ranged = (long.repartitionByRange(int(partitions), *order) if partitions
+                  else long.repartitionByRange(*order))
+        long = ranged.sortWithinPartitions(*order)
     return long
 
 

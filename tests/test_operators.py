@@ -183,3 +183,27 @@ def test_clean_orders_is_deterministic(spark):
     assert a.finishtime == 1594598400
     assert rows(out) == rows(cleanup.clean_orders(df, key="k", member="memberid", pay_code="paymentcode",
                                                   finish="finishtime", member_limit=950))
+
+
+def test_hot_row_key_spreads_and_stays_ordered(spark):
+    # one row key owns most cells (a skewed log export)
+    data = [(0, f"v{i:05d}") for i in range(3000)] + [(k, "x") for k in range(1, 200)]
+    df = spark.createDataFrame(data, "k long, url string")
+    cells = profile.to_cells(df, "k", "d", include_key=False, partitions=8)
+    per_part = cells.rdd.glom().map(len).collect()
+    assert max(per_part) < 3000          # the hot key is split
+    got = [(r.row_key, r.qualifier, r.value) for r in cells.collect()]
+    assert got == sorted(got) and len(got) == 3199
+
+
+def test_hot_user_aggregates(spark):
+    # a third of the rows belong to one user
+    rows_ = [(1, "alipay" if i % 3 else "cod", f"p{i % 7}") for i in range(3000)] + \
+            [(u, "wxpay", "p1") for u in range(2, 6002)]
+    df = spark.createDataFrame(rows_, "u long, code string, page string")
+    top = dict((r.userId, r.code) for r in measures.most_frequent(df, user="u", value="code").collect())
+    assert top[1] == "alipay" and top[2] == "wxpay" and len(top) == 6001
+    e = measures.rfe_measures(df.withColumn("ts", F.lit("2020-01-01")), user="u", ts="ts", page="page",
+                              as_of="2020-01-02")
+    hot = e.where("userId = 1").first()
+    assert (hot.frequency, hot.engagements, hot.recency) == (3000, 7, 1)
