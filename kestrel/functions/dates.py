@@ -34,11 +34,50 @@ def epoch_to_ts_string(epoch, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     return F.from_unixtime(epoch.try_cast("long"), fmt)
 
 
-def shift_epoch_days_midnight(epoch, days: int) -> Column:
-    """Epoch seconds + ``days`` days, truncated to midnight, as epoch seconds."""
+SECONDS_PER_DAY = 86400
+
+
+def epoch_to_date(epoch, tz: str | None = None) -> Column:
+    """Epoch seconds -> calendar date.
+
+    ``tz=None`` reads the epoch in the session zone (``from_unixtime``);
+    ``tz="UTC"`` is plain day arithmetic and does not depend on the session.
+    """
+    epoch = (F.col(epoch) if isinstance(epoch, str) else epoch).try_cast("long")
+    if tz is None:
+        return F.to_date(F.from_unixtime(epoch))
+    if tz.upper() != "UTC":
+        return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), _utc_wall_clock(epoch)))
+    return F.date_from_unix_date(F.floor(epoch / SECONDS_PER_DAY).cast("int"))
+
+
+def _utc_wall_clock(epoch: Column) -> Column:
+    """Epoch seconds -> ``timestamp_ntz`` holding the UTC wall clock (no session zone)."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.make_dt_interval(days=F.floor(epoch / SECONDS_PER_DAY).cast("int"),
+                                      secs=F.pmod(epoch, F.lit(SECONDS_PER_DAY)).cast("decimal(18,6)"))
+
+
+def shift_epoch_days_midnight(epoch, days: int, tz: str | None = None) -> Column:
+    """Epoch seconds + ``days`` days, truncated to midnight, as epoch seconds
+    (midnight of the session zone, or of ``tz``; see :func:`epoch_to_date`)."""
     epoch = F.col(epoch) if isinstance(epoch, str) else epoch
-    d = F.date_add(F.to_date(F.from_unixtime(epoch.try_cast("long"))), days)
-    return F.unix_timestamp(d.cast("timestamp"))
+    if tz is not None and tz.upper() == "UTC":
+        day = F.floor(epoch.try_cast("long") / SECONDS_PER_DAY) + days
+        return (day * SECONDS_PER_DAY).cast("long")
+    d = F.date_add(epoch_to_date(epoch, tz), days)
+    if tz is None:
+        return F.unix_timestamp(d.cast("timestamp"))
+    # midnight in ``tz`` as a UTC wall clock; unix_timestamp reads timestamp_ntz as UTC
+    return F.unix_timestamp(F.convert_timezone(F.lit(tz), F.lit("UTC"), d.cast("timestamp_ntz")))
+
+
+def ntz_epoch_micros(ts) -> Column:
+    """Microseconds since the epoch of a wall-clock (``timestamp_ntz``) value
+    read as UTC, independent of the session zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    frac = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long") % 1_000_000
+    return F.unix_timestamp(ts) * 1_000_000 + frac
 
 
 def days_for(unit: str, n: int) -> int:

@@ -76,13 +76,14 @@ FINISH_SHIFT_DAYS = 350
 def clean_orders(orders: DataFrame, *, key: str, member: str, pay_code: str, finish: str,
                  member_limit: int,
                  pay_codes=PAY_CODES, pay_names=PAY_NAMES,
-                 shift_days: int = FINISH_SHIFT_DAYS) -> DataFrame:
+                 shift_days: int = FINISH_SHIFT_DAYS, tz: str | None = None) -> DataFrame:
     """Order clean-up.
 
     * member id ``>= member_limit`` -> ``1 .. member_limit`` (hash of the key);
     * payment code not in ``pay_codes`` -> one of them (hash of the key);
     * payment name looked up from the code;
-    * finish time (epoch seconds) + ``shift_days``, truncated to midnight.
+    * finish time (epoch seconds) + ``shift_days``, truncated to midnight
+      (of the session zone, or of ``tz``).
     """
     codes = F.array(*[F.lit(c) for c in pay_codes])
     k = _c(key)
@@ -94,4 +95,4 @@ def clean_orders(orders: DataFrame, *, key: str, member: str, pay_code: str, fin
     return (orders.withColumn(member, member_c)
             .withColumn(pay_code, code_c)
             .withColumn("paymentname", names[F.col(pay_code)])
-            .withColumn(finish, shift_epoch_days_midnight(_c(finish), shift_days)))
+            .withColumn(finish, shift_epoch_days_midnight(_c(finish), shift_days, tz)))

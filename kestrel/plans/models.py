@@ -45,12 +45,14 @@ def age_band_tag(biz: DataFrame, tags: DataFrame, *, key: str = "id", birthday:
 
 def consume_cycle_tag(orders: DataFrame, tags: DataFrame, *, user: str = "memberid",
                       finish_epoch: str = "finishtime", as_of=None, out: str = "consumecycle",
-                      on_unmatched: str = "drop") -> DataFrame:
-    """Days since the latest finished order (epoch seconds) -> range tag."""
-    from kestrel.functions.dates import as_of_date
+                      on_unmatched: str = "drop", tz: str | None = None) -> DataFrame:
+    """Days since the latest finished order (epoch seconds) -> range tag.
+
+    The epoch is read in the session zone unless ``tz`` names one."""
+    from kestrel.functions.dates import as_of_date, epoch_to_date
     last = orders.groupBy(F.col(user).alias("__u")).agg(
         F.max(F.col(finish_epoch).try_cast("long")).alias("__t"))
-    days = F.datediff(as_of_date(as_of), F.to_date(F.from_unixtime("__t")))
+    days = F.datediff(as_of_date(as_of), epoch_to_date(F.col("__t"), tz))
     return match.range_match(last, days, tags, key="__u", out=out, on_unmatched=on_unmatched)
 
 

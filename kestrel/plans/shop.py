@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions.dates import relative_window
+from kestrel.functions.dates import ntz_epoch_micros, relative_window
 from kestrel.functions.text import date_to_int, extract_or_null
 from kestrel.operators import catalog as cat
 from kestrel.operators import cleanup, match, measures, profile
@@ -32,6 +32,9 @@ from kestrel.operators.broadcast import checked_broadcast
 from kestrel.sources.conditions import conditions_predicate
 from kestrel.sources.tables import Tables
 
+# Fixed value: the tables hold wall-clock timestamps (timestamp_ntz); epoch
+# values derived from them are UTC, whatever the session zone.
+DATA_TZ = "UTC"
 # Evaluation dates of the order and the event tables.
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
@@ -143,7 +146,7 @@ def consume_cycle(spark, sf_dir):
     o = _t(spark, sf_dir).orders.select("o_custkey", F.unix_timestamp("o_orderdate").alias("finish"))
     tags = shop_tags(spark, CYCLE_TAG, "consumption cycle", CYCLE_RULES)
     return consume_cycle_tag(o, tags, user="o_custkey", finish_epoch="finish", as_of=ORDERS_AS_OF,
-                             out="cycle")
+                             out="cycle", tz=DATA_TZ)
 
 
 def pay_type_top1(spark, sf_dir):
@@ -337,7 +340,7 @@ def to_cells(spark, sf_dir):
 def raw_lines(t: Tables) -> DataFrame:
     """Text lines of two kinds: tab-separated event records and document lines."""
     e = t.events.select(F.concat_ws("\t", F.col("event_id").cast("string"),
-                                    F.unix_micros(F.col("ts").cast("timestamp")).cast("string"),
+                                    ntz_epoch_micros("ts").cast("string"),
                                     F.col("user_id").cast("string"), "event_type",
                                     F.col("value").cast("string"), "props").alias("value"))
     d = t.documents.select(F.explode(F.split("text", "\n")).alias("value"))
@@ -380,7 +383,7 @@ def order_cleanup(spark, sf_dir):
                    F.coalesce(pay[F.col("o_orderpriority")], F.col("o_orderpriority")).alias("paymentcode"),
                    F.unix_timestamp("o_orderdate").alias("finishtime"))
     return cleanup.clean_orders(src, key="o_orderkey", member="memberid", pay_code="paymentcode",
-                                finish="finishtime", member_limit=MEMBER_LIMIT)
+                                finish="finishtime", member_limit=MEMBER_LIMIT, tz=DATA_TZ)
 
 
 def mean_impute(spark, sf_dir):

@@ -88,3 +88,24 @@ def test_date_string_shift_and_today(spark):
     r = df.select(dates.shift_date_string("d", 1), dates.shift_date_string("d", -365),
                   dates.today_string(as_of="2020-07-13")).first()
     assert tuple(r) == ("2020-01-01", "2018-12-31", "2020-07-13")
+
+
+def test_epoch_helpers_do_not_depend_on_session_zone(spark):
+    # 1564441200 = 2019-07-29 23:00 UTC = 16:00 in Los Angeles = 07:00 on the 30th in Shanghai
+    df = spark.createDataFrame([(1564441200,)], "t long")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = df.select(dates.epoch_to_date("t", "UTC"), dates.shift_epoch_days_midnight("t", 350, "UTC"),
+                      dates.epoch_to_date("t"), dates.epoch_to_date("t", "Asia/Shanghai"),
+                      dates.shift_epoch_days_midnight("t", 1, "Asia/Shanghai")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r[0] == dt.date(2019, 7, 29) and r[1] == 1594598400
+    assert r[2] == dt.date(2019, 7, 29) and r[3] == dt.date(2019, 7, 30)
+    # midnight of 2019-07-31 in Shanghai = 2019-07-30 16:00 UTC
+    assert r[4] == 1564502400
+
+
+def test_ntz_micros(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),)], "ts timestamp_ntz")
+    assert df.select(dates.ntz_epoch_micros("ts")).first()[0] == 1704067207179575
