@@ -247,6 +247,8 @@ def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame | N
     offs = counts.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
     mapping = (numbered.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
                .select((F.col("__off") + F.col("__rn") - 1).cast("int").alias(out), F.col(col)))
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder when set
     mapping = mapping.checkpoint()
     if mapping.count() > INT_MAX:
         raise ValueError(f"more than 2^31 distinct {col} values")
