@@ -78,3 +78,22 @@ def test_bucketed_profile_join_shuffles_only_new_side(spark):
         assert rows(store.read().where("userId = 60"), "userId", "gender", "job") == [(60, "g0", "x")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_job_runner_rule_and_cycle_models(spark, tmp_path):
+    from kestrel.plans import jobs
+    users = str(tmp_path / "users")
+    spark.createDataFrame([(1, "1"), (2, "2"), (3, "1")], "id long, gender string").write.parquet(users)
+    orders = str(tmp_path / "orders")
+    spark.createDataFrame([(1, 1594569600), (1, 1593446400), (2, 1577836800)],
+                          "memberid long, finishtime long").write.parquet(orders)
+    catalog = spark.createDataFrame(
+        [(318, "gender", f"inType=parquet\ninPath={users}\nselectFieldNames=id,gender", 4, 1),
+         (319, "m", "1", 5, 318), (320, "f", "2", 5, 318),
+         (347, "cycle", f"inType=parquet\ninPath={orders}\nselectFieldNames=memberid,finishtime", 4, 1),
+         (348, "0-7", "0-7", 5, 347), (349, "8-14", "8-14", 5, 347)], CATALOG)
+    store = ProfileStore(spark, str(tmp_path / "profile"))
+    jobs.run(spark, catalog, 318, "gender", store=store)
+    jobs.run(spark, catalog, 347, "consume_cycle", store=store, as_of="2020-07-20")
+    assert rows(store.read(), "userId", "gender", "consumecycle") == [
+        (1, "m", "8-14"), (2, "f", None), (3, "m", None)]
