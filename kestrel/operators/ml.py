@@ -198,27 +198,43 @@ def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction")
                                metricName="rmse").evaluate(pred)
 
 
-def silhouette(pred: DataFrame, features: str = "features", distance: str = "squaredEuclidean") -> float:
-    return ClusteringEvaluator(featuresCol=features, distanceMeasure=distance).evaluate(pred)
+def silhouette(pred: DataFrame, features: str = "features", distance: str = "squaredEuclidean",
+               weight: str | None = None) -> float:
+    ev = ClusteringEvaluator(featuresCol=features, distanceMeasure=distance)
+    if weight:
+        ev = ev.setWeightCol(weight)
+    return ev.evaluate(pred)
 
 
 def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter: int = 50,
-          seed: int = KMEANS_SEED, distance: str = "euclidean") -> list[dict]:
-    """KMeans for each k: cost, silhouette and cluster sizes (k small rows each)."""
+          seed: int = KMEANS_SEED, distance: str = "euclidean",
+          discrete: bool = False) -> list[dict]:
+    """KMeans for each k: cost, silhouette and cluster sizes (k small rows each).
+
+    ``discrete``: the vectors take few distinct values, so each k-means is
+    fitted on the distinct vectors weighted by their count (same objective,
+    bounded input); the silhouette is still computed over all rows, since
+    Spark scores a cluster holding one weighted row as 0.
+    """
     data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on = (distinct_weighted(data, [features], "__w").persist(StorageLevel.MEMORY_AND_DISK)
+              if discrete else data)
     out = []
     try:
         for k in ks:
-            m = kmeans(data, k, max_iter=max_iter, seed=seed, features=features, distance=distance)
+            m = kmeans(fit_on, k, max_iter=max_iter, seed=seed, features=features,
+                       distance=distance, weight="__w" if discrete else None)
             pred = m.transform(data)
             ev = "cosine" if distance == "cosine" else "squaredEuclidean"
-            sizes = list(m.summary.clusterSizes)
+            sizes = [int(n) for n in m.summary.clusterSizes]
             # silhouette is undefined with a single non-empty cluster
             sil = (float(silhouette(pred, features, ev)) if sum(1 for n in sizes if n > 0) > 1
                    else float("nan"))
             out.append({"k": k, "cost": float(m.summary.trainingCost), "silhouette": sil,
                         "sizes": sizes})
     finally:
+        if discrete:
+            fit_on.unpersist()
         data.unpersist()
     return out
 

@@ -39,7 +39,8 @@ def psm_kmeans(spark, sf_dir):
 
 def elbow(spark, sf_dir):
     scores = ml.assemble(shop.rfm_scores(spark, sf_dir), ["r_score", "f_score", "m_score"])
-    rows = ml.elbow(scores, range(2, 7), max_iter=20)
+    # scores are 1..5 per axis: fit on the distinct vectors weighted by users
+    rows = ml.elbow(scores, range(2, 7), max_iter=20, discrete=True)
     return spark.createDataFrame([(r["k"], r["cost"], r["silhouette"]) for r in rows],
                                  "k int, cost double, silhouette double")
 

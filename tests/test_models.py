@@ -138,3 +138,17 @@ def test_kmeans_tag_discrete_labels(spark):
                             discrete=True, sweep=True)
     got = dict((r.userId, r.rfm) for r in out.collect())
     assert len(got) == 30 and got[0] == "rank0" and got[15] == "rank1" and got[25] == "rank2"
+
+
+def test_weighted_elbow_equals_full(spark):
+    data = ml.assemble(_scores(spark), ["r_score", "f_score", "m_score"])
+    pts = [r.features.toArray() for r in data.collect()]
+    weighted = ml.distinct_weighted(data, ["features"], "w")
+    for k in (2, 3):
+        m = ml.kmeans(weighted, k, max_iter=10, weight="w")
+        # the weighted cost is the cost of the same centres on every point
+        cost = sum(min(float(((p - c) ** 2).sum()) for c in m.clusterCenters()) for p in pts)
+        assert abs(m.summary.trainingCost - cost) < 1e-6
+    full = ml.elbow(data, [3], max_iter=10)[0]
+    w = ml.elbow(data, [3], max_iter=10, discrete=True)[0]
+    assert abs(full["cost"] - w["cost"]) < 1e-9 and abs(full["silhouette"] - w["silhouette"]) < 1e-9
