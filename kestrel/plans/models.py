@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, StringIndexer
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -25,11 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.dates import ntz_epoch_micros, relative_window
-from kestrel.functions.text import date_to_int, extract_or_null
+from kestrel.functions.text import extract_or_null
 from kestrel.operators import catalog as cat
 from kestrel.operators import cleanup, match, measures, profile
 from kestrel.operators.broadcast import checked_broadcast
-from kestrel.sources.conditions import conditions_predicate
 from kestrel.sources.tables import Tables
 
 # Fixed value: the tables hold wall-clock timestamps (timestamp_ntz); epoch
