@@ -303,4 +303,7 @@ ORACLE = {
                    row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, val ASC) AS rn FROM c)
       SELECT b.o_custkey AS userId, v.name AS pay_type
       FROM b JOIN {_rules(s.PRIORITY_RULES)} ON trim(b.val) = v.rule WHERE b.rn = 1""",
+    "sql_two_key_count": """
+      SELECT o_custkey, o_orderpriority, count(o_custkey) AS n_member, count(o_orderpriority) AS n_code
+      FROM orders GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""",
 }

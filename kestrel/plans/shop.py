@@ -368,6 +368,15 @@ def sql_group_order(spark, sf_dir):
         FROM k_customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""")
 
 
+def sql_two_key_count(spark, sf_dir):
+    """Hand-written SQL: two-key GROUP BY with two counts, ordered by member."""
+    _t(spark, sf_dir).orders.createOrReplaceTempView("k_orders")
+    return spark.sql("""
+        SELECT o_custkey, o_orderpriority, count(o_custkey) AS n_member,
+               count(o_orderpriority) AS n_code
+        FROM k_orders GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""")
+
+
 def tags_string_to_cells(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     s = c.select("c_custkey", F.concat(F.lit("segment:"), "c_mktsegment", F.lit(",nation:"),
