@@ -87,16 +87,30 @@ def days_for(unit: str, n: int) -> int:
         raise ValueError(f"unknown date unit {unit!r}") from e
 
 
-def relative_window(field, unit: str, n: int, as_of=None) -> Column:
-    """``field#unit#n``: ``as_of - n units <= field <= as_of - 1 day``.
-
-    ``field`` may be a date, a timestamp or a ``yyyy-MM-dd`` string; the bounds
-    are compared on the date.
+def relative_window(field, unit: str, n: int, as_of=None, field_type: str | None = None) -> Column:
+    """``field#unit#n``: ``as_of - n units <= field <= as_of - 1 day`` (on dates).
+
+    ``field`` may be a date, a timestamp or a ``yyyy-MM-dd`` string.  When the
+    column's type is given (``date``, ``timestamp``, ``timestamp_ntz``), the
+    window is written as plain comparisons on the column itself
+    (``field >= first day, field < as_of``) so the scan can push it down and
+    skip row groups; otherwise the column is converted with ``to_date``.
     """
     field = F.col(field) if isinstance(field, str) else field
-    d = F.to_date(field)
     ref = as_of_date(as_of)
-    return d.between(F.date_sub(ref, days_for(unit, n)), F.date_sub(ref, 1))
+    lower = F.date_sub(ref, days_for(unit, n))
+    if field_type == "date":
+        return (field >= lower) & (field < ref)
+    if field_type in ("timestamp", "timestamp_ntz"):
+        return (field >= lower.cast(field_type)) & (field < ref.cast(field_type))
+    return F.to_date(field).between(lower, F.date_sub(ref, 1))
+
+
+def window_on(df, text_field: str, unit: str, n: int, as_of=None) -> Column:
+    """:func:`relative_window` for a column of ``df`` (its type picks the form)."""
+    name = text_field.strip()
+    types = dict(df.dtypes)
+    return relative_window(F.col(name), unit, n, as_of, types.get(name))
 
 
 def shift_date_string(value, days: int, fmt: str = "yyyy-MM-dd") -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.broadcast import checked_broadcast
+
 ROOT_PID = -1
 LEVELS = 5
 TAG_COLUMNS = ("id", "name", "rule", "level")
@@ -42,9 +44,11 @@ def paths(tags: DataFrame, level: int = LEVELS, sep: str = "/") -> DataFrame:
     t = tags.select("id", "name", "pid", "level")
     cur = t.where(F.col("level") == level).select(
         F.col("id"), F.col("pid").alias("__p"), F.array(F.col("name")).alias("__names"))
+    # the parent lookup is the whole catalog: broadcast once (size checked),
+    # the same broadcast serves every level
+    up = checked_broadcast(t.select(F.col("id").alias("__pid"), F.col("name").alias("__pname"),
+                                    F.col("pid").alias("__pp")))
     for _ in range(level - 1):
-        up = t.select(F.col("id").alias("__pid"), F.col("name").alias("__pname"),
-                      F.col("pid").alias("__pp"))
         cur = (cur.join(up, cur["__p"] == up["__pid"], "left")
                .select("id", F.col("__pp").alias("__p"),
                        F.when(F.col("__pname").isNull(), F.col("__names"))

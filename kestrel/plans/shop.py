@@ -24,11 +24,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions.dates import ntz_epoch_micros, relative_window
+from kestrel.functions.dates import ntz_epoch_micros
 from kestrel.functions.text import extract_or_null
 from kestrel.operators import catalog as cat
 from kestrel.operators import cleanup, match, measures, profile
 from kestrel.operators.broadcast import checked_broadcast
+from kestrel.session import ensure_checkpoint_dir
 from kestrel.sources.tables import Tables
 
 # Fixed value: the tables hold wall-clock timestamps (timestamp_ntz); epoch
@@ -298,9 +299,10 @@ def condition_filter(spark, sf_dir):
 
 
 def relative_date_filter(spark, sf_dir):
-    t = _t(spark, sf_dir)
+    from kestrel.functions.dates import window_on
+    o = _t(spark, sf_dir).orders
     field, unit, n = ORDER_WINDOW
-    return (t.orders.where(relative_window(F.col(field), unit, n, ORDERS_AS_OF))
+    return (o.where(window_on(o, field, unit, n, ORDERS_AS_OF))
             .select("o_orderkey", "o_custkey", F.date_format(field, "yyyy-MM-dd").alias("order_date")))
 
 
@@ -435,7 +437,11 @@ def geo_catalog(t: Tables) -> DataFrame:
                          F.ascii("c_mktsegment")).cast("long").alias("id"),
                         F.lower("c_mktsegment").alias("name"), F.col("c_mktsegment").alias("rule"),
                         F.lit(5).alias("level"), (F.lit(1000) + F.col("c_nationkey")).cast("long").alias("pid"))
-    return top.unionByName(regions).unionByName(nations).unionByName(attrs)
+    catalog = top.unionByName(regions).unionByName(nations).unionByName(attrs)
+    # Built once (one pass over customer) and cut from its lineage in the
+    # shared checkpoint folder; the catalog queries join it with itself.
+    ensure_checkpoint_dir(spark)
+    return catalog.checkpoint()
 
 
 def tag_fetch_union(spark, sf_dir):

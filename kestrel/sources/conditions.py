@@ -66,12 +66,17 @@ def conditions_predicate(text: str | None, missing_passes: bool = True) -> Colum
     return reduce(lambda a, b: a & b, [c.column(missing_passes) for c in conds])
 
 
-def where_condition_predicate(text: str | None, as_of=None) -> Column | None:
-    """``field#unit#n`` -> relative date window; None when absent."""
+def where_condition_predicate(text: str | None, as_of=None, df=None) -> Column | None:
+    """``field#unit#n`` -> relative date window; None when absent.
+
+    With the DataFrame the window is built for the column's type, so a date
+    or timestamp column gets a predicate the scan can push down.
+    """
     if not text or not text.strip():
         return None
     parts = text.strip().split("#")
     if len(parts) != 3:
         raise ValueError(f"bad date condition {text!r}: expected field#unit#n")
     field, unit, n = parts
-    return relative_window(F.col(field.strip()), unit, int(n), as_of)
+    field_type = dict(df.dtypes).get(field.strip()) if df is not None else None
+    return relative_window(F.col(field.strip()), unit, int(n), as_of, field_type)

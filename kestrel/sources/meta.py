@@ -69,18 +69,18 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
     """Dispatch on ``rule['inType']`` (case-insensitive); unknown types raise."""
     in_type = (rule.get("inType") or "").strip().lower()
     fields = _fields(rule)
-    date_pred = where_condition_predicate(rule.get("whereCondition"), as_of)
+    where = rule.get("whereCondition")
     if in_type in ("hdfs", "csv"):
         df = read_delimited_with_header(spark, rule["inPath"],
                                         rule.get("sperator") or rule.get("separator") or ",")
-        return _filter(_project(df, fields), [date_pred])
+        return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
     if in_type in ("hive", "table"):
         df = spark.read.table(rule.get("hiveTable") or rule["table"])
-        return _project(_filter(df, [date_pred]), fields)
+        return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
     if in_type == "parquet":
         df = spark.read.parquet(rule.get("inPath") or rule["path"])
         cond = conditions_predicate(rule.get("filterConditions"), missing_passes=False)
-        return _project(_filter(df, [cond, date_pred]), fields)
+        return _project(_filter(df, [cond, where_condition_predicate(where, as_of, df)]), fields)
     if in_type in ("mysql", "jdbc"):
         return read_jdbc_query(spark, rule["url"], rule["sql"], driver=rule.get("driver"),
                                user=rule.get("user"), password=rule.get("password"))
@@ -142,7 +142,7 @@ def wide_scan(spark: SparkSession, table_or_path: str, select_fields=None,
         select_fields = [f.strip() for f in select_fields.split(",") if f.strip()]
     fields = list(select_fields or df.columns)
     preds = [conditions_predicate(filter_conditions, missing_passes),
-             where_condition_predicate(where_condition, as_of)]
+             where_condition_predicate(where_condition, as_of, df)]
     return _project(_filter(df, preds), fields, as_string=True)
 
 

@@ -15,8 +15,10 @@ def small_bcast(spark):
     # keep Spark from broadcasting the tiny test tables on its own, so the
     # plans show the choices the operators make themselves
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated scan details
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_rule_match_broadcasts_rules_and_prunes_columns(spark, small_bcast):
@@ -62,3 +64,8 @@ def test_no_python_udf_in_sql_checked_queries(spark, small_bcast):
         p = plan(getattr(shop, name)(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p, name
+
+
+def test_relative_window_reaches_parquet(spark, small_bcast):
+    p = plan(shop.relative_date_filter(spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate,2001-02-03T00:00)" in p and "LessThan(o_orderdate,2001-08-02T00:00)" in p

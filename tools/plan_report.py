@@ -29,8 +29,11 @@ def shape(plan: str) -> dict:
                            plan)
     joins = [j for j in JOINS for _ in range(plan.count(j + " "))]
     aggs = len(re.findall(r"HashAggregate\(keys=|SortAggregate\(key=|ObjectHashAggregate\(keys=", plan))
-    scans = re.findall(r"FileScan parquet [^\[]*\[[^\]]*\].*?PushedFilters: \[([^\]]*)\].*?ReadSchema: (struct<[^>]*>)",
-                       plan)
+    scans = []
+    for part in plan.split("FileScan ")[1:]:
+        pf = re.search(r"PushedFilters: \[([^\]]*)\]", part)
+        rs = re.search(r"ReadSchema: (struct<\S*>)", part)
+        scans.append((pf.group(1) if pf else "", rs.group(1) if rs else "?"))
     return {"exchanges": exchanges, "joins": joins, "aggs": aggs,
             "windows": plan.count("Window ") + plan.count("WindowGroupLimit"),
             "python": "EvalPython" in plan, "scans": scans}
@@ -41,6 +44,7 @@ def main():
     spark = local_session(8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     print("# Query plans\n")
     print("Generated by `tools/plan_report.py` (automatic broadcasts off, so only the operators'")
     print("size-checked broadcasts appear).  Shuffles are the `Exchange` nodes; aggregations count")
