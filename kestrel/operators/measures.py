@@ -72,7 +72,7 @@ PSM_NULL_DEFAULT = 1e-8
 
 
 def psm_measures(lines: DataFrame, *, user: str, order_id: str, amount: Column, coupon: Column,
-                 null_default: float | None = PSM_NULL_DEFAULT) -> DataFrame:
+                 null_default: float | None = PSM_NULL_DEFAULT, cents: bool = False) -> DataFrame:
     """Price sensitivity ``(userId, tdonr, tdar, adar, psm)`` from order lines.
 
     ra (receivable) = amount + coupon; da = coupon; state = coupon != 0.
@@ -80,15 +80,26 @@ def psm_measures(lines: DataFrame, *, user: str, order_id: str, amount: Column,
     adar = (sum(da) / discounted orders) / (sum(ra) / orders);
     psm = tdonr + tdar + adar, null (no discounted order) -> ``null_default``.
     A zero divisor gives null, not an error.
+
+    Money is summed exactly: as ``decimal(18,2)``, or with ``cents=True`` as
+    long integer cents (the caller passes cents; same sums, but plain long
+    arithmetic inside whole-stage codegen instead of wide decimals).
     """
-    ra = (amount.cast(MONEY) + coupon.cast(MONEY))
-    da = coupon.cast(MONEY)
-    state = F.when(coupon.cast(MONEY) != 0, 1).otherwise(0)
+    if cents:
+        ra = amount.cast("long") + coupon.cast("long")
+        da = coupon.cast("long")
+        state = F.when(coupon.cast("long") != 0, 1).otherwise(0)
+        as_money = lambda c: c.cast("double") / F.lit(100.0)
+    else:
+        ra = (amount.cast(MONEY) + coupon.cast(MONEY))
+        da = coupon.cast(MONEY)
+        state = F.when(coupon.cast(MONEY) != 0, 1).otherwise(0)
+        as_money = lambda c: c.cast("double")
     g = (lines.groupBy(_c(user).alias("userId"))
          .agg(F.count(_c(order_id)).alias("__n"),
               F.sum(state).alias("__s"),
-              F.sum(ra).cast("double").alias("__ra"),
-              F.sum(da).cast("double").alias("__da")))
+              as_money(F.sum(ra)).alias("__ra"),
+              as_money(F.sum(da)).alias("__da")))
     n = F.col("__n").cast("double")
     s = F.col("__s").cast("double")
     tdonr = F.try_divide(s, n)

@@ -236,19 +236,31 @@ def order_lines(t: Tables) -> DataFrame:
     return li.join(o, li["l_orderkey"] == o["o_orderkey"])
 
 
+def _half_up_div(x: F.Column, d: int) -> F.Column:
+    """Integer ``x / d`` rounded half up (x >= 0)."""
+    return F.floor((x + F.lit(d // 2)) / F.lit(d)).cast("long")
+
+
 def psm_inputs(t: Tables) -> tuple[DataFrame, F.Column, F.Column]:
+    """Order lines with amount and coupon in whole cents.
+
+    Prices and discounts carry two decimals, so price x discount is exact in
+    1/10000 units; rounding half up to cents is an integer division.  This is
+    the decimal(18,2) arithmetic of the tag, done in long integers.
+    """
     lines = order_lines(t)
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    coupon = F.when(F.col("l_discount") >= COUPON_MIN_DISCOUNT, price * disc).otherwise(F.lit(0).cast("decimal(4,2)"))
-    amount = price * (F.lit(1).cast("decimal(4,2)") - disc)
+    price_c = F.round(F.col("l_extendedprice") * 100).cast("long")
+    disc_pct = F.round(F.col("l_discount") * 100).cast("long")
+    amount = _half_up_div(price_c * (F.lit(100) - disc_pct), 100)
+    coupon = F.when(F.col("l_discount") >= COUPON_MIN_DISCOUNT,
+                    _half_up_div(price_c * disc_pct, 100)).otherwise(F.lit(0).cast("long"))
     return lines, amount, coupon
 
 
 def psm_score(spark, sf_dir):
     lines, amount, coupon = psm_inputs(_t(spark, sf_dir))
     return measures.psm_measures(lines, user="o_custkey", order_id="l_orderkey",
-                                 amount=amount, coupon=coupon)
+                                 amount=amount, coupon=coupon, cents=True)
 
 
 # ------------------------------------------------------------ purchase gender
