@@ -79,6 +79,12 @@ def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int,
     """
     data = ml.assemble(features_df.select("userId", *cols), cols, "raw",
                        handle_invalid=null_policy)
+    # The per-user vectors feed the fit and the final scoring: compute them
+    # once (one row per user, far smaller than the business rows behind them)
+    # and cut the lineage in the shared checkpoint folder.
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(data.sparkSession)
+    data = data.checkpoint()
     feat = "raw"
     if scale:
         data = MinMaxScaler(inputCol="raw", outputCol="scaled").fit(data).transform(data)
