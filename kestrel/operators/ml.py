@@ -261,7 +261,9 @@ def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame | N
     numbered = distinct.withColumn("__rn", F.row_number().over(w))
     counts = numbered.groupBy("__pid").agg(F.max("__rn").alias("__n"))
     offs = counts.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
-    mapping = (numbered.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
+    # one offset row per partition of the distinct ids
+    from kestrel.operators.broadcast import checked_broadcast
+    mapping = (numbered.join(checked_broadcast(offs.select("__pid", "__off")), "__pid")
                .select((F.col("__off") + F.col("__rn") - 1).cast("int").alias(out), F.col(col)))
     from kestrel.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder when set
