@@ -177,14 +177,14 @@ def template_pay_type(spark, sf_dir):
 def top1_window(spark, sf_dir):
     """Richest customer per nation, in SQL with a CTE and ``ROW_NUMBER``."""
     t = _t(spark, sf_dir)
-    t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal").createOrReplaceTempView("k_customer")
+    customer = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     return spark.sql("""
         WITH ranked AS (
           SELECT c_nationkey, c_custkey, c_name, c_acctbal,
                  ROW_NUMBER() OVER (PARTITION BY c_nationkey
                                     ORDER BY c_acctbal DESC, c_custkey ASC) AS rn
-          FROM k_customer)
-        SELECT c_nationkey, c_custkey, c_name, c_acctbal FROM ranked WHERE rn = 1""")
+          FROM {customer})
+        SELECT c_nationkey, c_custkey, c_name, c_acctbal FROM ranked WHERE rn = 1""", customer=customer)
 
 
 # ------------------------------------------------------------- value scores
@@ -376,19 +376,19 @@ def log_cells(spark, sf_dir):
 
 def sql_group_order(spark, sf_dir):
     """Hand-written SQL: one-key GROUP BY with ORDER BY."""
-    _t(spark, sf_dir).customer.createOrReplaceTempView("k_customer")
     return spark.sql("""
         SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 2) AS avg_bal
-        FROM k_customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""")
+        FROM {customer} GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment""",
+                     customer=_t(spark, sf_dir).customer)
 
 
 def sql_two_key_count(spark, sf_dir):
     """Hand-written SQL: two-key GROUP BY with two counts, ordered by member."""
-    _t(spark, sf_dir).orders.createOrReplaceTempView("k_orders")
     return spark.sql("""
         SELECT o_custkey, o_orderpriority, count(o_custkey) AS n_member,
                count(o_orderpriority) AS n_code
-        FROM k_orders GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""")
+        FROM {orders} GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""",
+                     orders=_t(spark, sf_dir).orders)
 
 
 def tags_string_to_cells(spark, sf_dir):
