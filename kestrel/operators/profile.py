@@ -124,6 +124,55 @@ class BucketedProfileTable:
         return v
 
 
+class TagColumnStore:
+    """The profile kept as one narrow table per tag column: ``<root>/<tag>/v=<n>``.
+
+    Saving a tag job's result rewrites only that tag's ``(userId, value)``
+    table (upserted into its previous version); the other tags are not
+    touched, so the write grows with one column, not with the whole profile.
+    ``read`` assembles the wide profile with one shuffle: the narrow tables
+    are stacked as ``(userId, tag, value)`` cells and pivoted back.  Values
+    are kept as strings, like the cells of a wide-column store; a user with
+    no non-null tag value has no row.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str = KEY):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+
+    def _column(self, tag: str) -> ProfileStore:
+        return ProfileStore(self.spark, f"{self.root}/{tag}", self.key)
+
+    def tags(self) -> list[str]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+        return sorted(n for n in names if self._column(n).current_version() is not None)
+
+    def save(self, new: DataFrame) -> dict[str, int]:
+        """Upsert every tag column of ``new`` into its own table."""
+        versions = {}
+        for c in new.columns:
+            if c == self.key:
+                continue
+            col = new.select(F.col(self.key), F.col(c).cast("string").alias("value"))
+            versions[c] = self._column(c).save(col)
+        return versions
+
+    def read(self, tags: list[str] | None = None) -> DataFrame | None:
+        tags = sorted(tags or self.tags())
+        if not tags:
+            return None
+        cells = None
+        for t in tags:
+            part = (self._column(t).read().where(F.col("value").isNotNull())
+                    .select(F.col(self.key), F.lit(t).alias("tag"), "value"))
+            cells = part if cells is None else cells.unionByName(part)
+        return cells.groupBy(self.key).pivot("tag", tags).agg(F.first("value"))
+
+
 def recommendations_to_strings(recs: DataFrame, *, user: str = "userId",
                                item: str = "productId", rating: str = "rating",
                                array: str = "recommendations") -> DataFrame:

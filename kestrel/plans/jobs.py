@@ -88,23 +88,26 @@ def run(spark, catalog: DataFrame, tag_id: int, model: str, *, store=None, as_of
 def main(argv=None):
     from pyspark.sql import SparkSession
 
-    from kestrel.operators.profile import ProfileStore
+    from kestrel.operators.profile import ProfileStore, TagColumnStore
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--catalog", required=True, help="parquet folder of tag rows")
     ap.add_argument("--tag", type=int, required=True)
     ap.add_argument("--model", required=True, choices=sorted(MODELS))
     ap.add_argument("--profile", required=True, help="shared folder of the profile versions")
+    ap.add_argument("--layout", choices=("wide", "columns"), default="wide",
+                    help="wide parquet versions, or one narrow table per tag")
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--base", default=None, help="folder of tables named by 'table=' rules")
     ap.add_argument("--param", action="append", default=[], help="key=value model parameter")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     params = dict(p.split("=", 1) for p in a.param)
-    store = ProfileStore(spark, a.profile)
+    store = (ProfileStore(spark, a.profile) if a.layout == "wide"
+             else TagColumnStore(spark, a.profile))
     run(spark, spark.read.parquet(a.catalog), a.tag, a.model, store=store, as_of=a.as_of,
         base=a.base, **params)
-    print(f"profile version {store.current_version()}")
+    print("saved")
 
 
 if __name__ == "__main__":

@@ -97,3 +97,14 @@ def test_job_runner_rule_and_cycle_models(spark, tmp_path):
     jobs.run(spark, catalog, 347, "consume_cycle", store=store, as_of="2020-07-20")
     assert rows(store.read(), "userId", "gender", "consumecycle") == [
         (1, "m", "8-14"), (2, "f", None), (3, "m", None)]
+
+
+def test_tag_column_store_matches_wide_upsert(spark, tmp_path):
+    store = profile.TagColumnStore(spark, str(tmp_path / "cols"))
+    a = spark.createDataFrame([(1, "m", "x"), (2, "f", None)], "userId long, gender string, job string")
+    b = spark.createDataFrame([(2, "teacher"), (3, "student"), (1, None)], "userId long, job string")
+    assert store.save(a) == {"gender": 1, "job": 1}
+    assert store.save(b) == {"job": 2}          # gender is not rewritten
+    assert store.tags() == ["gender", "job"]
+    wide = profile.upsert(a.selectExpr("userId", "gender", "job"), b)
+    assert rows(store.read(), "userId", "gender", "job") == rows(wide)
