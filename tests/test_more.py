@@ -108,3 +108,18 @@ def test_tag_column_store_matches_wide_upsert(spark, tmp_path):
     assert store.tags() == ["gender", "job"]
     wide = profile.upsert(a.selectExpr("userId", "gender", "job"), b)
     assert rows(store.read(), "userId", "gender", "job") == rows(wide)
+
+
+def test_job_cli_columns_layout(spark, tmp_path, capsys):
+    from kestrel.plans import jobs
+    users = str(tmp_path / "users")
+    spark.createDataFrame([(1, "3"), (2, "5")], "id long, job string").write.parquet(users)
+    cat_path = str(tmp_path / "catalog")
+    spark.createDataFrame([(321, "job", f"inType=parquet\ninPath={users}\nselectFieldNames=id,job", 4, 1),
+                           (324, "soldier", "3", 5, 321), (326, "teacher", "5", 5, 321)],
+                          CATALOG).write.parquet(cat_path)
+    jobs.main(["--catalog", cat_path, "--tag", "321", "--model", "job",
+               "--profile", str(tmp_path / "p"), "--layout", "columns"])
+    assert "saved" in capsys.readouterr().out
+    got = profile.TagColumnStore(spark, str(tmp_path / "p")).read()
+    assert rows(got, "userId", "job") == [(1, "soldier"), (2, "teacher")]
