@@ -190,13 +190,25 @@ def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str =
     clicks = (logs.select(F.col(user).alias("__user"), it.alias("__item"))
               .where(F.col("__user").isNotNull() & F.col("__item").isNotNull())
               .groupBy("__user", "__item").agg(F.count(F.lit(1)).cast("float").alias("clicks")))
+    # The (user, item) counts are read by the id checks and by every ALS
+    # pass: compute them once (far smaller than the logs) into the shared
+    # checkpoint folder.
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(logs.sparkSession)
+    clicks = clicks.checkpoint()
     clicks, umap = ml.int_ids(clicks, "__user", "uid")
     clicks, imap = ml.int_ids(clicks, "__item", "iid")
     model = ml.als(True, user="uid", item="iid", rating="clicks", rank=rank, max_iter=max_iter,
                    reg=reg, alpha=alpha).fit(clicks)
     recs = model.recommendForAllUsers(top_n)
-    recs = recs.select("uid", F.explode("recommendations").alias("r")).select(
-        "uid", F.col("r.iid").alias("iid"), F.col("r.rating").alias("rating"))
+    if umap is None and imap is None:
+        # ids were used as they are: reshape each user's top-N array in place
+        recs = recs.select(F.col("uid").cast("long").alias("userId"), F.transform(
+            "recommendations", lambda x: F.struct(x["iid"].cast("long").alias("productId"),
+                                                  x["rating"].alias("rating"))).alias("recommendations"))
+        return recommendations_to_strings(recs)
+    recs = recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
+        "uid", "pos", F.col("r.iid").alias("iid"), F.col("r.rating").alias("rating"))
     if imap is not None:
         recs = recs.join(imap, "iid").withColumnRenamed("__item", "productId")
     else:
@@ -205,9 +217,9 @@ def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str =
         recs = recs.join(umap, "uid").withColumnRenamed("__user", "userId")
     else:
         recs = recs.withColumn("userId", F.col("uid").cast("long"))
+    # back to one row per user, in the model's order (at most top_n per user)
     grouped = recs.groupBy("userId").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("rating")).alias("neg"),
-                                             F.col("productId"), F.col("rating")))).alias("recommendations"))
+        F.sort_array(F.collect_list(F.struct("pos", "productId", "rating"))).alias("recommendations"))
     return recommendations_to_strings(grouped)
 
 
