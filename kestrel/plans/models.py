@@ -237,6 +237,10 @@ def rating_model(ratings: DataFrame, *, user: str, item: str, rating: str, rank:
     """
     data = ratings.select(F.col(user).alias("__user"), F.col(item).alias("__item"),
                           F.col(rating).cast("float").alias("r"))
+    # read by the id checks, the split and both fits: compute once
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(ratings.sparkSession)
+    data = data.checkpoint()
     data, umap = ml.int_ids(data, "__user", "uid")
     data, imap = ml.int_ids(data, "__item", "iid")
     data = data.select("uid", "iid", "r")
