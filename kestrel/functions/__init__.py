@@ -1 +1 @@
-
+"""Column helpers: score buckets, ranges and URLs, dates."""

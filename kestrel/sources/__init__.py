@@ -1 +1 @@
-
+"""Readers: driver tables, tag rules, condition strings, business sources."""

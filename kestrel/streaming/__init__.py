@@ -1 +1 @@
-
+"""Tag jobs run per micro-batch (Structured Streaming foreachBatch upsert)."""
