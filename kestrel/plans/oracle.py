@@ -8,6 +8,7 @@ share with it only the fixed values (rules, thresholds, dates).
 from __future__ import annotations
 
 from kestrel.functions.scoring import score_sql
+from kestrel.operators.cleanup import LEHMER_A, LEHMER_M, PAY_CODES, PAY_NAMES
 from kestrel.plans import shop as s
 
 
@@ -89,12 +90,11 @@ GEO = f"""
   UNION ALL SELECT DISTINCT CAST(100000 + c_nationkey * 100 + ascii(c_mktsegment) AS BIGINT),
          lower(c_mktsegment), c_mktsegment, 5, CAST(1000 + c_nationkey AS BIGINT) FROM customer"""
 
-_LEHMER1 = f"((o_orderkey % {2147483647}) * 48271) % 2147483647"
-_LEHMER2 = f"(({_LEHMER1}) * 48271) % 2147483647"
+_LEHMER1 = f"((o_orderkey % {LEHMER_M}) * {LEHMER_A}) % {LEHMER_M}"
+_LEHMER2 = f"(({_LEHMER1}) * {LEHMER_A}) % {LEHMER_M}"
 _PAY_IN = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in s.PRIORITY_PAY.items())
-_CODES = "[" + _in(["alipay", "wxpay", "chinapay", "cod"]) + "]"
-_NAMES = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in
-                  {"alipay": "支付宝", "wxpay": "微信支付", "chinapay": "银联支付", "cod": "货到付款"}.items())
+_CODES = "[" + _in(PAY_CODES) + "]"
+_NAMES = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in PAY_NAMES.items())
 
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -213,8 +213,8 @@ ORACLE = {
         SELECT o_orderkey,
                CAST(CASE WHEN o_custkey >= {s.MEMBER_LIMIT} THEN ({_LEHMER1}) % {s.MEMBER_LIMIT} + 1
                          ELSE o_custkey END AS BIGINT) AS memberid,
-               CASE WHEN pc IN {tuple(['alipay', 'wxpay', 'chinapay', 'cod'])}
-                    THEN pc ELSE {_CODES}[({_LEHMER2}) % 4 + 1] END AS paymentcode,
+               CASE WHEN pc IN ({_in(PAY_CODES)})
+                    THEN pc ELSE {_CODES}[({_LEHMER2}) % {len(PAY_CODES)} + 1] END AS paymentcode,
                CAST((floor(t / 86400) + 350) * 86400 AS BIGINT) AS finishtime
         FROM src)
       SELECT o_orderkey, memberid, paymentcode, finishtime,
