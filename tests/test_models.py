@@ -152,3 +152,14 @@ def test_weighted_elbow_equals_full(spark):
     full = ml.elbow(data, [3], max_iter=10)[0]
     w = ml.elbow(data, [3], max_iter=10, discrete=True)[0]
     assert abs(full["cost"] - w["cost"]) < 1e-9 and abs(full["silhouette"] - w["silhouette"]) < 1e-9
+
+
+def test_null_score_policy_before_clustering(spark):
+    # q7: a null score cannot enter the vector; skip drops the user, error fails
+    import pytest
+    tags = spark.createDataFrame(VALUE_TAGS, CATALOG)
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, 5.0), (4, 5.0)], "userId long, s double")
+    out = models.kmeans_tag(df, ["s"], tags, 2, out="v", null_policy="skip")
+    assert sorted(r.userId for r in out.collect()) == [1, 3, 4]
+    with pytest.raises(Exception):
+        models.kmeans_tag(df, ["s"], tags, 2, out="v", null_policy="error").collect()

@@ -207,3 +207,12 @@ def test_hot_user_aggregates(spark):
                               as_of="2020-01-02")
     hot = e.where("userId = 1").first()
     assert (hot.frequency, hot.engagements, hot.recency) == (3000, 7, 1)
+
+
+def test_range_gap_drops_or_keeps(spark):
+    # q20: a value outside every range gives no row, unless kept with a null tag
+    cycles = spark.createDataFrame([(348, "0-7", "0-7", 5, 347), (349, "8-14", "8-14", 5, 347)], CATALOG)
+    users = spark.createDataFrame([(1, 3), (2, 10), (3, 200)], "id long, days int")
+    assert rows(match.range_match(users, "days", cycles)) == [(1, "0-7"), (2, "8-14")]
+    assert rows(match.range_match(users, "days", cycles, on_unmatched="null")) == [
+        (1, "0-7"), (2, "8-14"), (3, None)]
