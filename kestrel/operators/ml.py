@@ -61,14 +61,27 @@ def kmeans(df: DataFrame, k: int, *, max_iter: int = 20, seed: int = KMEANS_SEED
     return km.fit(df)
 
 
+def parallel_fits(fit, settings, parallelism: int = 4) -> list:
+    """``[fit(s) for s in settings]`` with the fits submitted as concurrent
+    Spark jobs (as ``CrossValidator(parallelism=...)`` does); order kept."""
+    settings = list(settings)
+    if parallelism <= 1 or len(settings) <= 1:
+        return [fit(s) for s in settings]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(settings))) as pool:
+        return list(pool.map(fit, settings))
+
+
 def kmeans_sweep(df: DataFrame, k: int, *, iters=KMEANS_SWEEP_ITERS, seed: int = KMEANS_SEED,
-                 features: str = "features", weight: str | None = None) -> KMeansModel:
-    """Fit one model per ``maxIter`` and keep the lowest within-cluster cost."""
+                 features: str = "features", weight: str | None = None,
+                 parallelism: int = 3) -> KMeansModel:
+    """Fit one model per ``maxIter`` and keep the lowest within-cluster cost
+    (first of the sweep on a tie).  The fits run concurrently on the cluster."""
     cols = [features] + ([weight] if weight else [])
     data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = [kmeans(data, k, max_iter=i, seed=seed, features=features, weight=weight)
-                  for i in iters]
+        models = parallel_fits(lambda i: kmeans(data, k, max_iter=i, seed=seed, features=features,
+                                                weight=weight), iters, parallelism)
     finally:
         data.unpersist()
     return min(models, key=lambda m: m.summary.trainingCost)
@@ -208,7 +221,7 @@ def silhouette(pred: DataFrame, features: str = "features", distance: str = "squ
 
 def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter: int = 50,
           seed: int = KMEANS_SEED, distance: str = "euclidean",
-          discrete: bool = False) -> list[dict]:
+          discrete: bool = False, parallelism: int = 4) -> list[dict]:
     """KMeans for each k: cost, silhouette and cluster sizes (k small rows each).
 
     ``discrete``: the vectors take few distinct values, so each k-means is
@@ -219,19 +232,20 @@ def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter
     data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     fit_on = (distinct_weighted(data, [features], "__w").persist(StorageLevel.MEMORY_AND_DISK)
               if discrete else data)
-    out = []
+
+    def one(k):
+        m = kmeans(fit_on, k, max_iter=max_iter, seed=seed, features=features,
+                   distance=distance, weight="__w" if discrete else None)
+        pred = m.transform(data)
+        ev = "cosine" if distance == "cosine" else "squaredEuclidean"
+        sizes = [int(n) for n in m.summary.clusterSizes]
+        # silhouette is undefined with a single non-empty cluster
+        sil = (float(silhouette(pred, features, ev)) if sum(1 for n in sizes if n > 0) > 1
+               else float("nan"))
+        return {"k": k, "cost": float(m.summary.trainingCost), "silhouette": sil, "sizes": sizes}
+
     try:
-        for k in ks:
-            m = kmeans(fit_on, k, max_iter=max_iter, seed=seed, features=features,
-                       distance=distance, weight="__w" if discrete else None)
-            pred = m.transform(data)
-            ev = "cosine" if distance == "cosine" else "squaredEuclidean"
-            sizes = [int(n) for n in m.summary.clusterSizes]
-            # silhouette is undefined with a single non-empty cluster
-            sil = (float(silhouette(pred, features, ev)) if sum(1 for n in sizes if n > 0) > 1
-                   else float("nan"))
-            out.append({"k": k, "cost": float(m.summary.trainingCost), "silhouette": sil,
-                        "sizes": sizes})
+        out = parallel_fits(one, ks, parallelism)
     finally:
         if discrete:
             fit_on.unpersist()
