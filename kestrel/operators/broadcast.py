@@ -18,8 +18,36 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plan over in-memory literal rows only (``LocalRelation`` leaves, no
+    join or generator that could multiply rows) is bounded by its leaves'
+    row counts, known without running anything; otherwise a bounded count
+    job decides.
+    """
+    bound = _literal_bound(df)
+    if bound is not None and bound <= max_rows:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _literal_bound(df: DataFrame) -> int | None:
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        text = plan.toString()
+        if "Join" in text or "Generate" in text or "Expand" in text:
+            return None
+        leaves = plan.collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if leaf.getClass().getSimpleName() != "LocalRelation":
+                return None
+            total += leaf.data().size()
+        return total
+    except Exception:  # plan API not reachable (e.g. a remote session): count instead
+        return None
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if within(df, max_rows) else df

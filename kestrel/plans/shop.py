@@ -106,7 +106,11 @@ CATALOG_SCHEMA = "id long, name string, rule string, level int, pid long"
 
 
 def shop_tags(spark: SparkSession, tag_id: int, name: str, rules) -> DataFrame:
-    return spark.createDataFrame(tag_rows(tag_id, name, rules), CATALOG_SCHEMA)
+    """Catalog rows of one tag as an in-memory literal table (a local relation,
+    whose size the planner knows)."""
+    import pandas as pd
+    rows = pd.DataFrame(tag_rows(tag_id, name, rules), columns=["id", "name", "rule", "level", "pid"])
+    return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -293,7 +297,8 @@ def usg_share_label(spark, sf_dir):
 
 def dict_encode(spark, sf_dir):
     t = _t(spark, sf_dir)
-    dim = spark.createDataFrame(TYPE_DIM, "id int, name string")
+    import pandas as pd
+    dim = spark.createDataFrame(pd.DataFrame(TYPE_DIM, columns=["id", "name"]), "id int, name string")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     p = t.part.select("p_partkey", "p_type")
     j = lines.join(p, lines["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "p_type")

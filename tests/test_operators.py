@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF, rows
 from kestrel.operators import catalog as cat
 from kestrel.operators import cleanup, match, measures, profile
 
@@ -216,3 +216,12 @@ def test_range_gap_drops_or_keeps(spark):
     assert rows(match.range_match(users, "days", cycles)) == [(1, "0-7"), (2, "8-14")]
     assert rows(match.range_match(users, "days", cycles, on_unmatched="null")) == [
         (1, "0-7"), (2, "8-14"), (3, None)]
+
+
+def test_literal_tables_are_bounded_without_a_job(spark):
+    import pandas as pd
+    from kestrel.operators import broadcast
+    lit = spark.createDataFrame(pd.DataFrame({"rule": ["1", "2"], "name": ["a", "b"]}))
+    assert broadcast._literal_bound(lit.groupBy("rule").count()) == 2
+    assert broadcast._literal_bound(spark.read.parquet(f"{SF}/nation.parquet")) is None
+    assert broadcast.within(lit, 1) is False and broadcast.within(lit, 2) is True
