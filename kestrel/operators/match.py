@@ -78,8 +78,9 @@ def range_match(biz: DataFrame, value, tags_or_ranges: DataFrame, *, key: str =
     ``tags_or_ranges`` is either catalog rows (level-5 range rules) or a range
     table ``(name, start, end)``.  With a bounded range table the join is a
     broadcast nested-loop join (each row checks the few ranges).  Beyond the
-    bound the ranges are cut into buckets of ``bucket_width`` and the join
-    becomes an equi join on the bucket followed by the range test.
+    bound the ranges are cut into buckets of ``bucket_width`` (default: the
+    median range length) and the join becomes an equi join on the bucket
+    followed by the range test.
     """
     if on_unmatched not in ("drop", "null"):
         raise ValueError("range_match supports on_unmatched 'drop' or 'null'")
@@ -93,9 +94,12 @@ def range_match(biz: DataFrame, value, tags_or_ranges: DataFrame, *, key: str =
         r = F.broadcast(ranges)
         j = left.join(r, left["__v"].between(r["start"], r["end"]), how)
     else:
-        if not bucket_width:
-            raise ValueError("range table above the broadcast bound: give bucket_width")
-        w = int(bucket_width)
+        # Equi join on buckets of width w; each range is copied into the
+        # buckets it covers.  By default w is the median range length, so a
+        # typical range covers one or two buckets (one small aggregation job).
+        w = int(bucket_width or ranges.agg(F.percentile_approx(
+            F.col("end") - F.col("start") + 1, 0.5)).first()[0] or 1)
+        w = max(w, 1)
         rb = ranges.withColumn(
             "__b", F.explode(F.sequence(F.floor(F.col("start") / w), F.floor(F.col("end") / w))))
         lb = left.withColumn("__b", F.floor(F.col("__v") / w))

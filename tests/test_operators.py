@@ -225,3 +225,10 @@ def test_literal_tables_are_bounded_without_a_job(spark):
     assert broadcast._literal_bound(lit.groupBy("rule").count()) == 2
     assert broadcast._literal_bound(spark.read.parquet(f"{SF}/nation.parquet")) is None
     assert broadcast.within(lit, 1) is False and broadcast.within(lit, 2) is True
+
+
+def test_range_match_bucketed_default_width(spark):
+    ranges = spark.createDataFrame([(f"r{i}", i * 10, i * 10 + 9) for i in range(50)],
+                                   "name string, start int, end int")
+    vals = spark.createDataFrame([(i, i * 3) for i in range(200)], "id long, v int")
+    assert rows(match.range_match(vals, "v", ranges, max_ranges=10)) == rows(match.range_match(vals, "v", ranges))
