@@ -112,3 +112,18 @@ def test_parse_delimited_lines_keeps_trailing_empties(spark):
 def test_tables_reader(spark):
     t = Tables(spark, SF)
     assert t.region.count() == 5
+
+
+def test_jdbc_append_with_capped_connections_and_cell_export(spark, tmp_path):
+    from kestrel.sources import sinks
+    url = "jdbc:derby:memory:kestrel_sink;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.range(0, 500, numPartitions=16).selectExpr("CAST(id AS INT) AS ID", "CAST(id % 7 AS INT) AS K")
+    sinks.write_jdbc(df, url, "ORDERS_T", properties=props, mode="overwrite", max_connections=2)
+    sinks.write_jdbc(df, url, "ORDERS_T", properties=props, max_connections=2)
+    assert meta.read_jdbc_table(spark, url, "ORDERS_T", props).count() == 1000
+    out = str(tmp_path / "cells")
+    sinks.export_cells(spark.createDataFrame([(2, "b"), (1, "a")], "id long, name string"), "id", "d", out)
+    got = [tuple(r) for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == [("1", "d", "id", "1"), ("1", "d", "name", "a"), ("2", "d", "id", "2"),
+                           ("2", "d", "name", "b")]
