@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from kestrel.operators.match import BUSINESS_LEVEL
 from kestrel.sources.conditions import conditions_predicate, where_condition_predicate
 
-IN_TYPES = ("hdfs", "csv", "hive", "table", "mysql", "jdbc", "hbase", "wide", "parquet")
+IN_TYPES = ("hdfs", "csv", "hive", "table", "mysql", "jdbc", "hbase", "wide", "parquet", "cells")
 
 
 def rule_to_map(rule: Column) -> Column:
@@ -84,6 +84,10 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
     if in_type in ("mysql", "jdbc"):
         return read_jdbc_query(spark, rule["url"], rule["sql"], driver=rule.get("driver"),
                                user=rule.get("user"), password=rule.get("password"))
+    if in_type == "cells":
+        return cells_scan(spark, rule.get("inPath") or rule["path"], rule.get("family"), fields,
+                          rule.get("filterConditions"), rule.get("whereCondition"), as_of,
+                          key=rule.get("rowKey") or "row_key")
     if in_type in ("hbase", "wide"):
         return wide_scan(spark, rule.get("hbaseTable") or rule.get("table") or rule["path"],
                          fields, rule.get("filterConditions"), rule.get("whereCondition"), as_of)
@@ -146,6 +150,31 @@ def wide_scan(spark: SparkSession, table_or_path: str, select_fields=None,
     return _project(_filter(df, preds), fields, as_string=True)
 
 
+def cells_scan(spark: SparkSession, path: str, family: str | None, select_fields,
+               filter_conditions: str | None = None, where_condition: str | None = None,
+               as_of=None, key: str = "row_key", missing_passes: bool = True) -> DataFrame:
+    """Scan of key-value cells ``(row_key, family, qualifier, value)`` as a
+    wide, all-string table: the family and the selected qualifiers are
+    filtered in the scan, then one shuffle pivots the cells back into rows
+    (``key`` names the row-key column; a selected field of that name is the
+    row key itself).  Conditions apply as in :func:`wide_scan`.
+    """
+    if isinstance(select_fields, str):
+        select_fields = [f.strip() for f in select_fields.split(",") if f.strip()]
+    fields = [f for f in (select_fields or []) if f != key]
+    if not fields:
+        raise ValueError("cells_scan needs the qualifiers to read (selectFieldNames)")
+    cells = spark.read.parquet(path)
+    if family:
+        cells = cells.where(F.col("family") == family)
+    cells = cells.where(F.col("qualifier").isin(*fields))
+    wide = (cells.groupBy(F.col("row_key").alias(key)).pivot("qualifier", fields)
+            .agg(F.first("value")))
+    preds = [conditions_predicate(filter_conditions, missing_passes),
+             where_condition_predicate(where_condition, as_of, wide)]
+    return _filter(wide, preds).select(key, *fields)
+
+
 def parse_delimited_lines(lines: DataFrame, names: list[str], sep: str = "\t",
                           types: dict | None = None, value: str = "value",
                           regex: bool = False) -> DataFrame:

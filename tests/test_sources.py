@@ -127,3 +127,18 @@ def test_jdbc_append_with_capped_connections_and_cell_export(spark, tmp_path):
     got = [tuple(r) for r in spark.read.parquet(out).collect()]
     assert sorted(got) == [("1", "d", "id", "1"), ("1", "d", "name", "a"), ("2", "d", "id", "2"),
                            ("2", "d", "name", "b")]
+
+
+def test_cells_round_trip_scan(spark, tmp_path):
+    from kestrel.sources import sinks
+    users = spark.createDataFrame([(1, "1", "2019-08-01"), (2, "2", "2019-10-01"), (3, None, "2019-07-01")],
+                                  "id long, gender string, modified string")
+    out = str(tmp_path / "tbl_users")
+    sinks.export_cells(users, "id", "detail", out, include_key=False)
+    got = meta.read_source(spark, {"inType": "cells", "inPath": out, "family": "detail",
+                                   "selectFieldNames": "id,gender,modified", "rowKey": "id",
+                                   "filterConditions": "modified[lt]2019-09-01"})
+    assert got.columns == ["id", "gender", "modified"]
+    assert rows(got) == [("1", "1", "2019-08-01"), ("3", None, "2019-07-01")]
+    other = meta.cells_scan(spark, out, "nofamily", ["gender"])
+    assert other.count() == 0
