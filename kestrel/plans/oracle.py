@@ -306,4 +306,10 @@ ORACLE = {
     "sql_two_key_count": """
       SELECT o_custkey, o_orderpriority, count(o_custkey) AS n_member, count(o_orderpriority) AS n_code
       FROM orders GROUP BY o_custkey, o_orderpriority ORDER BY o_custkey, o_orderpriority""",
+    "cells_round_trip": """
+      SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment,
+             CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal
+      FROM customer
+      WHERE (c_mktsegment IS NULL OR c_mktsegment = 'BUILDING')
+        AND (c_nationkey IS NULL OR CAST(c_nationkey AS VARCHAR) < '2')""",
 }

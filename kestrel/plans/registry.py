@@ -13,7 +13,7 @@ SQL_CHECKED = [
     "profile_upsert", "sync_table_strings", "to_cells", "drop_malformed",
     "tags_string_to_cells", "order_cleanup", "mean_impute", "contingency", "topk_limit",
     "tag_fetch_union", "tag_children", "tag_path", "tag_model_left", "center_rank",
-    "log_cells", "sql_group_order", "sql_two_key_count", "template_pay_type",
+    "log_cells", "sql_group_order", "sql_two_key_count", "template_pay_type", "cells_round_trip",
 ]
 
 

@@ -379,6 +379,24 @@ def log_cells(spark, sf_dir):
     return profile.log_lines_to_cells(raw_lines(_t(spark, sf_dir)), EVENT_FIELDS, "event_id", "detail")
 
 
+# Fixed value: conditions of the cell-scan query (compared as strings).
+CELL_CONDITIONS = "c_mktsegment[eq]BUILDING,c_nationkey[lt]2"
+
+
+def cells_round_trip(spark, sf_dir):
+    """Customer rows exported as key-value cells (family ``user``) into the
+    shared checkpoint folder, then read back as a wide all-string table with
+    a condition list, like a scan of the key-value store."""
+    import uuid
+
+    from kestrel.sources.meta import cells_scan
+    from kestrel.sources.sinks import export_cells
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cells-{uuid.uuid4().hex}"
+    export_cells(_t(spark, sf_dir).customer, "c_custkey", "user", folder, include_key=False)
+    return cells_scan(spark, folder, "user", ["c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal"],
+                      CELL_CONDITIONS, key="c_custkey")
+
+
 def sql_group_order(spark, sf_dir):
     """Hand-written SQL: one-key GROUP BY with ORDER BY."""
     return spark.sql("""
