@@ -40,20 +40,25 @@ def rfm_measures(orders: DataFrame, *, user: str, order_id: str, amount: str, ts
 
 
 def rfe_measures(events: DataFrame, *, user: str, ts: str, page: str,
-                 recency_ts: Column | None = None, as_of=None, shift_days: int = 0) -> DataFrame:
+                 recency_ts: Column | None = None, as_of=None, shift_days: int = 0,
+                 approx_rsd: float | None = None) -> DataFrame:
     """``(userId, recency, frequency, engagements)``.
 
     recency = days from the latest visit (or the latest ``recency_ts`` when
     given, e.g. only purchases) to ``as_of - shift_days``; frequency = visits;
     engagements = distinct pages (exact ``count(DISTINCT)``, which Spark runs
     as two aggregations keyed first on (user, page), so a heavy user is spread
-    over many tasks).
+    over many tasks).  With ``approx_rsd`` the count is a HyperLogLog++
+    estimate with that relative error: one aggregation, no (user, page)
+    shuffle.
     """
     last = F.max(F.to_date(recency_ts if recency_ts is not None else _c(ts)))
+    distinct = (F.countDistinct(_c(page)) if approx_rsd is None
+                else F.approx_count_distinct(_c(page), approx_rsd))
     g = (events.groupBy(_c(user).alias("userId"))
          .agg(last.alias("__last"),
               F.count(F.lit(1)).alias("frequency"),
-              F.countDistinct(_c(page)).alias("engagements")))
+              distinct.alias("engagements")))
     ref = F.date_sub(as_of_date(as_of), shift_days) if shift_days else as_of_date(as_of)
     return g.select("userId", F.datediff(ref, F.col("__last")).cast("long").alias("recency"),
                     "frequency", "engagements")

@@ -232,3 +232,15 @@ def test_range_match_bucketed_default_width(spark):
                                    "name string, start int, end int")
     vals = spark.createDataFrame([(i, i * 3) for i in range(200)], "id long, v int")
     assert rows(match.range_match(vals, "v", ranges, max_ranges=10)) == rows(match.range_match(vals, "v", ranges))
+
+
+def test_rfe_approx_distinct_close_to_exact(spark):
+    df = spark.createDataFrame([(u, f"p{i % (50 + u)}", "2020-01-01") for u in range(3) for i in range(400)],
+                               "u long, page string, ts string")
+    exact = dict((r.userId, r.engagements) for r in
+                 measures.rfe_measures(df, user="u", ts="ts", page="page", as_of="2020-01-02").collect())
+    approx = dict((r.userId, r.engagements) for r in
+                  measures.rfe_measures(df, user="u", ts="ts", page="page", as_of="2020-01-02",
+                                        approx_rsd=0.01).collect())
+    assert exact == {0: 50, 1: 51, 2: 52}
+    assert all(abs(approx[u] - exact[u]) <= 2 for u in exact)

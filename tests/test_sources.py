@@ -142,3 +142,9 @@ def test_cells_round_trip_scan(spark, tmp_path):
     assert rows(got) == [("1", "1", "2019-08-01"), ("3", None, "2019-07-01")]
     other = meta.cells_scan(spark, out, "nofamily", ["gender"])
     assert other.count() == 0
+
+
+def test_duplicate_rule_keys_raise(spark):
+    tags = spark.createDataFrame([(318, "g", "inType=hive\ninType=hdfs", 4, 1)], CATALOG)
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY|Duplicate map key"):
+        meta.parse_rule(tags)
