@@ -108,6 +108,49 @@ def linreg(spark, sf_dir):
     return model.transform(data).select("o_orderkey", "prediction")
 
 
+# ------------------------------------------- labelled vectors (embeddings)
+
+def _vectors(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector
+    e = _t(spark, sf_dir).embeddings
+    return e.select("vec_id", array_to_vector("embedding").alias("features"),
+                    F.col("label").cast("double").alias("label"))
+
+
+def vector_elbow(spark, sf_dir):
+    """Elbow sweep k = 2..6 with cosine distance: cost and silhouette per k."""
+    rows = ml.elbow(_vectors(spark, sf_dir), range(2, 7), max_iter=50, distance="cosine")
+    return spark.createDataFrame([(r["k"], r["cost"], r["silhouette"]) for r in rows],
+                                 "k int, cost double, silhouette double")
+
+
+def vector_logreg_multinomial(spark, sf_dir):
+    """Standard scaling (std only) then multinomial logistic regression."""
+    data = ml.std_scale(_vectors(spark, sf_dir), out="scaled")
+    model = ml.classifier("logistic", features="scaled", family="multinomial", maxIter=20,
+                          regParam=0.0).fit(data)
+    return model.transform(data).select("vec_id", "prediction")
+
+
+def vector_cluster_contingency(spark, sf_dir):
+    """KMeans with one cluster per label, then the label x cluster table:
+    one row per label, one count column per cluster (0 when empty)."""
+    data = _vectors(spark, sf_dir)
+    k = data.select("label").distinct().count()
+    pred = ml.kmeans(data, k, max_iter=20).transform(data)
+    table = pred.groupBy("label").pivot("prediction", list(range(k))).agg(F.count(F.lit(1)))
+    return table.select("label", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"cluster_{c}")
+                                   for c in range(k)])
+
+
+def vector_tree(spark, sf_dir):
+    """Decision tree (entropy, depth 5, 32 bins) on a seeded 80 % split."""
+    data = _vectors(spark, sf_dir)
+    train, _test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
+    model = ml.classifier("tree", impurity="entropy", maxDepth=5, maxBins=32).fit(train)
+    return model.transform(data).select("vec_id", "prediction")
+
+
 # ------------------------------------------------------ feature transforms
 
 def _acct(spark, sf_dir):
@@ -149,4 +192,6 @@ QUERIES = {
     "elbow": elbow, "usg_tree": usg_tree, "bp_als_top5": bp_als_top5,
     "als_explicit_top5": als_explicit_top5, "logreg": logreg, "linreg": linreg,
     "random_forest": random_forest, "gbt": gbt,
+    "vector_elbow": vector_elbow, "vector_logreg_multinomial": vector_logreg_multinomial,
+    "vector_cluster_contingency": vector_cluster_contingency, "vector_tree": vector_tree,
 }
