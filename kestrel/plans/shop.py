@@ -270,14 +270,18 @@ def psm_score(spark, sf_dir):
 # ------------------------------------------------------------ purchase gender
 
 def labelled_lines(t: Tables) -> DataFrame:
-    """``(userId, brand, ptype, label)``: 1 when the goods say female, else 0."""
+    """``(userId, brand, ptype, label)``: 1 when the goods say female, else 0.
+
+    The label is computed on the part side before the join, so queries that
+    only need the label shuffle one int per part instead of two strings.
+    """
     lines = order_lines(t)
-    p = t.part.select("p_partkey", "p_brand", "p_type")
-    j = lines.join(p, lines["l_partkey"] == p["p_partkey"])
     label = F.when(F.col("p_brand").isin(*FEMALE_BRANDS) | F.col("p_type").isin(*FEMALE_TYPES), 1).otherwise(0)
+    p = t.part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("ptype"),
+                      label.alias("label"))
+    j = lines.join(p, lines["l_partkey"] == p["p_partkey"])
     return j.select(F.col("o_custkey").alias("userId"), "l_orderkey", "l_linenumber",
-                    F.col("p_brand").alias("brand"), F.col("p_type").alias("ptype"),
-                    label.alias("label"))
+                    "brand", "ptype", "label")
 
 
 def usg_line_label(spark, sf_dir):
