@@ -76,6 +76,47 @@ def score_measures(measures: DataFrame, tables: dict, strict: bool = False) -> D
 PSM_NULL_DEFAULT = 1e-8
 
 
+def psm_partial_sums(lines: DataFrame, keys: list, *, amount: Column, coupon: Column,
+                     cents: bool = False) -> DataFrame:
+    """Per-key partial sums of price sensitivity: ``__n`` lines, ``__s``
+    discounted lines, ``__ra`` receivable (amount + coupon), ``__da`` coupon.
+
+    All sums are exact (integer cents, or ``decimal(18,2)``), so partial sums
+    can be summed again at a coarser key with the same result; e.g. sum per
+    order before joining the orders, then per user.
+    """
+    if cents:
+        a, c = amount.cast("long"), coupon.cast("long")
+    else:
+        a, c = amount.cast(MONEY), coupon.cast(MONEY)
+    return (lines.groupBy(*[_c(k) for k in keys])
+            .agg(F.count(F.lit(1)).alias("__n"),
+                 F.sum(F.when(c != 0, 1).otherwise(0)).alias("__s"),
+                 F.sum(a + c).alias("__ra"),
+                 F.sum(c).alias("__da")))
+
+
+def psm_from_sums(sums: DataFrame, *, user: str, cents: bool = False,
+                  null_default: float | None = PSM_NULL_DEFAULT) -> DataFrame:
+    """``(userId, tdonr, tdar, adar, psm)`` from partial sums (see
+    :func:`psm_partial_sums`) carrying a ``user`` column."""
+    as_money = ((lambda c: c.cast("double") / F.lit(100.0)) if cents
+                else (lambda c: c.cast("double")))
+    g = (sums.groupBy(_c(user).alias("userId"))
+         .agg(F.sum("__n").alias("__n"), F.sum("__s").alias("__s"),
+              as_money(F.sum("__ra")).alias("__ra"), as_money(F.sum("__da")).alias("__da")))
+    n = F.col("__n").cast("double")
+    s = F.col("__s").cast("double")
+    tdonr = F.try_divide(s, n)
+    tdar = F.try_divide(F.col("__da"), F.col("__ra"))
+    adar = F.try_divide(F.try_divide(F.col("__da"), s), F.try_divide(F.col("__ra"), n))
+    psm = tdonr + tdar + adar
+    if null_default is not None:
+        psm = F.coalesce(psm, F.lit(float(null_default)))
+    return g.select("userId", tdonr.alias("tdonr"), tdar.alias("tdar"), adar.alias("adar"),
+                    psm.alias("psm"))
+
+
 def psm_measures(lines: DataFrame, *, user: str, order_id: str, amount: Column, coupon: Column,
                  null_default: float | None = PSM_NULL_DEFAULT, cents: bool = False) -> DataFrame:
     """Price sensitivity ``(userId, tdonr, tdar, adar, psm)`` from order lines.
@@ -90,31 +131,10 @@ def psm_measures(lines: DataFrame, *, user: str, order_id: str, amount: Column,
     long integer cents (the caller passes cents; same sums, but plain long
     arithmetic inside whole-stage codegen instead of wide decimals).
     """
-    if cents:
-        ra = amount.cast("long") + coupon.cast("long")
-        da = coupon.cast("long")
-        state = F.when(coupon.cast("long") != 0, 1).otherwise(0)
-        as_money = lambda c: c.cast("double") / F.lit(100.0)
-    else:
-        ra = (amount.cast(MONEY) + coupon.cast(MONEY))
-        da = coupon.cast(MONEY)
-        state = F.when(coupon.cast(MONEY) != 0, 1).otherwise(0)
-        as_money = lambda c: c.cast("double")
-    g = (lines.groupBy(_c(user).alias("userId"))
-         .agg(F.count(_c(order_id)).alias("__n"),
-              F.sum(state).alias("__s"),
-              as_money(F.sum(ra)).alias("__ra"),
-              as_money(F.sum(da)).alias("__da")))
-    n = F.col("__n").cast("double")
-    s = F.col("__s").cast("double")
-    tdonr = F.try_divide(s, n)
-    tdar = F.try_divide(F.col("__da"), F.col("__ra"))
-    adar = F.try_divide(F.try_divide(F.col("__da"), s), F.try_divide(F.col("__ra"), n))
-    psm = tdonr + tdar + adar
-    if null_default is not None:
-        psm = F.coalesce(psm, F.lit(float(null_default)))
-    return g.select("userId", tdonr.alias("tdonr"), tdar.alias("tdar"), adar.alias("adar"),
-                    psm.alias("psm"))
+    lines = lines.where(_c(order_id).isNotNull())
+    sums = psm_partial_sums(lines, [_c(user).alias("__user")], amount=amount, coupon=coupon,
+                            cents=cents)
+    return psm_from_sums(sums, user="__user", cents=cents, null_default=null_default)
 
 
 def most_frequent(df: DataFrame, *, user: str, value: str, out: str | None = None) -> DataFrame:

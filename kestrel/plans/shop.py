@@ -245,14 +245,14 @@ def _half_up_div(x: F.Column, d: int) -> F.Column:
     return F.floor((x + F.lit(d // 2)) / F.lit(d)).cast("long")
 
 
-def psm_inputs(t: Tables) -> tuple[DataFrame, F.Column, F.Column]:
+def line_money(t: Tables) -> tuple[DataFrame, F.Column, F.Column]:
     """Order lines with amount and coupon in whole cents.
 
     Prices and discounts carry two decimals, so price x discount is exact in
     1/10000 units; rounding half up to cents is an integer division.  This is
     the decimal(18,2) arithmetic of the tag, done in long integers.
     """
-    lines = order_lines(t)
+    lines = t.lineitem.select("l_orderkey", "l_extendedprice", "l_discount")
     price_c = F.round(F.col("l_extendedprice") * 100).cast("long")
     disc_pct = F.round(F.col("l_discount") * 100).cast("long")
     amount = _half_up_div(price_c * (F.lit(100) - disc_pct), 100)
@@ -262,9 +262,16 @@ def psm_inputs(t: Tables) -> tuple[DataFrame, F.Column, F.Column]:
 
 
 def psm_score(spark, sf_dir):
-    lines, amount, coupon = psm_inputs(_t(spark, sf_dir))
-    return measures.psm_measures(lines, user="o_custkey", order_id="l_orderkey",
-                                 amount=amount, coupon=coupon, cents=True)
+    """Price sensitivity per customer.  Lines are summed per order first
+    (exact integer sums), so the join with orders takes one row per order
+    instead of one per line; the per-order sums are then summed per user."""
+    t = _t(spark, sf_dir)
+    lines, amount, coupon = line_money(t)
+    per_order = measures.psm_partial_sums(lines, ["l_orderkey"], amount=amount, coupon=coupon,
+                                          cents=True)
+    o = t.orders.select("o_orderkey", "o_custkey")
+    joined = per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"])
+    return measures.psm_from_sums(joined, user="o_custkey", cents=True)
 
 
 # ------------------------------------------------------------ purchase gender
