@@ -158,6 +158,21 @@ def share_counts(labelled: DataFrame, *, user: str = "userId", label: str = "lab
                  F.count_if(F.col(label) == 1).alias("female_total")))
 
 
+def share_partials(labelled: DataFrame, keys: list, *, label: str = "label") -> DataFrame:
+    """The same counts per ``keys`` (e.g. per order), to be summed per user
+    later with :func:`share_from_partials`."""
+    return (labelled.groupBy(*[_c(k) for k in keys])
+            .agg(F.count(F.lit(1)).alias("total"),
+                 F.count_if(F.col(label) == 0).alias("male_total"),
+                 F.count_if(F.col(label) == 1).alias("female_total")))
+
+
+def share_from_partials(partials: DataFrame, *, user: str) -> DataFrame:
+    return (partials.groupBy(_c(user).alias("userId"))
+            .agg(F.sum("total").alias("total"), F.sum("male_total").alias("male_total"),
+                 F.sum("female_total").alias("female_total")))
+
+
 # Fixed value: share of lines that decides a purchase gender.
 GENDER_SHARE = 0.6
 

@@ -283,9 +283,8 @@ def labelled_lines(t: Tables) -> DataFrame:
     only need the label shuffle one int per part instead of two strings.
     """
     lines = order_lines(t)
-    label = F.when(F.col("p_brand").isin(*FEMALE_BRANDS) | F.col("p_type").isin(*FEMALE_TYPES), 1).otherwise(0)
     p = t.part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("ptype"),
-                      label.alias("label"))
+                      female_label().alias("label"))
     j = lines.join(p, lines["l_partkey"] == p["p_partkey"])
     return j.select(F.col("o_custkey").alias("userId"), "l_orderkey", "l_linenumber",
                     "brand", "ptype", "label")
@@ -296,9 +295,28 @@ def usg_line_label(spark, sf_dir):
     return labelled_lines(t).select("l_orderkey", "l_linenumber", "userId", "label")
 
 
+def female_label() -> F.Column:
+    """1 when the goods (brand, type) say female, else 0."""
+    return F.when(F.col("p_brand").isin(*FEMALE_BRANDS) | F.col("p_type").isin(*FEMALE_TYPES),
+                  1).otherwise(0)
+
+
+def part_labels(t: Tables) -> DataFrame:
+    """``(p_partkey, label)`` per part."""
+    return t.part.select("p_partkey", female_label().alias("label"))
+
+
 def usg_share_label(spark, sf_dir):
+    """Purchase gender per customer.  Lines are labelled by their part and
+    counted per order first; the join with orders then takes one row per
+    order, and the per-order counts are summed per customer."""
     t = _t(spark, sf_dir)
-    counts = measures.share_counts(labelled_lines(t))
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    p = part_labels(t)
+    per_order = measures.share_partials(li.join(p, li["l_partkey"] == p["p_partkey"]), ["l_orderkey"])
+    o = t.orders.select("o_orderkey", "o_custkey")
+    counts = measures.share_from_partials(per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"]),
+                                          user="o_custkey")
     coded = counts.withColumn("__rule", measures.share_rule(F.col("total"), F.col("male_total"),
                                                             F.col("female_total")))
     tags = shop_tags(spark, USG_TAG, "purchase gender", USG_RULES)
