@@ -22,21 +22,29 @@ def _c(c) -> Column:
 MONEY = "decimal(18,2)"
 
 
+def cents(amount) -> Column:
+    """A money amount with at most two decimals as whole cents (long)."""
+    return F.round(_c(amount).cast("double") * 100).cast("long")
+
+
 def rfm_measures(orders: DataFrame, *, user: str, order_id: str, amount: str, ts: str,
-                 as_of=None) -> DataFrame:
+                 as_of=None, in_cents: bool = False) -> DataFrame:
     """``(userId, recency, frequency, monetary)``.
 
     recency = days from the latest order to ``as_of``; frequency = number of
-    orders; monetary = order total.
+    orders; monetary = order total, summed exactly: as ``decimal(18,2)``, or
+    with ``in_cents=True`` (amounts with at most two decimals) as long cents,
+    the same sum in plain long arithmetic.
     """
+    money = F.sum(cents(amount)) if in_cents else F.sum(_c(amount).cast(MONEY))
     g = (orders.groupBy(_c(user).alias("userId"))
          .agg(F.max(F.to_date(_c(ts))).alias("__last"),
               F.count(_c(order_id)).alias("frequency"),
-              F.sum(_c(amount).cast(MONEY)).alias("__m")))
+              money.alias("__m")))
+    monetary = (F.col("__m").cast("double") / F.lit(100.0)) if in_cents else F.col("__m").cast("double")
     return g.select("userId",
                     F.datediff(as_of_date(as_of), F.col("__last")).cast("long").alias("recency"),
-                    "frequency",
-                    F.col("__m").cast("double").alias("monetary"))
+                    "frequency", monetary.alias("monetary"))
 
 
 def rfe_measures(events: DataFrame, *, user: str, ts: str, page: str,

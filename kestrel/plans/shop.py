@@ -196,7 +196,8 @@ def top1_window(spark, sf_dir):
 def _rfm(spark, sf_dir):
     t = _t(spark, sf_dir)
     return measures.rfm_measures(t.orders, user="o_custkey", order_id="o_orderkey",
-                                 amount="o_totalprice", ts="o_orderdate", as_of=ORDERS_AS_OF)
+                                 amount="o_totalprice", ts="o_orderdate", as_of=ORDERS_AS_OF,
+                                 in_cents=True)
 
 
 SHOP_RFM_TABLES = {"recency": SHOP_RFM_RECENCY, "frequency": SHOP_RFM_FREQUENCY,
@@ -476,7 +477,8 @@ def contingency(spark, sf_dir):
 
 def topk_limit(spark, sf_dir):
     o = _t(spark, sf_dir).orders
-    spend = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spend"))
+    spend = o.groupBy("o_custkey").agg(
+        (F.sum(measures.cents("o_totalprice")).cast("double") / F.lit(100.0)).alias("spend"))
     return spend.orderBy(F.col("spend").desc(), F.col("o_custkey").asc()).limit(TOP_K)
 
 
