@@ -131,6 +131,7 @@ ORACLE = {
     "rfm_scores_strict": _scores(RFM, s.SHOP_RFM_TABLES, True),
     "rfe_measures": RFE,
     "rfe_scores": _scores(RFE, s.SHOP_RFE_TABLES, False),
+    "rfe_scores_strict": _scores(RFE, s.SHOP_RFE_TABLES, True),
     "psm_score": f"""
       WITH x AS (
         SELECT userId, l_orderkey,

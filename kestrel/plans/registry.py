@@ -8,7 +8,7 @@ from kestrel.plans.oracle import ORACLE
 SQL_CHECKED = [
     "rule_match_inner", "rule_match_left_default", "age_range", "consume_cycle",
     "pay_type_top1", "top1_window", "rfm_measures", "rfm_scores", "rfm_scores_strict",
-    "rfe_measures", "rfe_scores", "psm_score", "usg_line_label", "usg_share_label",
+    "rfe_measures", "rfe_scores", "rfe_scores_strict", "psm_score", "usg_line_label", "usg_share_label",
     "dict_encode", "condition_filter", "relative_date_filter", "url_extract", "click_ratings",
     "profile_upsert", "sync_table_strings", "to_cells", "drop_malformed",
     "tags_string_to_cells", "order_cleanup", "mean_impute", "contingency", "topk_limit",

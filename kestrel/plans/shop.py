@@ -234,6 +234,11 @@ def rfe_scores(spark, sf_dir):
     return measures.score_measures(_rfe(spark, sf_dir), SHOP_RFE_TABLES)
 
 
+def rfe_scores_strict(spark, sf_dir):
+    """Activity scores with the closed ranges kept exactly (holes score null)."""
+    return measures.score_measures(_rfe(spark, sf_dir), SHOP_RFE_TABLES, strict=True)
+
+
 def order_lines(t: Tables) -> DataFrame:
     """Order lines with their member: lineitem joined to orders on the order key."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount")
