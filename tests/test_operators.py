@@ -244,3 +244,27 @@ def test_rfe_approx_distinct_close_to_exact(spark):
                                         approx_rsd=0.01).collect())
     assert exact == {0: 50, 1: 51, 2: 52}
     assert all(abs(approx[u] - exact[u]) <= 2 for u in exact)
+
+
+def test_per_order_partials_equal_line_aggregation(spark):
+    # a hot user owns a third of the lines; sums are exact, so pre-aggregating
+    # per order and then per user gives the line-level result exactly
+    import random
+    rnd = random.Random(9)
+    lines = []
+    for o in range(900):
+        user = 1 if o % 3 == 0 else 2 + o % 50
+        for _ in range(rnd.randint(1, 6)):
+            price = rnd.randint(100, 500000)          # cents
+            disc = rnd.choice([0, 0, 5, 10, 20])      # percent
+            coupon = price * disc // 100 if disc >= 10 else 0
+            lines.append((o, user, price - coupon, coupon, rnd.randint(0, 1)))
+    df = spark.createDataFrame(lines, "o long, u long, amt long, cp long, label int")
+    direct = rows(measures.psm_measures(df, user="u", order_id="o", amount=F.col("amt"),
+                                        coupon=F.col("cp"), cents=True))
+    per_order = measures.psm_partial_sums(df, ["o", "u"], amount=F.col("amt"), coupon=F.col("cp"), cents=True)
+    staged = rows(measures.psm_from_sums(per_order, user="u", cents=True))
+    assert direct == staged
+    shares = rows(measures.share_counts(df, user="u"))
+    staged_shares = rows(measures.share_from_partials(measures.share_partials(df, ["o", "u"]), user="u"))
+    assert shares == staged_shares
