@@ -44,3 +44,20 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     want = sorted("|".join(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == want
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_QUERIES="rule_match_inner", BENCH_REPEAT="1",
+               BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, cwd="/tmp",
+                         capture_output=True, text=True, timeout=600)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and set(rec["queries"]) == {"rule_match_inner"}
+    assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-6
