@@ -137,3 +137,15 @@ def test_streaming_sink_replay_is_idempotent(spark, tmp_path):
     once = rows(store.read())
     run(b2, 1)                       # replay of batch 1
     assert rows(store.read()) == once == [(1, "m"), (2, "m"), (3, None)]
+
+
+def test_uncommitted_profile_version_is_ignored(spark, tmp_path):
+    # a job that died mid-write leaves a folder without _SUCCESS: not current
+    root = tmp_path / "p"
+    store = ProfileStore(spark, str(root))
+    store.save(spark.createDataFrame([(1, "m")], "userId long, gender string"))
+    (root / "v=2").mkdir()
+    (root / "v=2" / "part-00000.parquet").write_bytes(b"partial")
+    assert store.current_version() == 1 and rows(store.read()) == [(1, "m")]
+    assert store.save(spark.createDataFrame([(2, "f")], "userId long, gender string")) == 2
+    assert rows(store.read()) == [(1, "m"), (2, "f")]
