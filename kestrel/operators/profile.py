@@ -229,10 +229,19 @@ def to_cells(df: DataFrame, key: str, family: str, include_key: bool = True,
 
 def tags_string_to_cells(df: DataFrame, key: str, tags: str, item_sep: str = ",",
                          kv_sep: str = ":") -> DataFrame:
-    """``"field:value,field:value"`` -> ``(userId, field, value)`` rows."""
-    m = F.str_to_map(F.col(tags), F.lit(item_sep), F.lit(kv_sep))
-    return (df.select(F.col(key).alias(KEY), F.explode(m).alias("field", "value"))
-            .select(KEY, F.trim("field").alias("field"), F.trim("value").alias("value")))
+    """``"field:value,field:value"`` -> ``(userId, field, value)`` rows.
+
+    Items split on their first ``kv_sep``; an item without one has a null
+    value.  A field repeated within one string gives one row per item (no
+    job failure, unlike a map with duplicate keys).
+    """
+    import re as _re
+    items = F.explode(F.split(F.col(tags), _re.escape(item_sep)))
+    kv = F.split(F.col("__item"), _re.escape(kv_sep), 2)
+    return (df.select(F.col(key).alias(KEY), items.alias("__item"))
+            .where(F.length(F.trim("__item")) > 0)
+            .select(KEY, F.trim(kv[0]).alias("field"),
+                    F.trim(F.get(kv, 1)).alias("value")))
 
 
 def cells_to_wide(cells: DataFrame, fields: list[str], key: str = KEY) -> DataFrame:

@@ -268,3 +268,9 @@ def test_per_order_partials_equal_line_aggregation(spark):
     shares = rows(measures.share_counts(df, user="u"))
     staged_shares = rows(measures.share_from_partials(measures.share_partials(df, ["o", "u"]), user="u"))
     assert shares == staged_shares
+
+
+def test_tags_string_with_repeated_field_and_colon_value(spark):
+    df = spark.createDataFrame([(1, "gender:m,gender:f,url:http://x,flag")], "id long, tags string")
+    got = rows(profile.tags_string_to_cells(df, "id", "tags"))
+    assert got == [(1, "flag", None), (1, "gender", "f"), (1, "gender", "m"), (1, "url", "http://x")]
