@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.plans import shop
+from kestrel.plans import mining, shop
 from kestrel.plans.oracle import ORACLE
 
 SQL_CHECKED = [
@@ -18,13 +18,7 @@ SQL_CHECKED = [
 
 
 def queries() -> dict:
-    out = {name: getattr(shop, name) for name in SQL_CHECKED}
-    try:
-        from kestrel.plans import mining
-        out.update(mining.QUERIES)
-    except ImportError:  # mining plans not built
-        pass
-    return out
+    return {name: getattr(shop, name) for name in SQL_CHECKED} | mining.QUERIES
 
 
 def oracle_sql() -> dict:

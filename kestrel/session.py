@@ -41,14 +41,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder, registering it once per session.
 
-    On a cluster the platform sets it to a shared file system; only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster the platform names it in ``spark.checkpoint.dir``; a session
+    that already has a folder keeps it (setting it again would nest a new
+    folder inside the old one).  Only a local session without the setting gets
+    a scratch folder; elsewhere a missing setting is an error, since a folder
+    of the driver's machine is invisible to the executors.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
