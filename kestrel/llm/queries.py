@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from kestrel.llm import quality, sharding
+from kestrel.llm import langid, quality, secrets, sharding, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
 
+def op2_randomness_secrets(spark, sf_dir):
+    return secrets.query(documents(spark, sf_dir))
+
+
+def op3_ftrl_language(spark, sf_dir):
+    return langid.query(documents(spark, sf_dir))
+
+
+def op4_compression_toxicity(spark, sf_dir):
+    return toxicity.query(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op8_histogram_sort_shards(spark, sf_dir):
     return sharding.query(documents(spark, sf_dir))
 
