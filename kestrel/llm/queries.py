@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import langid, quality, secrets, sharding, toxicity
+from kestrel.llm import decontaminate, langid, quality, secrets, sharding, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
@@ -19,6 +19,10 @@ def op4_compression_toxicity(spark, sf_dir):
     return toxicity.query(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op6_prefix_decontamination(spark, sf_dir):
+    return decontaminate.query(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op8_histogram_sort_shards(spark, sf_dir):
     return sharding.query(documents(spark, sf_dir))
 
@@ -32,4 +36,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op6_prefix_decontamination": decontaminate.SQL}
