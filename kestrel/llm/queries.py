@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontaminate, langid, quality, secrets, sharding, toxicity
+from kestrel.llm import decontaminate, langid, quality, secrets, sharding, syncmers, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
 
+def op1_closed_syncmers(spark, sf_dir):
+    return syncmers.query(documents(spark, sf_dir))
+
+
 def op2_randomness_secrets(spark, sf_dir):
     return secrets.query(documents(spark, sf_dir))
 
