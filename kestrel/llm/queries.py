@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontaminate, langid, quality, secrets, sharding, syncmers, toxicity
+from kestrel.llm import bpe, decontaminate, langid, quality, secrets, sharding, syncmers, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
@@ -35,6 +35,10 @@ def op9_boosted_tree_quality(spark, sf_dir):
     return quality.query(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_byte_bpe(spark, sf_dir):
+    return bpe.query(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
