@@ -17,6 +17,7 @@ import re
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,8 +91,9 @@ def piece_table(texts: list[str]) -> list[int]:
         bits += 1
 
 
-SCHEMA = """t struct<bytes: array<int>, pairs: array<bigint>, slots: array<int>, texts: array<string>,
-            ids: array<array<int>>, little: array<string>, hex: array<string>>"""
+_FIELDS = {"bytes": pa.list_(pa.int32()), "pairs": pa.list_(pa.int64()), "slots": pa.list_(pa.int32()),
+           "texts": pa.list_(pa.string()), "ids": pa.list_(pa.list_(pa.int32())),
+           "little": pa.list_(pa.string()), "hex": pa.list_(pa.string())}
 
 
 @dataclass
@@ -131,7 +133,9 @@ def tables(spark: SparkSession, ranks: dict[bytes, int], known: dict[str, list[i
     pairs, slots = pair_table(ranks), piece_table(texts)
     row = ([ranks[bytes([b])] for b in range(256)], pairs, slots, texts, [whole_pieces[t] for t in texts],
            [i.to_bytes(4, "little").hex() for i in range(len(tokens))], [t.hex() for t in tokens])
-    return Tables(spark.createDataFrame([(row,)], SCHEMA), len(pairs), len(slots))
+    columns = {name: pa.array([value], kind) for (name, kind), value in zip(_FIELDS.items(), row)}
+    one = spark.createDataFrame(pa.table(columns)).select(F.struct(*_FIELDS).alias("t"))
+    return Tables(one, len(pairs), len(slots))
 
 
 # White space as Unicode defines it; Java's own \s knows ASCII only, and its flag for
