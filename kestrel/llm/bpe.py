@@ -27,7 +27,7 @@ from kestrel.llm.common import let, whole, written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-KNOWN_PIECES = 1 << 17   # frequent pieces in the table, at most
+KNOWN_PIECES = 1 << 19   # frequent pieces in the table, at most (some 50 MB)
 ID_BITS = 20             # ids are below 2^20
 SHORT = 48               # bytes; longer pieces are merged with a heap
 NONE = (1 << 31) - 1     # rank of a pair that is no token
@@ -176,20 +176,28 @@ def fold(t: Column, n_pairs: int, piece: Column) -> Column:
             found = found.when(F.shiftright(entry, ID_BITS) == key, entry.bitwiseAND(mask).cast("int"))
         return found.otherwise(NONE)
 
-    def merge(p: Column, ranks: Column, least: Column) -> Column:
-        at = F.array_position(ranks, least).cast("int")
-        return F.concat(F.slice(p, 1, at - 1), F.array(least), F.slice(p, at + 2, F.size(p)))
+    def merge(p: Column, ranks: Column, least: Column, at: Column) -> Column:
+        left, right = F.get(p, at - 2), F.get(p, at + 1)
+        beside = F.array_compact(F.array(F.when(left.isNotNull(), rank(left, least)),
+                                         F.when(right.isNotNull(), rank(least, right))))
+        n = F.size(p)
+        return F.struct(F.concat(F.slice(p, 1, at - 1), F.array(least), F.slice(p, at + 2, n)).alias("p"),
+                        F.concat(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), beside,
+                                 F.slice(ranks, at + 2, n)).alias("ranks"))
 
-    def step(p: Column) -> Column:
-        n = F.size(p) - 1
-        ranks = F.zip_with(F.slice(p, 1, n), F.slice(p, 2, n), rank)
-        return let(ranks, lambda rs: let(F.array_min(rs), lambda r: F.when(
-            r < NONE, merge(p, rs, r)).otherwise(p)))
+    def step(s: Column) -> Column:
+        least = F.array_min(s["ranks"])
+        return let(F.struct(least.alias("r"), F.array_position(s["ranks"], least).cast("int").alias("at")),
+                   lambda x: F.when(x["r"] < NONE, merge(s["p"], s["ranks"], x["r"], x["at"])).otherwise(s))
+
+    def start(p: Column) -> Column:
+        ranks = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), rank)
+        return F.struct(p.alias("p"), ranks.alias("ranks"))
 
     chars = F.filter(F.split(F.decode(piece.cast("binary"), "ISO-8859-1"), ""), lambda c: c != "")
     first = F.transform(chars, lambda c: F.get(t["bytes"], F.ascii(c)))
-    return let(first, lambda p: F.when(F.size(p) < 2, p).otherwise(
-        F.aggregate(F.sequence(F.lit(2), F.size(p)), p, lambda acc, _: step(acc))))
+    return let(first, lambda p: F.when(F.size(p) < 2, p).otherwise(F.aggregate(
+        F.sequence(F.lit(2), F.size(p)), start(p), lambda s, _: step(s), lambda s: s["p"])))
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
