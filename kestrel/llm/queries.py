@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import bpe, decontaminate, langid, quality, secrets, sharding, syncmers, toxicity
+from kestrel.llm import bpe, decontaminate, langid, neardup, quality, secrets, sharding, syncmers, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
@@ -23,6 +23,10 @@ def op4_compression_toxicity(spark, sf_dir):
     return toxicity.query(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op5_weighted_near_duplicates(spark, sf_dir):
+    return neardup.query(documents(spark, sf_dir))
+
+
 def op6_prefix_decontamination(spark, sf_dir):
     return decontaminate.query(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
