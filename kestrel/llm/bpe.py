@@ -1,11 +1,13 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-A text is cut into pieces by the tokenizer's pattern.  A piece's bytes become ids,
-and a fold merges neighbours, lowest rank first, until no pair of them is a token.
-Ranks are looked up in a fixed table that the plan holds as one literal value (the
-result of a scalar subquery): an array that two hashes of a pair point into.  Distinct
-pieces that occur often are folded once and join the table of whole pieces, as far as
-a bound in number allows; all others are folded where they stand.  Decoding
+A text is cut into pieces by the tokenizer's pattern.  The distinct pieces that occur
+most often are encoded once: a fold turns a piece's bytes into ids and merges
+neighbours, lowest rank first, until no pair of them is a token.  Ranks are looked up
+in a fixed table that the plan holds as one literal value (the result of a scalar
+subquery): an array that two hashes of a pair point into.  The encoded pieces join the
+tokens in such a table of whole pieces, and a text's ids are looked up there.  Pieces
+that are too rare for the table, which has a bound, are merged where they stand by the
+same rule in Python: the fold itself takes some ten times as long a piece.  Decoding
 concatenates the ids' bytes.
 """
 
@@ -16,8 +18,10 @@ import heapq
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +31,9 @@ from kestrel.llm.common import let, whole, written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-KNOWN_PIECES = 1 << 19   # frequent pieces in the table, at most (some 50 MB)
+KNOWN_PIECES = 1 << 18   # frequent pieces in the table, at most (some 25 MB)
 ID_BITS = 20             # ids are below 2^20
-SHORT = 48               # bytes; longer pieces are merged with a heap
+SHORT = 48               # bytes; longer pieces are merged with a heap and not counted
 NONE = (1 << 31) - 1     # rank of a pair that is no token
 
 
@@ -38,21 +42,24 @@ def load_ranks(path: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _cuckoo(places: list[tuple[int, int]], values: list[int], size: int) -> list[int] | None:
+def _cuckoo(first: np.ndarray, second: np.ndarray, values: np.ndarray, size: int) -> np.ndarray | None:
     """A table of ``size`` slots, -1 if free, with each value in one of its two places;
     None if they don't fit."""
-    table: list = [None] * size
-    for item in zip(places, values):
-        at = item[0][0]
+    held = np.full(size, -1, dtype=np.int64)  # which entry a slot has
+    lone, entry = np.unique(first, return_index=True)
+    held[lone] = entry                        # of those that share a first place, one stays
+    left = np.setdiff1d(np.arange(len(first)), entry, assume_unique=True)
+    for e in left.tolist():
+        at = int(second[e])
         for _ in range(500):
-            table[at], item = item, table[at]
-            if item is None:
+            e, held[at] = int(held[at]), e
+            if e < 0:
                 break
-            a, b = item[0]
+            a, b = int(first[e]), int(second[e])
             at = b if at == a else a
         else:
             return None
-    return [-1 if x is None else x[1] for x in table]
+    return np.where(held < 0, -1, values[held])
 
 
 def _prime(least: int) -> int:
@@ -66,27 +73,30 @@ def _prime(least: int) -> int:
 _PLACES = ((0x9E37, 0x79B9), (0x85EB, 0xCA6B))
 
 
-def pair_table(ranks: dict[bytes, int]) -> list[int]:
+def pair_table(ranks: dict[bytes, int]) -> np.ndarray:
     """Slots of every pair of tokens that makes a token: left, right and merged id."""
     pairs = [(a, b, merged) for token, merged in ranks.items() for i in range(1, len(token))
              if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
+    a, b, merged = np.array(pairs, dtype=np.int64).reshape(-1, 3).T
     size = _prime(3 * len(pairs) + 3)
     while True:
-        places = [tuple((a * p + b * q) % size for p, q in _PLACES) for a, b, _ in pairs]
-        table = _cuckoo(places, [((a << ID_BITS) | b) << ID_BITS | m for a, b, m in pairs], size)
-        if table:
+        first, second = ((a * p + b * q) % size for p, q in _PLACES)
+        table = _cuckoo(first, second, ((a << ID_BITS) | b) << ID_BITS | merged, size)
+        if table is not None:
             return table
         size = _prime(size + size // 2)
 
 
-def piece_table(texts: list[str]) -> list[int]:
+def piece_table(texts: pa.Array) -> np.ndarray:
     """Slots, a power of two, of whole pieces by the two ends of their xxhash64."""
-    hashes = [xxhash.xxh64_intdigest(t.encode(), seed=42) for t in texts]  # as Spark computes it
+    hashes = np.fromiter((xxhash.xxh64_intdigest(t.as_py().encode(), seed=42) for t in texts),
+                         dtype=np.uint64, count=len(texts))  # as Spark computes it
     bits = max(2, len(texts).bit_length() + 1)
     while True:
-        places = [(h >> (64 - bits), h & ((1 << bits) - 1)) for h in hashes]
-        table = _cuckoo(places, list(range(len(texts))), 1 << bits)
-        if table:
+        first = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        second = (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
+        table = _cuckoo(first, second, np.arange(len(texts)), 1 << bits)
+        if table is not None:
             return table
         bits += 1
 
@@ -116,24 +126,30 @@ class Tables:
         return df.withColumn("__tables", self.row.scalar())
 
 
-def tables(spark: SparkSession, ranks: dict[bytes, int], known: dict[str, list[int]] | None = None) -> Tables:
+def tables(spark: SparkSession, ranks: dict[bytes, int], known: pa.Table | None = None) -> Tables:
+    """``known`` has piece, ids: pieces besides the tokens themselves."""
     if max(ranks.values()) >= 1 << ID_BITS:
         raise ValueError("token ids must be below 2^20")
-    whole_pieces = {}
+    whole_tokens = {}
+    tokens = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
+        tokens[i] = token
         try:
-            whole_pieces[token.decode()] = [i]
+            whole_tokens[token.decode()] = [i]
         except UnicodeDecodeError:  # part of a character: never a whole piece
             pass
-    whole_pieces = (known or {}) | whole_pieces
-    texts = list(whole_pieces)
-    tokens = [b""] * (max(ranks.values()) + 1)
-    for token, i in ranks.items():
-        tokens[i] = token
+    texts = pa.array(list(whole_tokens), pa.string())
+    ids = pa.array(list(whole_tokens.values()), _FIELDS["ids"].value_type)
+    if known is not None:
+        known = known.filter(pc.invert(pc.is_in(known["piece"], texts))).combine_chunks()
+        texts = pa.concat_arrays([texts, *known["piece"].cast(pa.string()).chunks])
+        ids = pa.concat_arrays([ids, *known["ids"].cast(ids.type).chunks])
     pairs, slots = pair_table(ranks), piece_table(texts)
-    row = ([ranks[bytes([b])] for b in range(256)], pairs, slots, texts, [whole_pieces[t] for t in texts],
-           [i.to_bytes(4, "little").hex() for i in range(len(tokens))], [t.hex() for t in tokens])
-    columns = {name: pa.array([value], kind) for (name, kind), value in zip(_FIELDS.items(), row)}
+    row = (pa.array([ranks[bytes([b])] for b in range(256)]), pa.array(pairs), pa.array(slots), texts, ids,
+           pa.array([i.to_bytes(4, "little").hex() for i in range(len(tokens))]),
+           pa.array([t.hex() for t in tokens]))
+    columns = {name: pa.ListArray.from_arrays([0, len(values)], values.cast(kind.value_type))
+               for (name, kind), values in zip(_FIELDS.items(), row)}
     one = spark.createDataFrame(pa.table(columns)).select(F.struct(*_FIELDS).alias("t"))
     return Tables(one, len(pairs), len(slots))
 
@@ -200,9 +216,25 @@ def fold(t: Column, n_pairs: int, piece: Column) -> Column:
         F.sequence(F.lit(2), F.size(p)), start(p), lambda s, _: step(s), lambda s: s["p"])))
 
 
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """What ``fold`` gives, by a heap of pairs: for pieces too long to copy at each merge."""
-    parts: list = [piece[i:i + 1] for i in range(len(piece))]
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """What ``fold`` gives, for one piece in a task."""
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    if len(parts) > SHORT:
+        return merge_long(parts, ranks)
+    pairs = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+    while pairs and (least := min(pairs)) < NONE:
+        i = pairs.index(least)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NONE)
+        if i + 1 < len(parts):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], NONE)
+    return [ranks[p] for p in parts]
+
+
+def merge_long(parts: list, ranks: dict[bytes, int]) -> list[int]:
+    """The same by a heap of pairs, for pieces too long to scan at each merge."""
     after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
     heap: list = []
 
@@ -260,44 +292,53 @@ def with_ids(df: DataFrame, text: str = "text", out: str = "ids", ranks_path: st
     spark = df.sparkSession
     ranks = load_ranks(ranks_path)
     bare = tables(spark, ranks)
-    known = {}
+    known = None
     if known_pieces:
         folded = bare.beside(frequent_pieces(df, text, pattern, known_pieces)).select(
             "piece", let(F.struct(F.col("__tables").alias("t"), "piece"),
                          lambda s: fold(s["t"], bare.n_pairs, s["piece"])).alias("ids"))
-        known = {r["piece"]: list(r["ids"]) for r in folded.collect()}  # known_pieces at most
+        known = folded.toArrow()  # known_pieces rows at most
     full = tables(spark, ranks, known)
     shared = spark.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("array<array<int>>")
-    def encode_long(lists: pd.Series) -> pd.Series:
-        return pd.Series([[merge_long(p.encode(), shared.value) for p in ps] for ps in lists])
+    def encode_rare(lists: pd.Series) -> pd.Series:
+        return pd.Series([[merge(p.encode(), shared.value) for p in ps] for ps in lists])
 
     mask = F.lit(full.n_slots - 1).cast("long")
     shift = 64 - (full.n_slots.bit_length() - 1)
 
-    def ids_of(s: Column, p: Column) -> Column:
-        t = s["t"]
-
+    def known_ids(t: Column, p: Column) -> Column:
         def lookup(at: Column) -> Column:
             e = F.get(t["slots"], at.cast("int"))
             return F.when(F.get(t["texts"], e) == p, F.get(t["ids"], e))
 
-        def of_hash(h: Column) -> Column:
-            return F.coalesce(
-                lookup(F.call_function("shiftrightunsigned", h, F.lit(shift))), lookup(h.bitwiseAND(mask)),
-                F.when(F.octet_length(p) > SHORT, F.get(s["long_ids"], F.array_position(s["long"], p).cast("int") - 1)),
-                fold(t, full.n_pairs, p))
-
-        return let(F.xxhash64(p), of_hash)
-
-    cut = df.withColumn("__pieces", pieces(F.col(text), pattern))
-    cut = cut.withColumn("__long", F.array_distinct(F.filter("__pieces", lambda p: F.octet_length(p) > SHORT)))
-    cut = cut.withColumn("__long_ids", encode_long("__long"))
-    state = F.struct(F.col("__tables").alias("t"), F.col("__pieces").alias("pieces"),
-                     F.col("__long").alias("long"), F.col("__long_ids").alias("long_ids"))
-    column = let(state, lambda s: let(F.flatten(F.transform(s["pieces"], lambda p: ids_of(s, p))),
-                                      lambda ids: body(s["t"], ids)))
+        return let(F.xxhash64(p), lambda h: F.coalesce(
+            lookup(F.call_function("shiftrightunsigned", h, F.lit(shift))), lookup(h.bitwiseAND(mask))))
+
+    def joined(s: Column) -> Column:
+        """Known ids in order, each gap filled with the next rare piece's."""
+        def part(j: Column) -> Column:
+            first = F.coalesce(F.get(s["gaps"], j - 1) + 1, F.lit(0))
+            end = F.coalesce(F.get(s["gaps"], j), F.size(s["known"]))
+            return F.concat(F.flatten(F.slice(s["known"], first + 1, end - first)),
+                            F.coalesce(F.get(s["rare"], j), F.array().cast("array<int>")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["gaps"])), part))
+
+    cut = full.beside(df.withColumn("__pieces", pieces(F.col(text), pattern)))
+    looked_up = let(F.struct(F.col("__tables").alias("t"), F.col("__pieces").alias("pieces")), lambda s: F.struct(
+        s["pieces"].alias("pieces"), F.transform(s["pieces"], lambda p: known_ids(s["t"], p)).alias("known")))
+    gaps = F.array_compact(F.transform("__k.known", lambda x, i: F.when(x.isNull(), i)))
+    cut = cut.select(*df.columns, looked_up.alias("__k")).withColumn("__gaps", gaps)
+    rare = let(F.struct("__k.pieces", F.col("__gaps").alias("gaps")),
+               lambda s: F.transform(s["gaps"], lambda i: F.get(s["pieces"], i)))
+    # A second use of __rare keeps it a column: Python functions take no lambdas' results.
+    cut = cut.withColumn("__rare", rare).withColumn("__rare_ids", encode_rare("__rare"))
+    state = F.struct(F.col("__tables").alias("t"), F.col("__k.known").alias("known"),
+                     F.col("__gaps").alias("gaps"), F.col("__rare").alias("pieces"),
+                     F.col("__rare_ids").alias("rare"))
+    column = let(state, lambda s: let(joined(s), lambda ids: body(s["t"], ids)))
     return full.beside(cut).select(*df.columns, column.alias(out)), full
 
 
