@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kestrel.llm import bpe, decontaminate, langid, neardup, quality, secrets, sharding, syncmers, toxicity
+from kestrel.llm import bpe, decontaminate, langid, neardup, quality, secrets, sharding, suffixes, syncmers, toxicity
 from kestrel.llm.common import documents
 from kestrel.sources.tables import table
 
@@ -31,6 +31,10 @@ def op6_prefix_decontamination(spark, sf_dir):
     return decontaminate.query(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_repeats(spark, sf_dir):
+    return suffixes.query(documents(spark, sf_dir))
+
+
 def op8_histogram_sort_shards(spark, sf_dir):
     return sharding.query(documents(spark, sf_dir))
 
