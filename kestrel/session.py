@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session.
+
+    Jobs whose functions run in Python tasks then work from any folder and on
+    machines where the package is not installed.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_kestrel_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory(prefix="kestrel-zip-") as folder:
+        path = os.path.join(folder, "kestrel.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for base, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(base, name)
+                        z.write(full, os.path.join("kestrel", os.path.relpath(full, root)))
+        sc.addPyFile(path)
+    sc._kestrel_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it once per session.
 
