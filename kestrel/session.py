@@ -51,15 +51,14 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_kestrel_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory(prefix="kestrel-zip-") as folder:
-        path = os.path.join(folder, "kestrel.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for base, _, names in os.walk(root):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        full = os.path.join(base, name)
-                        z.write(full, os.path.join("kestrel", os.path.relpath(full, root)))
-        sc.addPyFile(path)
+    # The session's own temporary folder: tasks fetch the file when they first start.
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-", dir=sc._temp_dir), "kestrel.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(base, name)
+                z.write(full, os.path.join("kestrel", os.path.relpath(full, root)))
+    sc.addPyFile(path)
     sc._kestrel_shipped = True
 
 
