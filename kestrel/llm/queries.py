@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
+import corpus_pipeline
 from kestrel.llm import bpe, decontaminate, langid, neardup, quality, secrets, sharding, suffixes, syncmers, toxicity
 from kestrel.llm.common import documents
+from kestrel.session import ship_package
 from kestrel.sources.tables import table
 
 
@@ -47,9 +51,20 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.query(documents(spark, sf_dir))
 
 
+def _query(run):
+    @functools.wraps(run)
+    def query(spark, sf_dir):
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    return query
+
+
 def queries() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op")}
+    own = {k: _query(v) for k, v in globals().items() if k.startswith("op")}
+    return own | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {"op6_prefix_decontamination": decontaminate.SQL}
+    sql = {"op6_prefix_decontamination": decontaminate.SQL}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
