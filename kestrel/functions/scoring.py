@@ -58,23 +58,3 @@ def _ordered(buckets):
         raise ValueError("empty bucket table")
     rows = [tuple(b) + (False,) * (4 - len(b)) for b in buckets]
     return sorted(rows, key=lambda b: float("-inf") if b[0] is None else b[0])
-
-
-def score_sql(value: str, buckets, strict: bool = False) -> str:
-    """The same chain as SQL text (used by the oracle queries)."""
-    ordered = _ordered(buckets)
-    parts = []
-    for i, (lo, hi, s, hi_excl) in enumerate(ordered):
-        s = float(s)
-        if strict:
-            conds = []
-            if lo is not None:
-                conds.append(f"{value} >= {lo}")
-            if hi is not None:
-                conds.append(f"{value} {'<' if hi_excl else '<='} {hi}")
-            cond = " AND ".join(conds) or "TRUE"
-        else:
-            nxt = ordered[i + 1][0] if i + 1 < len(ordered) else None
-            cond = "TRUE" if nxt is None else f"{value} < {nxt}"
-        parts.append(f"WHEN {cond} THEN CAST({s} AS DOUBLE)")
-    return f"CASE WHEN {value} IS NULL THEN NULL {' '.join(parts)} END"

@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.text import range_end, range_start
-from kestrel.operators.broadcast import MAX_BROADCAST_ROWS, checked_broadcast, within
+from kestrel.operators.broadcast import MAX_BROADCAST_ROWS, checked_broadcast
 
 ATTRIBUTE_LEVEL = 5
 BUSINESS_LEVEL = 4
 ON_UNMATCHED = ("drop", "null", "error")
+FEW_RANGES = 48  # ranges that one CASE chain tests
 
 
 def rule_table(tags: DataFrame) -> DataFrame:
@@ -72,39 +73,51 @@ def rule_match(biz: DataFrame, field: str, tags: DataFrame, *, key: str = "id",
 
 def range_match(biz: DataFrame, value, tags_or_ranges: DataFrame, *, key: str = "id",
                 out: str = "tag", on_unmatched: str = "drop",
-                max_ranges: int = MAX_BROADCAST_ROWS, bucket_width: int | None = None) -> DataFrame:
+                few: int = FEW_RANGES) -> DataFrame:
     """``(userId, out)``: the range tag whose ``[start, end]`` holds ``value``.
 
     ``tags_or_ranges`` is either catalog rows (level-5 range rules) or a range
-    table ``(name, start, end)``.  With a bounded range table the join is a
-    broadcast nested-loop join (each row checks the few ranges).  Beyond the
-    bound the ranges are cut into buckets of ``bucket_width`` (default: the
-    median range length) and the join becomes an equi join on the bucket
-    followed by the range test.
+    table ``(name, start, end)``.  Where ranges overlap, the one that starts
+    first wins, then the smallest name, so a user gets one tag.  A malformed
+    range (no bounds, or an end before its start) fails the call.
+
+    Up to ``few`` ranges become one ``CASE`` chain without a join.  More are
+    joined by equality: a range lies in at most two buckets of its own length
+    class (a power of two), and each distinct value looks into one bucket a
+    class, so neither a wide range nor an open-ended one is copied often.
     """
     if on_unmatched not in ("drop", "null"):
         raise ValueError("range_match supports on_unmatched 'drop' or 'null'")
     ranges = (tags_or_ranges if "start" in tags_or_ranges.columns
-              else range_table(tags_or_ranges))
-    ranges = ranges.select("name", "start", "end").where(F.col("start").isNotNull())
+              else range_table(tags_or_ranges.where(F.col("rule").isNotNull())))
+    ranges = ranges.select("name", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    good = F.col("start").isNotNull() & F.col("end").isNotNull() & (F.col("start") <= F.col("end"))
+    bad = ranges.where(~good).select("name").take(1)
+    if bad:
+        raise ValueError(f"range rule of tag {bad[0]['name']!r} is not 'start-end'")
     v = F.col(value) if isinstance(value, str) else value
     left = biz.select(F.col(key).alias("userId"), v.alias("__v"))
-    how = "inner" if on_unmatched == "drop" else "left"
-    if within(ranges, max_ranges):
-        r = F.broadcast(ranges)
-        j = left.join(r, left["__v"].between(r["start"], r["end"]), how)
-    else:
-        # Equi join on buckets of width w; each range is copied into the
-        # buckets it covers.  By default w is the median range length, so a
-        # typical range covers one or two buckets (one small aggregation job).
-        w = int(bucket_width or ranges.agg(F.percentile_approx(
-            F.col("end") - F.col("start") + 1, 0.5)).first()[0] or 1)
-        w = max(w, 1)
-        rb = ranges.withColumn(
-            "__b", F.explode(F.sequence(F.floor(F.col("start") / w), F.floor(F.col("end") / w))))
-        lb = left.withColumn("__b", F.floor(F.col("__v") / w))
-        j = lb.join(rb, (lb["__b"] == rb["__b"]) & lb["__v"].between(rb["start"], rb["end"]), how)
-    return j.select("userId", F.col("name").alias(out))
+    listed = ranges.orderBy("start", "name").limit(few + 1).collect()
+    if len(listed) <= few:
+        chain = F.lit(None).cast("string")
+        for r in reversed(listed):
+            chain = F.when(F.col("__v").between(r["start"], r["end"]), F.lit(r["name"])).otherwise(chain)
+        tagged = left.select("userId", chain.alias(out))
+        return tagged.where(F.col(out).isNotNull()) if on_unmatched == "drop" else tagged
+
+    # class c: the smallest power of two that is at least the range's length
+    cls = F.ceil(F.log2((F.col("end") - F.col("start") + 1).cast("double"))).cast("int")
+    width = F.pow(F.lit(2.0), F.col("c"))
+    classed = ranges.withColumn("c", cls)
+    cells = classed.withColumn("b", F.explode(F.array_distinct(F.array(
+        F.floor(F.col("start") / width), F.floor(F.col("end") / width)))))
+    classes = [r["c"] for r in classed.select("c").distinct().collect()]  # 64 at most
+    values = left.select("__v").where(F.col("__v").isNotNull()).distinct()
+    looks = values.withColumn("c", F.explode(F.array(*[F.lit(c) for c in sorted(classes)]))).withColumn(
+        "b", F.floor(F.col("__v") / width))
+    found = (looks.join(cells, ["c", "b"]).where(F.col("__v").between(F.col("start"), F.col("end")))
+             .groupBy("__v").agg(F.min(F.struct("start", "name"))["name"].alias(out)))
+    return left.join(found, "__v", "inner" if on_unmatched == "drop" else "left").select("userId", out)
 
 
 def label_by_rank(pred: DataFrame, ranks: DataFrame, tags: DataFrame, *,

@@ -21,7 +21,7 @@ from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler, Ve
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Seed and iteration sweep of the clustering tags.
@@ -87,16 +87,6 @@ def kmeans_sweep(df: DataFrame, k: int, *, iters=KMEANS_SWEEP_ITERS, seed: int =
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def distinct_weighted(df: DataFrame, cols: list[str], weight: str = "weight") -> DataFrame:
-    """Distinct rows of ``cols`` with their count as a double weight.
-
-    For estimators that accept instance weights (k-means, trees, the
-    evaluators) this is the same training set as the duplicated rows, but
-    its size is bounded by the distinct values instead of the row count.
-    """
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(weight))
-
-
 def rank_centers(model: KMeansModel) -> DataFrame:
     """``(cluster, rank)``: clusters ordered by descending sum of their centre
     coordinates (rank 0 = largest); ties keep the lower cluster index first.
@@ -128,20 +118,27 @@ class ModelStore:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def exists(self, name: str) -> bool:
+        spark = SparkSession.getActiveSession()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def load_or_train(self, name: str, loader, train, retrain: bool = False):
+        """The saved model, or a new one that is then saved.
+
+        Only a missing model is trained; one that exists but doesn't load (another
+        type, a damaged folder) is an error and stays as it is.
+        """
         p = self.path(name)
-        if not retrain:
-            try:
-                return loader.load(p)
-            except Exception:  # not saved yet (or unreadable): train afresh
-                pass
+        if not retrain and self.exists(name):
+            return loader.load(p)
         model = train()
         model.write().overwrite().save(p)
         return model
 
 
 def tree_pipeline(features: list[str], label: str = "label", *, impurity: str = "gini",
-                  max_depth: int = 5, max_bins: int = 32, max_categories: int = 4,
+                  max_depth: int = 5, max_bins: int = 32, max_categories: int = 30,
                   weight: str | None = None) -> Pipeline:
     """Assembler -> categorical indexer -> decision tree (optionally weighted)."""
     tree = DecisionTreeClassifier(labelCol=label, featuresCol="features", impurity=impurity,
@@ -220,37 +217,23 @@ def silhouette(pred: DataFrame, features: str = "features", distance: str = "squ
 
 
 def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter: int = 50,
-          seed: int = KMEANS_SEED, distance: str = "euclidean",
-          discrete: bool = False, parallelism: int = 4) -> list[dict]:
-    """KMeans for each k: cost, silhouette and cluster sizes (k small rows each).
-
-    ``discrete``: the vectors take few distinct values, so each k-means is
-    fitted on the distinct vectors weighted by their count (same objective,
-    bounded input); the silhouette is still computed over all rows, since
-    Spark scores a cluster holding one weighted row as 0.
-    """
+          seed: int = KMEANS_SEED, distance: str = "euclidean", parallelism: int = 4) -> list[dict]:
+    """KMeans for each k: cost, silhouette and cluster sizes (k small rows each)."""
     data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    fit_on = (distinct_weighted(data, [features], "__w").persist(StorageLevel.MEMORY_AND_DISK)
-              if discrete else data)
 
     def one(k):
-        m = kmeans(fit_on, k, max_iter=max_iter, seed=seed, features=features,
-                   distance=distance, weight="__w" if discrete else None)
-        pred = m.transform(data)
+        m = kmeans(data, k, max_iter=max_iter, seed=seed, features=features, distance=distance)
         ev = "cosine" if distance == "cosine" else "squaredEuclidean"
         sizes = [int(n) for n in m.summary.clusterSizes]
         # silhouette is undefined with a single non-empty cluster
-        sil = (float(silhouette(pred, features, ev)) if sum(1 for n in sizes if n > 0) > 1
+        sil = (float(silhouette(m.transform(data), features, ev)) if sum(1 for n in sizes if n > 0) > 1
                else float("nan"))
         return {"k": k, "cost": float(m.summary.trainingCost), "silhouette": sil, "sizes": sizes}
 
     try:
-        out = parallel_fits(one, ks, parallelism)
+        return parallel_fits(one, ks, parallelism)
     finally:
-        if discrete:
-            fit_on.unpersist()
         data.unpersist()
-    return out
 
 
 # --- matrix factorisation ---------------------------------------------------
@@ -258,31 +241,28 @@ def elbow(df: DataFrame, ks=range(2, 7), *, features: str = "features", max_iter
 INT_MAX = 2**31 - 1
 
 
-def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame | None]:
-    """Ids ALS can take (32-bit ints).
+def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """Ids ALS can take (32-bit ints) for ids of any type, strings included.
 
-    When every id already fits, it is cast (one min/max pass checks this) and
-    no mapping is needed.  Otherwise the distinct ids are numbered densely
-    without a global sort: each partition of the distinct set numbers its ids,
-    and partition offsets (one row per partition) shift them.  Returns the
-    data with ``out`` and the ``(out, col)`` mapping (or None).
+    The distinct ids are numbered densely without a global sort: each partition
+    of the distinct set numbers its ids, and partition offsets (one row per
+    partition) shift them.  Rows with a null id are left out.  Returns the data
+    with ``out`` and the ``(out, col)`` mapping.
     """
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if lo is None or (lo >= 0 and hi <= INT_MAX):
-        return df.withColumn(out, F.col(col).cast("int")), None
+    df = df.where(F.col(col).isNotNull())
     distinct = df.select(col).distinct().withColumn("__pid", F.spark_partition_id())
     w = Window.partitionBy("__pid").orderBy(col)
     numbered = distinct.withColumn("__rn", F.row_number().over(w))
+    # number once: the offsets and the mapping must see the same partitions
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = numbered.checkpoint()
     counts = numbered.groupBy("__pid").agg(F.max("__rn").alias("__n"))
     offs = counts.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
-    # one offset row per partition of the distinct ids
     from kestrel.operators.broadcast import checked_broadcast
     mapping = (numbered.join(checked_broadcast(offs.select("__pid", "__off")), "__pid")
                .select((F.col("__off") + F.col("__rn") - 1).cast("int").alias(out), F.col(col)))
-    from kestrel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder when set
-    mapping = mapping.checkpoint()
-    if mapping.count() > INT_MAX:
+    if numbered.count() > INT_MAX:
         raise ValueError(f"more than 2^31 distinct {col} values")
     return df.join(mapping, col), mapping
 

@@ -14,17 +14,30 @@
 
 from __future__ import annotations
 
+import threading
+import time
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = "userId"
+_CLAIMS = threading.Lock()
 
 
 def upsert(profile: DataFrame | None, new: DataFrame, key: str = KEY) -> DataFrame:
-    """Profile with ``new``'s columns merged in (see module doc)."""
+    """Profile with ``new``'s columns merged in (see module doc).
+
+    Rows of ``new`` without a key are left out, and several rows of one key count
+    as one that has, in each column, the greatest of their values; so saving the
+    same rows again changes nothing.
+    """
     new_cols = [c for c in new.columns if c != key]
+    new = (new.where(F.col(key).isNotNull()).groupBy(key)
+           .agg(*[F.max(c).alias(c) for c in new_cols]) if new_cols
+           else new.where(F.col(key).isNotNull()).select(key).distinct())
     if profile is None:
-        return new.where(F.col(key).isNotNull())
+        return new
     old_cols = [c for c in profile.columns if c != key]
     p = profile.alias("p")
     n = new.alias("n")
@@ -48,8 +61,10 @@ class ProfileStore:
     shared store the cluster mounts (HDFS, object store, shared disk).
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str = KEY, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, key: str = KEY, buckets: int | None = None,
+                 stale_s: float = 3600):
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+        self.stale_s = stale_s
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -78,13 +93,57 @@ class ProfileStore:
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
     def save(self, new: DataFrame) -> int:
-        """Upsert ``new`` into the current version and write the next version."""
-        merged = upsert(self.read(), new, self.key)
-        v = (self.current_version() or 0) + 1
+        """Upsert ``new`` into the current version and write the next version.
+
+        The next number is claimed by creating a file, which one job alone can do; the
+        others wait until that version is committed and merge onto it, so concurrent
+        jobs lose no tag.  The claim of a job that died is passed over after
+        ``stale_s`` seconds.
+        """
+        base, v = self._claim()
+        old = self.spark.read.parquet(f"{self.root}/v={base}") if base else None
+        merged = upsert(old, new, self.key)
         w = merged.repartition(self.buckets, self.key) if self.buckets else merged
-        w.write.mode("overwrite").parquet(f"{self.root}/v={v}")
+        try:
+            w.write.mode("overwrite").parquet(f"{self.root}/v={v}")
+        except BaseException:
+            jvm, fs = self._fs()
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claim-{v}"), False)
+            raise
         return v
 
+    def _claim(self) -> tuple[int, int]:
+        """The version to merge onto (0: none) and the claimed number of the next one."""
+        jvm, fs = self._fs()
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.root))
+        while True:
+            base = self.current_version() or 0
+            v = base + 1
+            while True:
+                claim = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claim-{v}")
+                with _CLAIMS:  # HDFS creates a file once; a local disk needs this among threads
+                    mine = fs.createNewFile(claim)
+                if mine:
+                    if (self.current_version() or 0) == base:
+                        return base, v
+                    break
+                age = time.time() - fs.getFileStatus(claim).getModificationTime() / 1000
+                if age < self.stale_s:
+                    time.sleep(0.5)
+                    break
+                v += 1
+
+    def prune(self, keep: int = 2) -> list[int]:
+        """Delete all but the ``keep`` newest committed versions; returns those deleted.
+
+        To be called when no reader still uses them.
+        """
+        jvm, fs = self._fs()
+        old = self.versions()[:-keep] if keep > 0 else []
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}"), True)
+        return old
+
 
 class BucketedProfileTable:
     """Versioned profile as catalog tables ``<name>_v<n>``, bucketed and
@@ -117,8 +176,11 @@ class BucketedProfileTable:
         return None if v is None else self.spark.table(f"{self.name}_v{v}")
 
     def save(self, new: DataFrame) -> int:
-        merged = upsert(self.read(), new, self.key)
-        v = (self.current_version() or 0) + 1
+        base = self.current_version()
+        old = None if base is None else self.spark.table(f"{self.name}_v{base}")
+        # one task a bucket: else every task of the merge writes a file per bucket
+        merged = upsert(old, new, self.key).repartition(self.buckets, self.key)
+        v = (base or 0) + 1
         (merged.write.bucketBy(self.buckets, self.key).sortBy(self.key)
          .mode("error").saveAsTable(f"{self.name}_v{v}"))
         return v
@@ -153,13 +215,12 @@ class TagColumnStore:
 
     def save(self, new: DataFrame) -> dict[str, int]:
         """Upsert every tag column of ``new`` into its own table."""
-        versions = {}
-        for c in new.columns:
-            if c == self.key:
-                continue
-            col = new.select(F.col(self.key), F.col(c).cast("string").alias("value"))
-            versions[c] = self._column(c).save(col)
-        return versions
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)  # computed once for all columns
+        try:
+            return {c: self._column(c).save(new.select(F.col(self.key), F.col(c).cast("string").alias("value")))
+                    for c in new.columns if c != self.key}
+        finally:
+            new.unpersist()
 
     def read(self, tags: list[str] | None = None) -> DataFrame | None:
         tags = sorted(tags or self.tags())

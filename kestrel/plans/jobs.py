@@ -16,6 +16,8 @@ import argparse
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators import ml
+from kestrel.operators.broadcast import checked_broadcast
 from kestrel.plans import models
 
 
@@ -39,17 +41,55 @@ def _pay(biz, tags, user="memberid", code="paymentcode", out="paymenttype", **_)
 
 
 def _rfm(biz, tags, as_of=None, **kw):
-    return models.rfm_tag(biz, tags, as_of=as_of, sweep=True, discrete=True, **kw)
+    return models.rfm_tag(biz, tags, as_of=as_of, **{"sweep": None, **kw})
+
+
+def _rfm_scaled(biz, tags, as_of=None, **kw):
+    return models.rfm_tag(biz, tags, as_of=as_of, **{"scale": True, "sweep": (10, 20, 50), **kw})
 
 
 def _rfe(biz, tags, as_of=None, **kw):
-    return models.rfe_tag(biz, tags, as_of=as_of, discrete=True, **kw)
+    return models.rfe_tag(biz, tags, as_of=as_of, **kw)
 
 
 def _psm(biz, tags, user="memberid", order_id="ordersn", amount="orderamount",
          coupon="couponcodevalue", **kw):
     return models.psm_tag(biz, tags, user=user, order_id=order_id, amount=F.col(amount),
-                          coupon=F.col(coupon), scale=True, **kw)
+                          coupon=F.col(coupon), **kw)
+
+
+def _usg_lines(biz, user, colour, kind, female_colours, female_kinds):
+    """Order lines labelled 1 where the goods' colour or type is in a female list."""
+    colours = [c.strip() for c in female_colours.split(",") if c.strip()]
+    kinds = [c.strip() for c in female_kinds.split(",") if c.strip()]
+    female = F.col(colour).isin(*colours) | F.col(kind).isin(*kinds)
+    return biz.select(F.col(user).alias("userId"), F.col(colour).alias("colour"), F.col(kind).alias("kind"),
+                      F.when(female, 1).otherwise(0).alias("label"))
+
+
+def _named(biz, column, table):
+    """``biz`` with the codes of ``column`` replaced by the names of a dimension table
+    (parquet of id, name); codes without a name stay as they are."""
+    if not table:
+        return biz
+    names = biz.sparkSession.read.parquet(table).select(
+        F.col("id").cast("string").alias("__id"), F.col("name").alias("__name")).dropDuplicates(["__id"])
+    j = biz.join(checked_broadcast(names), F.col(column).cast("string") == F.col("__id"), "left")
+    return j.withColumn(column, F.coalesce("__name", F.col(column).cast("string"))).drop("__id", "__name")
+
+
+def _usg(biz, tags, user="memberid", colour="ogcolor", kind="producttype", female_colours="",
+         female_kinds="", colour_table=None, kind_table=None, learned=False, share=0.6, store=None, **_):
+    """Purchase gender by rules, or with ``learned`` by a tree fitted to the rules' labels."""
+    biz = _named(_named(biz, colour, colour_table), kind, kind_table)
+    lines = _usg_lines(biz, user, colour, kind, female_colours, female_kinds)
+    if learned:
+        return models.usg_learned_tag(lines, tags, categorical=["colour", "kind"], store=store)
+    return models.usg_rule_tag(lines, tags, share=share)
+
+
+def _usg_learned(biz, tags, **kw):
+    return _usg(biz, tags, **{**kw, "learned": True})
 
 
 def _bp(biz, tags, user="global_user_id", url="loc_url", **kw):
@@ -66,25 +106,44 @@ MODELS = {
     "consume_cycle": _cycle,
     "pay_type": _pay,
     "rfm": _rfm,
+    "rfm_scaled": _rfm_scaled,
     "rfe": _rfe,
     "psm": _psm,
+    "usg": _usg,
+    "usg_learned": _usg_learned,
     "preference": _bp,
 }
 # Models that take the evaluation date.
-DATED = {"consume_cycle", "rfm", "rfe"}
+DATED = {"consume_cycle", "rfm", "rfm_scaled", "rfe"}
+# Models that load or save a fitted model when a model folder is given.
+FITTED = {"rfm", "rfm_scaled", "rfe", "psm", "usg_learned"}
 
 
 def run(spark, catalog: DataFrame, tag_id: int, model: str, *, store=None, as_of=None,
-        base: str | None = None, **params) -> DataFrame:
+        base: str | None = None, model_root: str | None = None, **params) -> DataFrame:
     if model not in MODELS:
         raise ValueError(f"unknown model {model!r}; one of {sorted(MODELS)}")
     fn = MODELS[model]
+    if model_root and model in FITTED:
+        params["store"] = ml.ModelStore(model_root)
     if model in DATED:
         params["as_of"] = as_of
     return models.run_tag_model(spark, catalog, tag_id, lambda biz, tags: fn(biz, tags, **params),
                                 store=store, as_of=as_of, base=base)
 
 
+def _typed(text: str):
+    """A job parameter: an integer, a decimal number, true or false, else text."""
+    if text.lower() in ("true", "false"):
+        return text.lower() == "true"
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return text
+
+
 def main(argv=None):
     from pyspark.sql import SparkSession
 
@@ -95,18 +154,19 @@ def main(argv=None):
     ap.add_argument("--tag", type=int, required=True)
     ap.add_argument("--model", required=True, choices=sorted(MODELS))
     ap.add_argument("--profile", required=True, help="shared folder of the profile versions")
-    ap.add_argument("--layout", choices=("wide", "columns"), default="wide",
-                    help="wide parquet versions, or one narrow table per tag")
+    ap.add_argument("--layout", choices=("wide", "columns"), default="columns",
+                    help="one narrow table per tag, or wide parquet versions")
+    ap.add_argument("--models", default=None, help="shared folder of fitted models")
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--base", default=None, help="folder of tables named by 'table=' rules")
     ap.add_argument("--param", action="append", default=[], help="key=value model parameter")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    params = dict(p.split("=", 1) for p in a.param)
+    params = {k: _typed(v) for k, v in (p.split("=", 1) for p in a.param)}
     store = (ProfileStore(spark, a.profile) if a.layout == "wide"
              else TagColumnStore(spark, a.profile))
     run(spark, spark.read.parquet(a.catalog), a.tag, a.model, store=store, as_of=a.as_of,
-        base=a.base, **params)
+        base=a.base, model_root=a.models, **params)
     print("saved")
 
 

@@ -17,32 +17,44 @@ def _t(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
+RFM_COLS = ["r_score", "f_score", "m_score"]
+
+
 def rfm_kmeans(spark, sf_dir):
     scores = shop.rfm_scores(spark, sf_dir)
     tags = shop_tags(spark, shop.RFM_TAG, "customer value", shop.RFM_RULES)
-    return models.kmeans_tag(scores, ["r_score", "f_score", "m_score"], tags, 5, out="rfm",
-                             sweep=True, discrete=True)
+    return models.kmeans_tag(scores, RFM_COLS, tags, 5, out="rfm", sweep=None)
+
+
+def rfm_scaled_kmeans(spark, sf_dir):
+    """The tuned variant: scores scaled to 0..1, the best of 10, 20 and 50 iterations."""
+    scores = shop.rfm_scores(spark, sf_dir)
+    tags = shop_tags(spark, shop.RFM_TAG, "customer value", shop.RFM_RULES)
+    return models.kmeans_tag(scores, RFM_COLS, tags, 5, out="rfm", scale=True, sweep=(10, 20, 50))
 
 
 def rfe_kmeans(spark, sf_dir):
     scores = shop.rfe_scores(spark, sf_dir)
     tags = shop_tags(spark, shop.RFE_TAG, "activity", shop.RFE_RULES)
-    return models.kmeans_tag(scores, ["r_score", "f_score", "e_score"], tags, 4, out="rfe",
-                             discrete=True)
+    return models.kmeans_tag(scores, ["r_score", "f_score", "e_score"], tags, 4, out="rfe")
 
 
 def psm_kmeans(spark, sf_dir):
     p = shop.psm_score(spark, sf_dir)
     tags = shop_tags(spark, shop.PSM_TAG, "price sensitivity", shop.PSM_RULES)
-    return models.kmeans_tag(p, ["psm"], tags, 5, out="psm", scale=True)
+    return models.kmeans_tag(p, ["psm"], tags, 5, out="psm")
+
+
+def _elbow_rows(spark, rows):
+    return spark.createDataFrame(
+        [(r["k"], r["cost"], r["silhouette"], r["sizes"]) for r in rows],
+        "k int, cost double, silhouette double, sizes array<int>").select(
+        "k", "cost", "silhouette", F.array_join(F.col("sizes").cast("array<string>"), ",").alias("sizes"))
 
 
 def elbow(spark, sf_dir):
-    scores = ml.assemble(shop.rfm_scores(spark, sf_dir), ["r_score", "f_score", "m_score"])
-    # scores are 1..5 per axis: fit on the distinct vectors weighted by users
-    rows = ml.elbow(scores, range(2, 7), max_iter=20, discrete=True)
-    return spark.createDataFrame([(r["k"], r["cost"], r["silhouette"]) for r in rows],
-                                 "k int, cost double, silhouette double")
+    scores = ml.assemble(shop.rfm_scores(spark, sf_dir), RFM_COLS)
+    return _elbow_rows(spark, ml.elbow(scores, range(2, 7), max_iter=50))
 
 
 def usg_tree(spark, sf_dir):
@@ -58,12 +70,25 @@ def bp_als_top5(spark, sf_dir):
 
 
 def als_explicit_top5(spark, sf_dir):
-    """Clicks as explicit ratings: split, fit, RMSE on held-out pairs, then
-    the top 5 users of every item."""
+    """Clicks as explicit ratings: split, fit, then the top 5 users of every item."""
+    return models.top_users_per_item(_rating_model(spark, sf_dir), 5)
+
+
+def _rating_model(spark, sf_dir):
     ratings = shop.click_counts(_t(spark, sf_dir))
-    model, _rmse, umap, imap = models.rating_model(ratings, user="userId", item="productId",
-                                                   rating="clicks")
-    return models.top_users_per_item(model, 5, umap, imap)
+    return models.rating_model(ratings, user="userId", item="productId", rating="clicks")
+
+
+def als_explicit_top5_items(spark, sf_dir):
+    """The other direction: the top 5 items of every user."""
+    return models.top_items_per_user(_rating_model(spark, sf_dir), 5)
+
+
+def als_explicit_rmse(spark, sf_dir):
+    """The error on held-out pairs and how many users and items have factors."""
+    m = _rating_model(spark, sf_dir)
+    n = [m.factors(side).agg(F.count(F.lit(1)).alias(side)) for side in ("users", "items")]
+    return n[0].withColumn("rmse", F.lit(m.rmse)).join(n[1], F.lit(True))
 
 
 def _doc_features(spark, sf_dir):
@@ -78,11 +103,15 @@ def _doc_features(spark, sf_dir):
 
 
 def _classify(kind, spark, sf_dir, **params):
-    """Fit on a seeded 80 % split, score every labelled document."""
+    """Fit on a seeded 80 % split, score every labelled document: label, prediction, the
+    probability of label 1, and the accuracy on the other 20 %."""
     data = _doc_features(spark, sf_dir)
-    train, _test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
+    train, test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
     model = ml.classifier(kind, **params).fit(train)
-    return model.transform(data).select("doc_id", F.col("prediction").alias("prediction"))
+    accuracy = ml.accuracy(model.transform(test))
+    return model.transform(data).select(
+        "doc_id", "label", "prediction", vector_to_array("probability")[1].alias("probability"),
+        F.lit(accuracy).alias("test_accuracy"))
 
 
 def logreg(spark, sf_dir):
@@ -98,14 +127,17 @@ def gbt(spark, sf_dir):
 
 
 def linreg(spark, sf_dir):
+    """Order totals from their lines: fitted on a seeded 80 % split, with the RMSE on the rest."""
     t = _t(spark, sf_dir)
     lines = (t.lineitem.groupBy("l_orderkey")
              .agg(F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("gross"),
                   F.count(F.lit(1)).cast("double").alias("n_lines")))
     o = t.orders.select("o_orderkey", F.col("o_totalprice").alias("label"))
     data = ml.assemble(lines.join(o, lines["l_orderkey"] == o["o_orderkey"]), ["qty", "gross", "n_lines"])
-    model = ml.linear_regression().fit(data)
-    return model.transform(data).select("o_orderkey", "prediction")
+    train, test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
+    model = ml.linear_regression().fit(train)
+    error = ml.rmse(model.transform(test))
+    return model.transform(data).select("o_orderkey", "prediction", F.lit(error).alias("test_rmse"))
 
 
 # ------------------------------------------- labelled vectors (embeddings)
@@ -119,9 +151,7 @@ def _vectors(spark, sf_dir):
 
 def vector_elbow(spark, sf_dir):
     """Elbow sweep k = 2..6 with cosine distance: cost and silhouette per k."""
-    rows = ml.elbow(_vectors(spark, sf_dir), range(2, 7), max_iter=50, distance="cosine")
-    return spark.createDataFrame([(r["k"], r["cost"], r["silhouette"]) for r in rows],
-                                 "k int, cost double, silhouette double")
+    return _elbow_rows(spark, ml.elbow(_vectors(spark, sf_dir), range(2, 7), max_iter=50, distance="cosine"))
 
 
 def vector_logreg_multinomial(spark, sf_dir):
@@ -146,9 +176,10 @@ def vector_cluster_contingency(spark, sf_dir):
 def vector_tree(spark, sf_dir):
     """Decision tree (entropy, depth 5, 32 bins) on a seeded 80 % split."""
     data = _vectors(spark, sf_dir)
-    train, _test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
+    train, test = data.randomSplit([0.8, 0.2], seed=ml.KMEANS_SEED)
     model = ml.classifier("tree", impurity="entropy", maxDepth=5, maxBins=32).fit(train)
-    return model.transform(data).select("vec_id", "prediction")
+    accuracy = ml.accuracy(model.transform(test))
+    return model.transform(data).select("vec_id", "prediction", F.lit(accuracy).alias("test_accuracy"))
 
 
 # ------------------------------------------------------ feature transforms
@@ -188,7 +219,9 @@ def one_hot(spark, sf_dir):
 QUERIES = {
     "minmax_scale": minmax_scale, "standard_scale": standard_scale,
     "string_index": string_index, "one_hot": one_hot,
-    "rfm_kmeans": rfm_kmeans, "rfe_kmeans": rfe_kmeans, "psm_kmeans": psm_kmeans,
+    "rfm_kmeans": rfm_kmeans, "rfm_scaled_kmeans": rfm_scaled_kmeans,
+    "als_explicit_rmse": als_explicit_rmse, "als_explicit_top5_items": als_explicit_top5_items,
+    "rfe_kmeans": rfe_kmeans, "psm_kmeans": psm_kmeans,
     "elbow": elbow, "usg_tree": usg_tree, "bp_als_top5": bp_als_top5,
     "als_explicit_top5": als_explicit_top5, "logreg": logreg, "linreg": linreg,
     "random_forest": random_forest, "gbt": gbt,

@@ -9,9 +9,13 @@ named by rank, so the labels do not depend on cluster numbering.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import MinMaxScaler, StringIndexer
+from pyspark.ml.recommendation import ALSModel
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,20 +69,23 @@ def pay_type_tag(orders: DataFrame, tags: DataFrame, *, user: str = "memberid",
 # ----------------------------------------------------------------- mining
 
 def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int, *,
-               out: str, scale: bool = False, sweep: bool = False, null_policy: str = "skip",
+               out: str, scale: bool = False, sweep=ml.KMEANS_SWEEP_ITERS, null_policy: str = "keep",
                store: ml.ModelStore | None = None, model_name: str | None = None,
-               retrain: bool = False, max_iter: int = 20, discrete: bool = False) -> DataFrame:
+               retrain: bool = False, max_iter: int = 20) -> DataFrame:
     """Cluster users on ``cols`` and name each cluster by the rank of its
     centre (largest coordinate sum = rank 0 = rule ``"0"``).
 
-    ``null_policy``: what the vector assembler does with a null measure
-    (``skip`` drops the user, ``error`` fails as the original models did).
-    ``discrete``: the features take few values (1..5 scores), so k-means is
-    fitted on the distinct vectors weighted by their number of users; every
-    user is then scored by the fitted model (a narrow map).
+    ``sweep``: the iteration bounds to fit with (True: the usual ones), of which the
+    cheapest fit is kept; empty or None fits once with ``max_iter``.  ``scale``: min-max scaling
+    first.  ``null_policy``: a user with a null measure keeps a row with a null
+    tag (``keep``) or fails the job (``error``).
     """
-    data = ml.assemble(features_df.select("userId", *cols), cols, "raw",
-                       handle_invalid=null_policy)
+    if null_policy not in ("keep", "error"):
+        raise ValueError("null_policy must be 'keep' or 'error'")
+    rows = features_df.select("userId", *cols)
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    known = rows.where(~missing) if null_policy == "keep" else rows
+    data = ml.assemble(known, cols, "raw", handle_invalid="error")
     # The per-user vectors feed the fit and the final scoring: compute them
     # once (one row per user, far smaller than the business rows behind them)
     # and cut the lineage in the shared checkpoint folder.
@@ -89,20 +96,21 @@ def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int,
     if scale:
         data = MinMaxScaler(inputCol="raw", outputCol="scaled").fit(data).transform(data)
         feat = "scaled"
-    weight = "__w" if discrete else None
-    fit_on = ml.distinct_weighted(data, [feat], weight) if discrete else data
 
     def train():
         if sweep:
-            return ml.kmeans_sweep(fit_on, k, features=feat, weight=weight)
-        return ml.kmeans(fit_on, k, max_iter=max_iter, features=feat, weight=weight)
+            iters = ml.KMEANS_SWEEP_ITERS if sweep is True else tuple(sweep)
+            return ml.kmeans_sweep(data, k, iters=iters, features=feat)
+        return ml.kmeans(data, k, max_iter=max_iter, features=feat)
 
     if store is not None:
         model = store.load_or_train(model_name or out, KMeansModel, train, retrain)
     else:
         model = train()
-    pred = model.transform(data)
-    return match.label_by_rank(pred, ml.rank_centers(model), tags, out=out)
+    tagged = match.label_by_rank(model.transform(data), ml.rank_centers(model), tags, out=out)
+    if null_policy == "error":
+        return tagged
+    return tagged.unionByName(rows.where(missing).select("userId", F.lit(None).cast("string").alias(out)))
 
 
 def rfm_tag(orders: DataFrame, tags: DataFrame, *, user="memberid", order_id="ordersn",
@@ -146,27 +154,20 @@ def usg_learned_tag(lines: DataFrame, tags: DataFrame, *, categorical: list[str]
                     retrain: bool = False) -> DataFrame:
     """Purchase gender with line labels predicted by a cross-validated tree.
 
-    Categorical goods attributes are indexed, assembled, vector-indexed and
-    fed to a decision tree; 3-fold search over impurity x depth; the fitted
+    Categorical goods attributes are indexed, assembled, vector-indexed (up to 30
+    categories) and fed to a decision tree; a 3-fold search over impurity x depth
+    (5, 10) x bins (32, 64) whose folds are drawn over the lines; the fitted
     pipeline labels every line, then the share rule names each user.
-
-    The tree only sees the categorical attributes, so identical lines are
-    interchangeable: training runs on the distinct (attributes, label) rows
-    weighted by their count.  The training set is bounded by the number of
-    attribute combinations instead of growing with the order lines.
     """
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
-    base = ml.tree_pipeline([f"{c}_idx" for c in categorical], label=label, weight="__w")
+    base = ml.tree_pipeline([f"{c}_idx" for c in categorical], label=label)
     pipe = Pipeline(stages=idx + base.getStages())
 
     def train():
-        # bounded by the attribute combinations: safe to keep in memory
-        train_df = (lines.groupBy(*categorical, F.col(label).cast("double").alias(label))
-                    .agg(F.count(F.lit(1)).cast("double").alias("__w"))
-                    .persist(StorageLevel.MEMORY_AND_DISK))
+        train_df = lines.select(*categorical, F.col(label).cast("double").alias(label)).persist(
+            StorageLevel.MEMORY_AND_DISK)
         try:
-            return ml.cross_validate(pipe, train_df, label=label, folds=folds, depths=(3, 5),
-                                     bins=(32,), seed=seed, weight="__w").bestModel
+            return ml.cross_validate(pipe, train_df, label=label, folds=folds, seed=seed).bestModel
         finally:
             train_df.unpersist()
 
@@ -183,14 +184,14 @@ def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str =
     per user as comma-joined ``productIds`` / ``ratings``.
 
     Item ids come from the URL (``url_to_product``) unless ``item`` is given.
-    Users and items are made 32-bit ALS ids (see :func:`ml.int_ids`) and
-    mapped back afterwards.
+    Users and items may be strings or numbers: both are made 32-bit ALS ids (see
+    :func:`ml.int_ids`) and mapped back afterwards; null ones are left out.
     """
-    it = item if item is not None else url_to_product(F.col(url)).try_cast("long")
+    it = item if item is not None else url_to_product(F.col(url))
     clicks = (logs.select(F.col(user).alias("__user"), it.alias("__item"))
               .where(F.col("__user").isNotNull() & F.col("__item").isNotNull())
               .groupBy("__user", "__item").agg(F.count(F.lit(1)).cast("float").alias("clicks")))
-    # The (user, item) counts are read by the id checks and by every ALS
+    # The (user, item) counts are read by the id maps and by every ALS
     # pass: compute them once (far smaller than the logs) into the shared
     # checkpoint folder.
     from kestrel.session import ensure_checkpoint_dir
@@ -201,80 +202,108 @@ def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str =
     model = ml.als(True, user="uid", item="iid", rating="clicks", rank=rank, max_iter=max_iter,
                    reg=reg, alpha=alpha).fit(clicks)
     recs = model.recommendForAllUsers(top_n)
-    if umap is None and imap is None:
-        # ids were used as they are: reshape each user's top-N array in place
-        recs = recs.select(F.col("uid").cast("long").alias("userId"), F.transform(
-            "recommendations", lambda x: F.struct(x["iid"].cast("long").alias("productId"),
-                                                  x["rating"].alias("rating"))).alias("recommendations"))
-        return recommendations_to_strings(recs)
     recs = recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
         "uid", "pos", F.col("r.iid").alias("iid"), F.col("r.rating").alias("rating"))
-    if imap is not None:
-        recs = recs.join(imap, "iid").withColumnRenamed("__item", "productId")
-    else:
-        recs = recs.withColumn("productId", F.col("iid").cast("long"))
-    if umap is not None:
-        recs = recs.join(umap, "uid").withColumnRenamed("__user", "userId")
-    else:
-        recs = recs.withColumn("userId", F.col("uid").cast("long"))
+    recs = (recs.join(imap, "iid").withColumnRenamed("__item", "productId")
+            .join(umap, "uid").withColumnRenamed("__user", "userId"))
     # back to one row per user, in the model's order (at most top_n per user)
     grouped = recs.groupBy("userId").agg(
         F.sort_array(F.collect_list(F.struct("pos", "productId", "rating"))).alias("recommendations"))
     return recommendations_to_strings(grouped)
 
 
+@dataclass
+class RatingModel:
+    """A fitted explicit ALS with its id maps and the RMSE on held-out pairs."""
+
+    model: ALSModel
+    rmse: float
+    users: DataFrame
+    items: DataFrame
+
+    def factors(self, side: str) -> DataFrame:
+        """``(id, features)`` of ``side`` ``users`` or ``items``, with original ids."""
+        rows, ids, name = ((self.model.userFactors, self.users, "uid") if side == "users"
+                           else (self.model.itemFactors, self.items, "iid"))
+        key = [c for c in ids.columns if c != name][0]
+        return rows.withColumnRenamed("id", name).join(ids, name).select(F.col(key).alias("id"), "features")
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/model")
+        self.users.write.mode("overwrite").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+        self.users.sparkSession.createDataFrame([(self.rmse,)], "rmse double").write.mode(
+            "overwrite").parquet(f"{path}/rmse")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "RatingModel":
+        return cls(ALSModel.load(f"{path}/model"), spark.read.parquet(f"{path}/rmse").first()["rmse"],
+                   spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"))
+
+
 def rating_model(ratings: DataFrame, *, user: str, item: str, rating: str, rank: int = 10,
                  max_iter: int = 10, reg: float = 0.1, train_ratio: float = 0.8,
-                 seed: int = ml.KMEANS_SEED):
+                 seed: int = ml.KMEANS_SEED) -> RatingModel:
     """Explicit-rating ALS.
 
     A seeded train/test split measures the model: predictions for the test
     pairs are joined to the actual ratings on (user, item) and give the RMSE.
     The returned model is then refitted on all ratings, so every user and
-    item has factors.  Ids are made 32-bit first (``ml.int_ids``).
-    Returns ``(model, rmse, user_map, item_map)``; a map is None when the ids
-    were used as they are.
+    item has factors.  Ids are of any type; rows with a null id or rating are
+    left out.
     """
     data = ratings.select(F.col(user).alias("__user"), F.col(item).alias("__item"),
-                          F.col(rating).cast("float").alias("r"))
-    # read by the id checks, the split and both fits: compute once
+                          F.col(rating).cast("float").alias("r")).dropna()
+    # read by the id maps, the split and both fits: compute once
     from kestrel.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(ratings.sparkSession)
     data = data.checkpoint()
     data, umap = ml.int_ids(data, "__user", "uid")
     data, imap = ml.int_ids(data, "__item", "iid")
-    data = data.select("uid", "iid", "r")
+    data = data.select("uid", "iid", "r").checkpoint()
     train, test = data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
     est = ml.als(False, user="uid", item="iid", rating="r", rank=rank, max_iter=max_iter,
                  reg=reg, seed=seed)
     pred = est.fit(train).transform(test.select("uid", "iid")).withColumnRenamed("prediction", "p")
     scored = pred.join(test, ["uid", "iid"])
     err = ml.rmse(scored, label="r", prediction="p") if scored.take(1) else float("nan")
-    return est.fit(data), err, umap, imap
-
-
-def top_users_per_item(model, n: int, user_map: DataFrame | None = None,
-                       item_map: DataFrame | None = None) -> DataFrame:
-    """``(itemId, userIds, ratings)``: the best ``n`` users of every item,
-    with the original ids when maps are given."""
-    recs = model.recommendForAllItems(n)
-    flat = recs.select("iid", F.posexplode("recommendations").alias("pos", "r")).select(
-        "iid", "pos", F.col("r.uid").alias("uid"), F.col("r.rating").alias("rating"))
-    if user_map is not None:
-        flat = flat.join(user_map, "uid").withColumnRenamed("__user", "user")
-    else:
-        flat = flat.withColumn("user", F.col("uid").cast("long"))
-    if item_map is not None:
-        flat = flat.join(item_map, "iid").withColumnRenamed("__item", "itemId")
-    else:
-        flat = flat.withColumn("itemId", F.col("iid").cast("long"))
-    g = flat.groupBy("itemId").agg(F.sort_array(F.collect_list(
-        F.struct("pos", F.col("user").cast("string").alias("u"),
+    return RatingModel(est.fit(data), err, umap, imap)
+
+
+def _top(recs: DataFrame, of: str, other: str, of_ids: DataFrame, other_ids: DataFrame,
+         of_key: str, other_key: str, of_name: str, other_name: str) -> DataFrame:
+    flat = recs.select(of, F.posexplode("recommendations").alias("pos", "r")).select(
+        of, "pos", F.col(f"r.{other}").alias(other), F.col("r.rating").alias("rating"))
+    flat = flat.join(of_ids, of).join(other_ids, other)
+    g = flat.groupBy(F.col(of_key).alias(of_name)).agg(F.sort_array(F.collect_list(
+        F.struct("pos", F.col(other_key).cast("string").alias("o"),
                  F.round("rating", 4).cast("string").alias("x")))).alias("l"))
-    return g.select("itemId", F.concat_ws(",", F.col("l.u")).alias("userIds"),
+    return g.select(of_name, F.concat_ws(",", F.col("l.o")).alias(other_name),
                     F.concat_ws(",", F.col("l.x")).alias("ratings"))
 
 
+def top_users_per_item(m: RatingModel, n: int, items: DataFrame | None = None) -> DataFrame:
+    """``(itemId, userIds, ratings)``: the best ``n`` users of every item, or of those in
+    ``items`` (column itemId)."""
+    if items is None:
+        recs = m.model.recommendForAllItems(n)
+    else:
+        some = items.join(m.items, items["itemId"] == m.items["__item"]).select("iid")
+        recs = m.model.recommendForItemSubset(some, n)
+    return _top(recs, "iid", "uid", m.items, m.users, "__item", "__user", "itemId", "userIds")
+
+
+def top_items_per_user(m: RatingModel, n: int, users: DataFrame | None = None) -> DataFrame:
+    """``(userId, itemIds, ratings)``: the best ``n`` items of every user, or of those in
+    ``users`` (column userId)."""
+    if users is None:
+        recs = m.model.recommendForAllUsers(n)
+    else:
+        some = users.join(m.users, users["userId"] == m.users["__user"]).select("uid")
+        recs = m.model.recommendForUserSubset(some, n)
+    return _top(recs, "uid", "iid", m.users, m.items, "__user", "__item", "userId", "itemIds")
+
+
 # --------------------------------------------------------------- template
 
 def run_tag_model(spark: SparkSession, catalog: DataFrame, tag_id: int, compute, *,

@@ -7,7 +7,6 @@ share with it only the fixed values (rules, thresholds, dates).
 
 from __future__ import annotations
 
-from kestrel.functions.scoring import score_sql
 from kestrel.operators.cleanup import LEHMER_A, LEHMER_M, PAY_CODES, PAY_NAMES
 from kestrel.plans import shop as s
 
@@ -51,10 +50,52 @@ RFE = f"""
   FROM events GROUP BY user_id"""
 
 
-def _scores(measures_sql: str, tables: dict, strict: bool) -> str:
-    cols = ", ".join(f"{score_sql(n, b, strict)} AS {n[0]}_score" for n, b in tables.items())
-    return f"SELECT userId, {cols} FROM ({measures_sql}) m"
+RFM_SCORES = f"""
+  SELECT userId,
+         CASE WHEN recency < 55 THEN 5.0 WHEN recency < 124 THEN 4.0 WHEN recency < 220 THEN 3.0
+              WHEN recency < 391 THEN 2.0 WHEN recency >= 391 THEN 1.0 END::DOUBLE AS r_score,
+         CASE WHEN frequency < 8 THEN 1.0 WHEN frequency < 10 THEN 2.0 WHEN frequency < 12 THEN 3.0
+              WHEN frequency < 14 THEN 4.0 WHEN frequency >= 14 THEN 5.0 END::DOUBLE AS f_score,
+         CASE WHEN monetary < 1710000 THEN 1.0 WHEN monetary < 2230000 THEN 2.0
+              WHEN monetary < 2670000 THEN 3.0 WHEN monetary < 3250000 THEN 4.0
+              WHEN monetary >= 3250000 THEN 5.0 END::DOUBLE AS m_score
+  FROM ({RFM}) m"""
 
+RFM_STRICT = f"""
+  SELECT userId,
+         CASE WHEN recency <= 40 THEN 5.0 WHEN recency BETWEEN 55 AND 123 THEN 4.0
+              WHEN recency BETWEEN 130 AND 219 THEN 3.0 WHEN recency BETWEEN 220 AND 390 THEN 2.0
+              WHEN recency >= 400 THEN 1.0 END::DOUBLE AS r_score,
+         CASE WHEN frequency <= 6 THEN 1.0 WHEN frequency BETWEEN 8 AND 9 THEN 2.0
+              WHEN frequency = 11 THEN 3.0 WHEN frequency BETWEEN 12 AND 13 THEN 4.0
+              WHEN frequency >= 15 THEN 5.0 END::DOUBLE AS f_score,
+         CASE WHEN monetary < 1500000 THEN 1.0 WHEN monetary BETWEEN 1710000 AND 2229999 THEN 2.0
+              WHEN monetary BETWEEN 2300000 AND 2669999 THEN 3.0
+              WHEN monetary BETWEEN 2670000 AND 3249999 THEN 4.0
+              WHEN monetary >= 3400000 THEN 5.0 END::DOUBLE AS m_score
+  FROM ({RFM}) m"""
+
+RFE_SCORES = f"""
+  SELECT userId,
+         CASE WHEN recency < 2 THEN 5.0 WHEN recency < 3 THEN 4.0 WHEN recency < 5 THEN 3.0
+              WHEN recency < 8 THEN 2.0 WHEN recency >= 8 THEN 1.0 END::DOUBLE AS r_score,
+         CASE WHEN frequency < 60 THEN 1.0 WHEN frequency < 65 THEN 2.0 WHEN frequency < 70 THEN 3.0
+              WHEN frequency < 75 THEN 4.0 WHEN frequency >= 75 THEN 5.0 END::DOUBLE AS f_score,
+         CASE WHEN engagements < 45 THEN 1.0 WHEN engagements < 48 THEN 2.0 WHEN engagements < 51 THEN 3.0
+              WHEN engagements < 54 THEN 4.0 WHEN engagements >= 54 THEN 5.0 END::DOUBLE AS e_score
+  FROM ({RFE}) m"""
+
+RFE_STRICT = f"""
+  SELECT userId,
+         CASE WHEN recency <= 1 THEN 5.0 WHEN recency = 2 THEN 4.0 WHEN recency BETWEEN 3 AND 4 THEN 3.0
+              WHEN recency BETWEEN 5 AND 7 THEN 2.0 WHEN recency >= 8 THEN 1.0 END::DOUBLE AS r_score,
+         CASE WHEN frequency <= 59 THEN 1.0 WHEN frequency BETWEEN 60 AND 64 THEN 2.0
+              WHEN frequency BETWEEN 65 AND 69 THEN 3.0 WHEN frequency BETWEEN 70 AND 74 THEN 4.0
+              WHEN frequency >= 75 THEN 5.0 END::DOUBLE AS f_score,
+         CASE WHEN engagements < 44 THEN 1.0 WHEN engagements BETWEEN 45 AND 47 THEN 2.0
+              WHEN engagements BETWEEN 48 AND 50 THEN 3.0 WHEN engagements BETWEEN 51 AND 53 THEN 4.0
+              WHEN engagements >= 54 THEN 5.0 END::DOUBLE AS e_score
+  FROM ({RFE}) m"""
 
 SEGMENT = f"""
   SELECT c.c_custkey AS userId, v.name AS segment
@@ -127,11 +168,11 @@ ORACLE = {
         FROM customer)
       SELECT c_nationkey, c_custkey, c_name, c_acctbal FROM ranked WHERE rn = 1""",
     "rfm_measures": RFM,
-    "rfm_scores": _scores(RFM, s.SHOP_RFM_TABLES, False),
-    "rfm_scores_strict": _scores(RFM, s.SHOP_RFM_TABLES, True),
+    "rfm_scores": RFM_SCORES,
+    "rfm_scores_strict": RFM_STRICT,
     "rfe_measures": RFE,
-    "rfe_scores": _scores(RFE, s.SHOP_RFE_TABLES, False),
-    "rfe_scores_strict": _scores(RFE, s.SHOP_RFE_TABLES, True),
+    "rfe_scores": RFE_SCORES,
+    "rfe_scores_strict": RFE_STRICT,
     "psm_score": f"""
       WITH x AS (
         SELECT userId, l_orderkey,
@@ -252,7 +293,7 @@ ORACLE = {
       SELECT g.id, g.name, m.model_id, m.model_name FROM g LEFT JOIN m ON g.id = m.tag_id
       WHERE g.level = 4""",
     "center_rank": f"""
-      WITH sc AS ({_scores(RFM, s.SHOP_RFM_TABLES, False)}),
+      WITH sc AS ({RFM_SCORES}),
       j AS (SELECT c.c_mktsegment, avg(r_score) + avg(f_score) + avg(m_score) AS s
             FROM sc JOIN customer c ON sc.userId = c.c_custkey GROUP BY 1)
       SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY s DESC, c_mktsegment) - 1 AS INTEGER) AS rank

@@ -76,6 +76,12 @@ SHOP_RFE_RECENCY = [(None, 1, 5), (2, 2, 4), (3, 4, 3), (5, 7, 2), (8, None, 1)]
 SHOP_RFE_FREQUENCY = [(None, 59, 1), (60, 64, 2), (65, 69, 3), (70, 74, 4), (75, None, 5)]
 SHOP_RFE_ENGAGEMENT = [(None, 44, 1, True), (45, 47, 2), (48, 50, 3), (51, 53, 4), (54, None, 5)]
 
+# Closed ranges with holes that hold users (strict scoring).
+SHOP_RFM_STRICT = {"recency": [(None, 40, 5), (55, 123, 4), (130, 219, 3), (220, 390, 2), (400, None, 1)],
+                   "frequency": [(None, 6, 1), (8, 9, 2), (11, 11, 3), (12, 13, 4), (15, None, 5)],
+                   "monetary": [(None, 1500000, 1, True), (1710000, 2229999, 2), (2300000, 2669999, 3),
+                                (2670000, 3249999, 4), (3400000, None, 5)]}
+
 # Goods that label an order line female (1), others male (0).
 FEMALE_BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4"]
 FEMALE_TYPES = ["PROMO", "SMALL"]
@@ -215,7 +221,7 @@ def rfm_scores(spark, sf_dir):
 
 
 def rfm_scores_strict(spark, sf_dir):
-    return measures.score_measures(_rfm(spark, sf_dir), SHOP_RFM_TABLES, strict=True)
+    return measures.score_measures(_rfm(spark, sf_dir), SHOP_RFM_STRICT, strict=True)
 
 
 def _rfe(spark, sf_dir):

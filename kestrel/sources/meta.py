@@ -23,15 +23,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kestrel.operators.match import BUSINESS_LEVEL
-from kestrel.sources.conditions import conditions_predicate, where_condition_predicate
+from kestrel.sources.conditions import conditions_predicate, parse_conditions, where_condition_predicate
 
 IN_TYPES = ("hdfs", "csv", "hive", "table", "mysql", "jdbc", "hbase", "wide", "parquet", "cells")
 
 
 def rule_to_map(rule: Column) -> Column:
-    """Rule text -> ``map<string,string>``; lines trimmed, split on the first ``=``."""
-    lines = F.regexp_replace(F.trim(rule), r"[ \t]*\r?\n[ \t]*", "\n")
-    return F.str_to_map(lines, F.lit("\n"), F.lit("="))
+    """Rule text -> ``map<string,string>``; lines trimmed, blank ones skipped, split on
+    the first ``=``.  A line without ``=`` fails the job and is named."""
+    lines = F.filter(F.split(rule, r"\r?\n"), lambda x: F.trim(x) != "")
+
+    def entry(line: Column) -> Column:
+        at = F.instr(line, "=")
+        key = F.when(at > 0, F.trim(F.substring(line, F.lit(1), at - 1))).otherwise(
+            F.raise_error(F.concat(F.lit("rule line without '=': "), line)))
+        return F.struct(key.alias("key"), F.trim(F.substring(line, at + 1, F.length(line))).alias("value"))
+
+    return F.map_from_entries(F.transform(lines, entry))
 
 
 def parse_rule(tags: DataFrame) -> dict[str, str]:
@@ -71,8 +79,12 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
     fields = _fields(rule)
     where = rule.get("whereCondition")
     if in_type in ("hdfs", "csv"):
-        df = read_delimited_with_header(spark, rule["inPath"],
-                                        rule.get("sperator") or rule.get("separator") or ",")
+        # "sperator" is a fixed value: existing rules spell the key so.
+        sep = rule.get("sperator") or rule.get("separator") or ","
+        if rule.get("schema"):  # a DDL schema saves the pass that infers one
+            df = spark.read.schema(rule["schema"]).option("sep", sep).option("header", True).csv(rule["inPath"])
+        else:
+            df = read_delimited_with_header(spark, rule["inPath"], sep)
         return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
     if in_type in ("hive", "table"):
         df = spark.read.table(rule.get("hiveTable") or rule["table"])
@@ -82,8 +94,13 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
         cond = conditions_predicate(rule.get("filterConditions"), missing_passes=False)
         return _project(_filter(df, [cond, where_condition_predicate(where, as_of, df)]), fields)
     if in_type in ("mysql", "jdbc"):
-        return read_jdbc_query(spark, rule["url"], rule["sql"], driver=rule.get("driver"),
-                               user=rule.get("user"), password=rule.get("password"))
+        # partitionColumn, lowerBound, upperBound and numPartitions make it parallel
+        column = rule.get("partitionColumn")
+        parts = {"partition_column": column, "lower": int(rule["lowerBound"]), "upper": int(rule["upperBound"]),
+                 "num_partitions": int(rule["numPartitions"])} if column else {}
+        df = read_jdbc_query(spark, rule["url"], rule["sql"], driver=rule.get("driver"),
+                             user=rule.get("user"), password=rule.get("password"), **parts)
+        return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
     if in_type == "cells":
         return cells_scan(spark, rule.get("inPath") or rule["path"], rule.get("family"), fields,
                           rule.get("filterConditions"), rule.get("whereCondition"), as_of,
@@ -167,8 +184,13 @@ def cells_scan(spark: SparkSession, path: str, family: str | None, select_fields
     cells = spark.read.parquet(path)
     if family:
         cells = cells.where(F.col("family") == family)
-    cells = cells.where(F.col("qualifier").isin(*fields))
-    wide = (cells.groupBy(F.col("row_key").alias(key)).pivot("qualifier", fields)
+    # Conditions may name qualifiers that are not selected: read them, filter, then project.
+    tested = [c.field for c in parse_conditions(filter_conditions)]
+    if where_condition and where_condition.strip():
+        tested.append(where_condition.split("#")[0].strip())
+    needed = fields + [f for f in dict.fromkeys(tested) if f not in fields and f != key]
+    cells = cells.where(F.col("qualifier").isin(*needed))
+    wide = (cells.groupBy(F.col("row_key").alias(key)).pivot("qualifier", needed)
             .agg(F.first("value")))
     preds = [conditions_predicate(filter_conditions, missing_passes),
              where_condition_predicate(where_condition, as_of, wide)]

@@ -67,14 +67,6 @@ def test_null_measure_scores_null(spark):
     assert _score(spark, [None], scoring.RFM_RECENCY, False) == [None]
 
 
-def test_score_sql_matches_column(spark):
-    vals = [0, 1, 5, 9, 10, 15, 16, 99, 4000]
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    df.createOrReplaceTempView("scored")
-    for strict in (False, True):
-        sql = spark.sql(f"SELECT {scoring.score_sql('v', scoring.RFM_RECENCY, strict)} FROM scored")
-        assert [r[0] for r in sql.collect()] == _score(spark, vals, scoring.RFM_RECENCY, strict)
-
 
 def test_relative_window_month_is_30_days(spark):
     df = spark.createDataFrame([(dt.date(2020, 10, 6) - dt.timedelta(days=d),) for d in (0, 1, 30, 31)],

@@ -95,8 +95,9 @@ def test_int_ids_dense_for_large_keys(spark):
     mapped, mapping = ml.int_ids(df, "k", "kid")
     ids = sorted(r.kid for r in mapped.collect())
     assert ids == list(range(50)) and mapping.count() == 50
-    small, none = ml.int_ids(spark.createDataFrame([(5,)], "k long"), "k", "kid")
-    assert none is None and small.first().kid == 5
+    text, names = ml.int_ids(spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "k string"), "k", "kid")
+    assert sorted(r.kid for r in names.collect()) == [0, 1]
+    assert sorted(r.k for r in text.collect()) == ["a", "b", "b"]
 
 
 def test_template_runs_and_saves(spark, tmp_path):
@@ -123,43 +124,21 @@ def test_elbow_reports_each_k(spark):
     assert cos[0]["k"] == 2
 
 
-def test_weighted_distinct_kmeans_matches_full(spark):
-    data = ml.assemble(_scores(spark), ["r_score", "f_score", "m_score"])
-    full = ml.kmeans(data, 3)
-    w = ml.kmeans(ml.distinct_weighted(data, ["features"], "w"), 3, weight="w")
-    key = lambda m: sorted(tuple(round(x, 9) for x in c) for c in m.clusterCenters())
-    assert key(full) == key(w)
-    assert abs(full.summary.trainingCost - w.summary.trainingCost) < 1e-9
-
-
-def test_kmeans_tag_discrete_labels(spark):
+def test_kmeans_tag_with_fewer_distinct_vectors_than_k(spark):
     tags = spark.createDataFrame(VALUE_TAGS, CATALOG)
-    out = models.kmeans_tag(_scores(spark), ["r_score", "f_score", "m_score"], tags, 3, out="rfm",
-                            discrete=True, sweep=True)
-    got = dict((r.userId, r.rfm) for r in out.collect())
-    assert len(got) == 30 and got[0] == "rank0" and got[15] == "rank1" and got[25] == "rank2"
-
-
-def test_weighted_elbow_equals_full(spark):
-    data = ml.assemble(_scores(spark), ["r_score", "f_score", "m_score"])
-    pts = [r.features.toArray() for r in data.collect()]
-    weighted = ml.distinct_weighted(data, ["features"], "w")
-    for k in (2, 3):
-        m = ml.kmeans(weighted, k, max_iter=10, weight="w")
-        # the weighted cost is the cost of the same centres on every point
-        cost = sum(min(float(((p - c) ** 2).sum()) for c in m.clusterCenters()) for p in pts)
-        assert abs(m.summary.trainingCost - cost) < 1e-6
-    full = ml.elbow(data, [3], max_iter=10)[0]
-    w = ml.elbow(data, [3], max_iter=10, discrete=True)[0]
-    assert abs(full["cost"] - w["cost"]) < 1e-9 and abs(full["silhouette"] - w["silhouette"]) < 1e-9
+    for n in (1, 2):
+        df = spark.createDataFrame([(i, float(i % n), 1.0) for i in range(12)], "userId long, a double, b double")
+        for kw in ({}, {"scale": True}, {"sweep": None}):
+            out = models.kmeans_tag(df, ["a", "b"], tags, 5, out="t", **kw).collect()
+            assert len(out) == 12 and len({r.t for r in out}) <= max(1, n) and all(r.t for r in out)
 
 
 def test_null_score_policy_before_clustering(spark):
-    # q7: a null score cannot enter the vector; skip drops the user, error fails
+    # q7: a null score cannot enter the vector; keep leaves the user without a tag, error fails
     import pytest
     tags = spark.createDataFrame(VALUE_TAGS, CATALOG)
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, 5.0), (4, 5.0)], "userId long, s double")
-    out = models.kmeans_tag(df, ["s"], tags, 2, out="v", null_policy="skip")
-    assert sorted(r.userId for r in out.collect()) == [1, 3, 4]
+    out = {r.userId: r.v for r in models.kmeans_tag(df, ["s"], tags, 2, out="v").collect()}
+    assert sorted(out) == [1, 2, 3, 4] and out[2] is None and all(out[u] for u in (1, 3, 4))
     with pytest.raises(Exception):
         models.kmeans_tag(df, ["s"], tags, 2, out="v", null_policy="error").collect()

@@ -42,7 +42,7 @@ def test_range_match_bucketed_fallback_equals_broadcast(spark):
                                    "name string, start int, end int")
     vals = spark.createDataFrame([(i, i * 7) for i in range(60)], "id long, v int")
     direct = rows(match.range_match(vals, "v", ranges))
-    bucketed = rows(match.range_match(vals, "v", ranges, max_ranges=2, bucket_width=10))
+    bucketed = rows(match.range_match(vals, "v", ranges, few=2))
     assert direct == bucketed and len(direct) == 60 - sum(1 for i in range(60) if i * 7 > 1000)
 
 
@@ -231,7 +231,7 @@ def test_range_match_bucketed_default_width(spark):
     ranges = spark.createDataFrame([(f"r{i}", i * 10, i * 10 + 9) for i in range(50)],
                                    "name string, start int, end int")
     vals = spark.createDataFrame([(i, i * 3) for i in range(200)], "id long, v int")
-    assert rows(match.range_match(vals, "v", ranges, max_ranges=10)) == rows(match.range_match(vals, "v", ranges))
+    assert rows(match.range_match(vals, "v", ranges, few=10)) == rows(match.range_match(vals, "v", ranges))
 
 
 def test_rfe_approx_distinct_close_to_exact(spark):
@@ -274,3 +274,17 @@ def test_tags_string_with_repeated_field_and_colon_value(spark):
     df = spark.createDataFrame([(1, "gender:m,gender:f,url:http://x,flag")], "id long, tags string")
     got = rows(profile.tags_string_to_cells(df, "id", "tags"))
     assert got == [(1, "flag", None), (1, "gender", "f"), (1, "gender", "m"), (1, "url", "http://x")]
+
+
+def test_range_match_overlaps_wide_and_malformed_ranges(spark):
+    ranges = spark.createDataFrame([(f"r{i}", i * 10, i * 10) for i in range(9)] + [("open", 5, 2**40), ("z", 10, 10)],
+                                   "name string, start long, end long")
+    vals = spark.createDataFrame([(i, i * 5) for i in range(100)] + [(200, None)], "id long, v long")
+    a = rows(match.range_match(vals, "v", ranges, on_unmatched="null"))
+    assert a == rows(match.range_match(vals, "v", ranges, on_unmatched="null", few=2))
+    got = dict(a)
+    assert got[0] == "r0" and got[2] == "open" and got[99] == "open" and got[200] is None and len(a) == 101
+    tags = spark.createDataFrame([(1, "ok", "0-5", 5, 0), (2, "bad", "0~10", 5, 0)],
+                                 "id long, name string, rule string, level int, pid long")
+    with pytest.raises(ValueError, match="bad"):
+        match.range_match(vals, "v", tags)

@@ -148,3 +148,22 @@ def test_duplicate_rule_keys_raise(spark):
     tags = spark.createDataFrame([(318, "g", "inType=hive\ninType=hdfs", 4, 1)], CATALOG)
     with pytest.raises(Exception, match="DUPLICATED_MAP_KEY|Duplicate map key"):
         meta.parse_rule(tags)
+
+
+def test_rule_text_with_blank_lines_and_a_bad_line(spark):
+    def tags(rule):
+        return spark.createDataFrame([(1, "t", rule, 4, 0)], "id long, name string, rule string, level int, pid long")
+    assert meta.parse_rule(tags("\n inType=hive \n\n hiveTable=a.b\n where=x=1\n")) == {
+        "inType": "hive", "hiveTable": "a.b", "where": "x=1"}
+    with pytest.raises(Exception, match="without '='"):
+        meta.parse_rule(tags("inType=hive\nno equals sign"))
+
+
+def test_cells_scan_filters_on_unselected_columns(spark, tmp_path):
+    cells = [(k, "f", q, v) for k, row in {"a": {"x": "1", "y": "7", "d": "2020-01-09"},
+                                           "b": {"x": "2", "y": "8", "d": "2019-01-01"}}.items() for q, v in row.items()]
+    path = str(tmp_path / "cells")
+    spark.createDataFrame(cells, "row_key string, family string, qualifier string, value string").write.parquet(path)
+    assert [tuple(r) for r in meta.cells_scan(spark, path, "f", "x", "y[eq]8").collect()] == [("b", "2")]
+    got = meta.cells_scan(spark, path, "f", "x", None, "d#day#5", as_of="2020-01-10").collect()
+    assert [tuple(r) for r in got] == [("a", "1")]
