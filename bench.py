@@ -26,7 +26,8 @@ HEADLINE = [
     "rule_match_inner", "age_range", "consume_cycle", "pay_type_top1", "rfm_scores",
     "rfe_scores", "psm_score", "usg_share_label", "dict_encode", "condition_filter",
     "click_ratings", "profile_upsert", "to_cells", "drop_malformed", "order_cleanup",
-    "tag_path", "rfm_kmeans", "bp_als_top5",
+    "tag_path", "rfm_kmeans", "rfm_scaled_kmeans", "bp_als_top5", "als_explicit_rmse",
+    "usg_tree", "vector_elbow", "linreg", "psm_kmeans", "gbt",
 ]
 
 
