@@ -103,7 +103,7 @@ def piece_table(texts: pa.Array) -> np.ndarray:
 
 _FIELDS = {"bytes": pa.list_(pa.int32()), "pairs": pa.list_(pa.int64()), "slots": pa.list_(pa.int32()),
            "texts": pa.list_(pa.string()), "ids": pa.list_(pa.list_(pa.int32())),
-           "little": pa.list_(pa.string()), "hex": pa.list_(pa.string())}
+           "little": pa.list_(pa.binary()), "tokens": pa.list_(pa.binary())}
 
 
 @dataclass
@@ -112,7 +112,7 @@ class Tables:
 
     ``row`` is one row with one struct: the id of each byte, the pair slots, the piece
     slots with the pieces' texts and ids, and of each id its number as four bytes, low
-    first, and its token's bytes, both hexadecimal.  Plans hold it as a scalar subquery,
+    first, and its token's bytes.  Plans hold it as a scalar subquery,
     so it reaches the tasks as one literal value.  ``beside`` adds it as a column, which
     one expression of the next projection may use: Catalyst then puts the subquery in
     its place, and no row carries the tables.
@@ -146,8 +146,7 @@ def tables(spark: SparkSession, ranks: dict[bytes, int], known: pa.Table | None
         ids = pa.concat_arrays([ids, *known["ids"].cast(ids.type).chunks])
     pairs, slots = pair_table(ranks), piece_table(texts)
     row = (pa.array([ranks[bytes([b])] for b in range(256)]), pa.array(pairs), pa.array(slots), texts, ids,
-           pa.array([i.to_bytes(4, "little").hex() for i in range(len(tokens))]),
-           pa.array([t.hex() for t in tokens]))
+           pa.array([i.to_bytes(4, "little") for i in range(len(tokens))]), pa.array(tokens))
     columns = {name: pa.ListArray.from_arrays([0, len(values)], values.cast(kind.value_type))
                for (name, kind), values in zip(_FIELDS.items(), row)}
     one = spark.createDataFrame(pa.table(columns)).select(F.struct(*_FIELDS).alias("t"))
@@ -308,48 +307,56 @@ def with_ids(df: DataFrame, text: str = "text", out: str = "ids", ranks_path: st
     mask = F.lit(full.n_slots - 1).cast("long")
     shift = 64 - (full.n_slots.bit_length() - 1)
 
-    def known_ids(t: Column, p: Column) -> Column:
+    def entry(t: Column, p: Column) -> Column:
+        """The place of a piece in the table; null for a rare one."""
         def lookup(at: Column) -> Column:
             e = F.get(t["slots"], at.cast("int"))
-            return F.when(F.get(t["texts"], e) == p, F.get(t["ids"], e))
+            return F.when(F.get(t["texts"], e) == p, e)
 
         return let(F.xxhash64(p), lambda h: F.coalesce(
             lookup(F.call_function("shiftrightunsigned", h, F.lit(shift))), lookup(h.bitwiseAND(mask))))
 
     def joined(s: Column) -> Column:
-        """Known ids in order, each gap filled with the next rare piece's."""
+        """Known pieces' ids in order, each gap filled with the next rare piece's."""
         def part(j: Column) -> Column:
             first = F.coalesce(F.get(s["gaps"], j - 1) + 1, F.lit(0))
             end = F.coalesce(F.get(s["gaps"], j), F.size(s["known"]))
-            return F.concat(F.flatten(F.slice(s["known"], first + 1, end - first)),
-                            F.coalesce(F.get(s["rare"], j), F.array().cast("array<int>")))
+            known_ids = F.transform(F.slice(s["known"], first + 1, end - first), lambda e: F.get(s["t"]["ids"], e))
+            return F.concat(F.flatten(known_ids), F.coalesce(F.get(s["rare"], j), F.array().cast("array<int>")))
 
         return F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["gaps"])), part))
 
     cut = full.beside(df.withColumn("__pieces", pieces(F.col(text), pattern)))
     looked_up = let(F.struct(F.col("__tables").alias("t"), F.col("__pieces").alias("pieces")), lambda s: F.struct(
-        s["pieces"].alias("pieces"), F.transform(s["pieces"], lambda p: known_ids(s["t"], p)).alias("known")))
+        s["pieces"].alias("pieces"), F.transform(s["pieces"], lambda p: entry(s["t"], p)).alias("known")))
     gaps = F.array_compact(F.transform("__k.known", lambda x, i: F.when(x.isNull(), i)))
     cut = cut.select(*df.columns, looked_up.alias("__k")).withColumn("__gaps", gaps)
     rare = let(F.struct("__k.pieces", F.col("__gaps").alias("gaps")),
                lambda s: F.transform(s["gaps"], lambda i: F.get(s["pieces"], i)))
+    cut = cut.select(*df.columns, F.col("__k.known").alias("__known"), "__gaps", rare.alias("__rare"))
     # A second use of __rare keeps it a column: Python functions take no lambdas' results.
-    cut = cut.withColumn("__rare", rare).withColumn("__rare_ids", encode_rare("__rare"))
-    state = F.struct(F.col("__tables").alias("t"), F.col("__k.known").alias("known"),
+    cut = cut.withColumn("__rare_ids", encode_rare("__rare"))
+    state = F.struct(F.col("__tables").alias("t"), F.col("__known").alias("known"),
                      F.col("__gaps").alias("gaps"), F.col("__rare").alias("pieces"),
                      F.col("__rare_ids").alias("rare"))
     column = let(state, lambda s: let(joined(s), lambda ids: body(s["t"], ids)))
     return full.beside(cut).select(*df.columns, column.alias(out)), full
 
 
+def _bytes(table: Column, ids: Column) -> Column:
+    """The table's byte strings of the ids, one after the other; strings of any bytes
+    are joined as they are."""
+    return F.array_join(F.transform(ids, lambda i: F.get(table, i).cast("string")), "").cast("binary")
+
+
 def little_endian(t: Column, ids: Column) -> Column:
     """The ids as unsigned 32-bit integers, low byte first, one after the other."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["little"], i)), ""))
+    return _bytes(t["little"], ids)
 
 
 def decoded(t: Column, ids: Column) -> Column:
     """The bytes of the ids' tokens, one after the other."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["hex"], i)), ""))
+    return _bytes(t["tokens"], ids)
 
 
 def with_text(df: DataFrame, known: Tables, ids: str = "ids", out: str = "text") -> DataFrame:
