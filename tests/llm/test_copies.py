@@ -89,6 +89,18 @@ def test_block_size_changes_no_class(spark, monkeypatch):
     assert len(set(got[1].values())) <= 33  # the bands miss 0.4 % of 330 links
 
 
+def test_pairs_of_one_band_are_compared_however_few_samples_agree(spark):
+    def row(node, shift, mass, near):
+        samples = [i if i < neardup.ROWS else i + shift for i in range(neardup.BANDS * neardup.ROWS)]
+        return (node, 0, node, samples, mass, near)
+
+    schema = "node string, band int, label string, samples array<int>, mass double, to_leader double"
+    x = spark.createDataFrame([row("a", 0, 100.0, None)], schema).alias("x")
+    y = spark.createDataFrame([row("b", 1000, 81.0, None), row("c", 1000, 79.0, None)], schema).alias("y")
+    got = [r["node"] for r in x.join(y, neardup._may_match("x", "y")).select("y.node").collect()]
+    assert got == ["b"]
+
+
 def test_samples_agree_with_weighted_similarity():
     rng = np.random.default_rng(4)
     idf = (1 + rng.random(1 << neardup.WORD_BITS)).astype(np.float32)
