@@ -22,8 +22,8 @@ MOST_BUCKETS = 1 << 16   # beyond these, buckets grow
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<struct<at:int, hash:bigint>>: the closed syncmers of a whole text in order.
 
-    A text of fewer than ``k`` words, but not none, has one anchor: all its words.
-    A null or empty text has none.
+    A text with words but without a closed syncmer (of fewer than ``k`` words, or
+    of a few more) has one anchor: all its words.  A null or empty text has none.
     """
     inner = k - s + 1
 
@@ -49,9 +49,9 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
     def of_hashes(h: Column) -> Column:
         whole_text = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(h).alias("hash")))
-        return (F.when(F.size(h) >= k, let(smers(h), choose))
-                .when(F.size(h) > 0, whole_text)
-                .otherwise(F.array().cast("array<struct<at:int,hash:bigint>>")))
+        none = F.array().cast("array<struct<at:int,hash:bigint>>")
+        closed = F.when(F.size(h) >= k, let(smers(h), choose)).otherwise(none)
+        return let(closed, lambda c: F.when((F.size(c) > 0) | (F.size(h) == 0), c).otherwise(whole_text))
 
     return let(F.transform(words(text), lambda w: F.xxhash64(w)), of_hashes)
 

@@ -42,6 +42,18 @@ def test_anchors_are_closed_syncmers(spark, odd):
         assert [(x["at"], x["hash"]) for x in r["a"]] == plain_anchors(r["text"])
 
 
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    texts = [" ".join(f"s{i}x{j}" for j in range(n)) for n in (5, 6, 7) for i in range(30)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", syncmers.anchors(F.col("text")).alias("a")).collect()
+    lone = [r for r in got if not plain_anchors(r["text"])]
+    assert lone and all(r["a"] for r in got)
+    for r in lone:
+        h = [signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in words(r["text"])]
+        assert [(x["at"], x["hash"]) for x in r["a"]] == [(0, chained(h))]
+    assert len({r["a"][0]["hash"] for r in lone}) == len(lone)
+
+
 def test_anchors_move_with_their_passage(spark):
     base = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(base, "a b c " + base)], "x string, y string")
