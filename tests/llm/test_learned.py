@@ -107,6 +107,17 @@ def test_random_tokens_are_discovered_and_words_are_not(spark):
     assert secrets.redact("a bc d", [("hex", 2, 4), ("random", 3, 5)]) == "a [SECRET]d"
 
 
+def test_random_tokens_are_discovered_in_a_small_corpus_without_long_words(spark):
+    rng = random.Random(2)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(4)]
+    paths = ["/usr/share/local/python/packages", "state-of-the-art-long-word", "getCustomerAddressForNextOrder"]
+    rows = [(i, f"only a few short words {k} and {p} here") for i, (k, p) in enumerate(zip(keys, paths + ["no"]))]
+    accepted = secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    hit = {t[a:b] for _, t in rows for k, a, b in secrets.spans(t, accepted) if k == "random"}
+    assert len(hit & set(keys)) >= 3 and not hit - set(keys)
+
+
 def test_secret_stage_keeps_rows_and_other_columns(spark, odd):
     dirty = odd.unionAll(spark.createDataFrame([(50, "my token=abcdefgh12 here", None, "s", 24)], odd.schema))
     out = secrets.stage(spark, dirty, "")
