@@ -1,4 +1,4 @@
-"""Removal of repeated passages by longest previous factors in suffix order.
+"""Removal of repeated passages by equality classes of 50-byte windows.
 
 A byte goes if it lies in a 50-byte string that also starts in a document with a
 smaller id.  Two equal strings of that length have the same smallest inner hash (their
@@ -8,10 +8,10 @@ anchor), so only strings with equal anchors need to meet:
 2. an anchor's group tells which are found in two documents at least, a text's group
    which document holds it first;
 3. documents that hold their text first send the bytes around repeated anchors;
-4. an anchor's group sorts the suffixes there by their first 50 bytes.  Suffixes that
-   agree on them are kept in the order of their documents, so the previous smaller
-   entry of each is the head of its class and the next smaller lies outside: the
-   longest previous factor reaches 50 bytes exactly where the head's document is smaller;
+4. an anchor's group sorts the 50-byte windows there, equal ones by document.  The head
+   of a class of equal windows has its least document, and a longest previous factor
+   would reach 50 bytes exactly where that is smaller; no suffix array beyond 50 bytes
+   and no factor lengths are computed;
 5. the documents drop what was found, later copies of a whole text drop everything.
 
 Groups hold a few megabytes: repeats within a group are settled where they are, so a
@@ -200,13 +200,13 @@ def send_segments(pdf: pd.DataFrame, found: pd.DataFrame, n: int) -> pd.DataFram
 
 
 def previous_factors(data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor of each suffix ``at`` of ``data`` reaches
-    ``LENGTH`` bytes, previous meaning: of a smaller id."""
+    """Whether a smaller id has the ``LENGTH`` bytes at ``at`` of ``data`` too: what a
+    longest previous factor of that length would say, from classes of equal windows."""
     words = np.empty((7, len(at)), dtype=np.uint64)
     view = np.lib.stride_tricks.sliding_window_view(data, 8)
     for w, offset in enumerate((*range(0, LENGTH - 8, 8), LENGTH - 8)):
         words[w] = np.ascontiguousarray(view[at + offset]).view(">u8").ravel()
-    order = np.lexsort((ids, *words[::-1]))       # suffix order, equal ones by document
+    order = np.lexsort((ids, *words[::-1]))       # equal windows by document
     words, ordered = words[:, order], ids[order]
     head = np.concatenate([[True], (words[:, 1:] != words[:, :-1]).any(axis=0)])
     smallest = ordered[np.flatnonzero(head)[np.cumsum(head) - 1]]
