@@ -112,7 +112,7 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     dictionaries have not seen.  Without both labels the score is constant."""
     toxic, ordinary = dictionaries([r for i, r in enumerate(rows) if i % 3])
     rest = [r for i, r in enumerate(rows) if i % 3 == 0]
-    x = np.array([summary(differences(t, toxic, ordinary)) for t, _ in rest]).reshape(len(rest), -1)
+    x = np.array([summary(differences(t, toxic, ordinary)) for t, _ in rest]).reshape(len(rest), 9)
     y = np.array([label for _, label in rest], dtype=float)
     rate = (y.sum() + 0.5) / (len(y) + 10.0)
     if not len(y) or y.min() == y.max():
@@ -131,6 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
         sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on the labelled documents whose hashed ids are lowest, within both bounds.
 
+    A text of more than a sixteenth of ``sample_bytes`` is left out, so that no single
+    one takes the room of the others; such texts are scored like all.
     An id labelled more than once counts with its largest label; null labels and
     null ids don't count.
     """
@@ -138,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
     known = labels.groupBy("doc_id").agg(F.max(label).cast("int").alias("__label")).dropna()
     sizes = (docs.select("doc_id", F.octet_length("text").alias("size")).join(known, "doc_id")
              .select(order.alias("h"), F.coalesce("size", F.lit(0)).alias("size"), "__label", "doc_id")
-             .orderBy("h", "doc_id").limit(sample_rows).toPandas())
+             .filter(F.col("size") <= sample_bytes // 16).orderBy("h", "doc_id").limit(sample_rows).toPandas())
     taken = sizes[sizes["size"].cumsum() <= sample_bytes]
     if not len(taken):
         return fit_rows([])

@@ -52,6 +52,17 @@ def test_toxicity_tells_planted_words(spark, none):
     assert toxicity.query(df, known.limit(0)).filter("predicted = 1").count() == 0
 
 
+def test_a_text_over_the_byte_bound_leaves_the_others(spark, monkeypatch):
+    rows = [(i, "x " * 4000) if i == 0 else (i, f"text {i}") for i in range(20)]
+    known = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lowest = df.selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h").first()["doc_id"]
+    df = df.selectExpr(f"CASE doc_id WHEN 0 THEN {lowest} WHEN {lowest} THEN 0 ELSE doc_id END AS doc_id", "text")
+    monkeypatch.setattr(toxicity, "fit_rows", lambda rows: rows)
+    got = toxicity.fit(df, known, sample_bytes=4000)
+    assert sorted(t for t, _ in got) == sorted(t for _, t in rows if len(t) < 100)
+
+
 def test_windows_hold_the_whole_text():
     text = "Ärger über lange Wörter " * 50 + "x" * 500
     assert b"".join(toxicity.windows(text)).decode() == text.lower()
