@@ -57,3 +57,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def chunks(texts, limit: int):
+    """Bounds of consecutive texts that hold about ``limit`` bytes together; a longer text
+    is alone."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        if k > start and size + len(text) > limit:
+            yield start, k
+            start, size = k, 0
+        size += len(text)
+    if len(texts) > start:
+        yield start, len(texts)

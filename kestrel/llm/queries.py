@@ -5,7 +5,8 @@ from __future__ import annotations
 import functools
 
 import corpus_pipeline
-from kestrel.llm import bpe, decontaminate, langid, neardup, quality, secrets, sharding, suffixes, syncmers, toxicity
+from kestrel.llm import (alignment, bpe, decontaminate, langid, neardup, periodic, quality, secrets, sharding, suffixes,
+                         syncmers, toxicity, wordtrees)
 from kestrel.llm.common import documents
 from kestrel.session import ship_package
 from kestrel.sources.tables import table
@@ -51,6 +52,18 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.query(documents(spark, sf_dir))
 
 
+def op11_recompression_runs(spark, sf_dir):
+    return periodic.query(documents(spark, sf_dir))
+
+
+def op12_tokenizer_alignment(spark, sf_dir):
+    return alignment.query(documents(spark, sf_dir))
+
+
+def op13_prefix_suffix_trees(spark, sf_dir):
+    return wordtrees.query(documents(spark, sf_dir))
+
+
 def _query(run):
     @functools.wraps(run)
     def query(spark, sf_dir):
