@@ -7,7 +7,8 @@
   shuffled.
 * ``ProfileStore`` keeps the profile as parquet versions under one folder; a
   version counts once its write committed (readers never see a half written
-  table, a failed job leaves the last version current).
+  table, a failed job leaves the last version current); ``BucketStore`` in
+  ``bucket_store.py`` rewrites only the buckets that a save touches.
 * ``to_cells`` / ``tags_string_to_cells`` give the long
   ``(row_key, family, qualifier, value)`` form, sorted for export.
 """
@@ -16,11 +17,14 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.sources.files import Files
+
 KEY = "userId"
 _CLAIMS = threading.Lock()
 
@@ -95,43 +99,48 @@ class ProfileStore:
     def save(self, new: DataFrame) -> int:
         """Upsert ``new`` into the current version and write the next version.
 
-        The next number is claimed by creating a file, which one job alone can do; the
-        others wait until that version is committed and merge onto it, so concurrent
-        jobs lose no tag.  The claim of a job that died is passed over after
-        ``stale_s`` seconds.
+        The version is written aside and renamed to its number once complete, which fails
+        if another job has taken that number: then it is merged once more, onto that job's
+        version.  So no save loses a tag, however long it takes.  A claim on the next
+        number keeps jobs from doing so in vain; that of a job that seems dead is passed
+        over after ``stale_s`` seconds.
         """
-        base, v = self._claim()
-        old = self.spark.read.parquet(f"{self.root}/v={base}") if base else None
-        merged = upsert(old, new, self.key)
-        w = merged.repartition(self.buckets, self.key) if self.buckets else merged
-        try:
-            w.write.mode("overwrite").parquet(f"{self.root}/v={v}")
-        except BaseException:
-            jvm, fs = self._fs()
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claim-{v}"), False)
-            raise
-        return v
-
-    def _claim(self) -> tuple[int, int]:
-        """The version to merge onto (0: none) and the claimed number of the next one."""
-        jvm, fs = self._fs()
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.root))
+        files = Files(self.spark, self.root)
+        files.make("")
         while True:
-            base = self.current_version() or 0
+            base = self._wait_turn(files)
             v = base + 1
-            while True:
-                claim = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claim-{v}")
-                with _CLAIMS:  # HDFS creates a file once; a local disk needs this among threads
-                    mine = fs.createNewFile(claim)
+            draft = f"_draft-{uuid.uuid4().hex}"
+            old = self.spark.read.parquet(f"{self.root}/v={base}") if base else None
+            merged = upsert(old, new, self.key)
+            w = merged.repartition(self.buckets, self.key) if self.buckets else merged
+            try:
+                w.write.parquet(f"{self.root}/{draft}")
+                if files.exists(f"v={v}") and not files.exists(f"v={v}/_SUCCESS"):
+                    files.delete(f"v={v}")          # left by a job that wrote in place and died
+                if files.move_new(draft, f"v={v}"):
+                    return v
+            except BaseException:
+                files.delete(f"_claim-{v}")
+                raise
+            finally:
+                if files.exists(draft):
+                    files.delete(draft)
+
+    def _wait_turn(self, files: Files) -> int:
+        """The version to merge onto (0: none), once no living job claims the next one."""
+        while True:
+            base = self.current_version() or 0
+            claim = f"_claim-{base + 1}"
+            with _CLAIMS:  # HDFS creates a file once; a local disk needs this among threads
+                mine = files.fs.createNewFile(files.path(claim))
+            if mine or files.age_s(claim) >= self.stale_s:
+                if (self.current_version() or 0) == base:
+                    return base
                 if mine:
-                    if (self.current_version() or 0) == base:
-                        return base, v
-                    break
-                age = time.time() - fs.getFileStatus(claim).getModificationTime() / 1000
-                if age < self.stale_s:
-                    time.sleep(0.5)
-                    break
-                v += 1
+                    files.delete(claim)
+            else:
+                time.sleep(0.5)
 
     def prune(self, keep: int = 2) -> list[int]:
         """Delete all but the ``keep`` newest committed versions; returns those deleted.
