@@ -147,6 +147,7 @@ def _typed(text: str):
 def main(argv=None):
     from pyspark.sql import SparkSession
 
+    from kestrel.operators.bucket_store import BucketStore
     from kestrel.operators.profile import ProfileStore, TagColumnStore
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
@@ -154,8 +155,10 @@ def main(argv=None):
     ap.add_argument("--tag", type=int, required=True)
     ap.add_argument("--model", required=True, choices=sorted(MODELS))
     ap.add_argument("--profile", required=True, help="shared folder of the profile versions")
-    ap.add_argument("--layout", choices=("wide", "columns"), default="columns",
-                    help="one narrow table per tag, or wide parquet versions")
+    ap.add_argument("--layout", choices=("wide", "columns", "buckets"), default="columns",
+                    help="one narrow table per tag, wide parquet versions, or wide copy-on-write buckets")
+    ap.add_argument("--recommendations", default=None,
+                    help="shared folder of the recommendation table; item preferences go there, not into the profile")
     ap.add_argument("--models", default=None, help="shared folder of fitted models")
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--base", default=None, help="folder of tables named by 'table=' rules")
@@ -163,8 +166,11 @@ def main(argv=None):
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     params = {k: _typed(v) for k, v in (p.split("=", 1) for p in a.param)}
-    store = (ProfileStore(spark, a.profile) if a.layout == "wide"
-             else TagColumnStore(spark, a.profile))
+    if a.model == "preference" and a.recommendations:
+        # a table of its own, of which a run replaces the users it recommends to
+        store = BucketStore(spark, a.recommendations, replace=True)
+    else:
+        store = {"wide": ProfileStore, "columns": TagColumnStore, "buckets": BucketStore}[a.layout](spark, a.profile)
     run(spark, spark.read.parquet(a.catalog), a.tag, a.model, store=store, as_of=a.as_of,
         base=a.base, model_root=a.models, **params)
     print("saved")

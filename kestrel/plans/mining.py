@@ -63,10 +63,15 @@ def usg_tree(spark, sf_dir):
     return models.usg_learned_tag(lines, tags, categorical=["brand", "ptype"])
 
 
+def _clicks(spark, sf_dir):
+    """Click events and the item each is about."""
+    return (_t(spark, sf_dir).events.where(F.col("event_type") == "click"),
+            {"user": "user_id", "item": F.get_json_object("props", "$.k").try_cast("long")})
+
+
 def bp_als_top5(spark, sf_dir):
-    e = _t(spark, sf_dir).events.where(F.col("event_type") == "click")
-    item = F.get_json_object("props", "$.k").try_cast("long")
-    return models.preference_tag(e, user="user_id", item=item, top_n=5)
+    logs, columns = _clicks(spark, sf_dir)
+    return models.preference_tag(logs, top_n=5, **columns)
 
 
 def als_explicit_top5(spark, sf_dir):
@@ -74,9 +79,9 @@ def als_explicit_top5(spark, sf_dir):
     return models.top_users_per_item(_rating_model(spark, sf_dir), 5)
 
 
-def _rating_model(spark, sf_dir):
+def _rating_model(spark, sf_dir, measure=False):
     ratings = shop.click_counts(_t(spark, sf_dir))
-    return models.rating_model(ratings, user="userId", item="productId", rating="clicks")
+    return models.rating_model(ratings, user="userId", item="productId", rating="clicks", measure=measure)
 
 
 def als_explicit_top5_items(spark, sf_dir):
@@ -86,7 +91,7 @@ def als_explicit_top5_items(spark, sf_dir):
 
 def als_explicit_rmse(spark, sf_dir):
     """The error on held-out pairs and how many users and items have factors."""
-    m = _rating_model(spark, sf_dir)
+    m = _rating_model(spark, sf_dir, measure=True)
     n = [m.factors(side).agg(F.count(F.lit(1)).alias(side)) for side in ("users", "items")]
     return n[0].withColumn("rmse", F.lit(m.rmse)).join(n[1], F.lit(True))
 

@@ -25,7 +25,7 @@ from kestrel.functions.scoring import (RFE_ENGAGEMENT, RFE_FREQUENCY, RFE_RECENC
                                        RFM_RECENCY)
 from kestrel.functions.text import date_to_int, url_to_product
 from kestrel.operators import catalog as cat
-from kestrel.operators import match, measures, ml
+from kestrel.operators import match, measures, ml, topn
 from kestrel.operators.profile import ProfileStore, recommendations_to_strings
 from kestrel.sources.meta import parse_rule, read_source
 
@@ -177,49 +177,31 @@ def usg_learned_tag(lines: DataFrame, tags: DataFrame, *, categorical: list[str]
     return usg_rule_tag(pred, tags, out=out)
 
 
-def preference_tag(logs: DataFrame, *, user: str = "global_user_id", url: str = "loc_url",
-                   item: Column | None = None, top_n: int = 5, rank: int = 10,
-                   max_iter: int = 10, reg: float = 1.0, alpha: float = 1.0) -> DataFrame:
-    """Item preference: clicks per (user, item) -> implicit ALS -> top-N items
-    per user as comma-joined ``productIds`` / ``ratings``.
+def _factorised(ratings: DataFrame, *, user: str, item: str, rating: str):
+    """Ratings with 32-bit ids, and the two id maps.  Rows with a null are left out.
 
-    Item ids come from the URL (``url_to_product``) unless ``item`` is given.
-    Users and items may be strings or numbers: both are made 32-bit ALS ids (see
-    :func:`ml.int_ids`) and mapped back afterwards; null ones are left out.
+    The rows are read by the id maps and by every pass of the fit: they are computed once,
+    into the shared checkpoint folder.
     """
-    it = item if item is not None else url_to_product(F.col(url))
-    clicks = (logs.select(F.col(user).alias("__user"), it.alias("__item"))
-              .where(F.col("__user").isNotNull() & F.col("__item").isNotNull())
-              .groupBy("__user", "__item").agg(F.count(F.lit(1)).cast("float").alias("clicks")))
-    # The (user, item) counts are read by the id maps and by every ALS
-    # pass: compute them once (far smaller than the logs) into the shared
-    # checkpoint folder.
     from kestrel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(logs.sparkSession)
-    clicks = clicks.checkpoint()
-    clicks, umap = ml.int_ids(clicks, "__user", "uid")
-    clicks, imap = ml.int_ids(clicks, "__item", "iid")
-    model = ml.als(True, user="uid", item="iid", rating="clicks", rank=rank, max_iter=max_iter,
-                   reg=reg, alpha=alpha).fit(clicks)
-    recs = model.recommendForAllUsers(top_n)
-    recs = recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
-        "uid", "pos", F.col("r.iid").alias("iid"), F.col("r.rating").alias("rating"))
-    recs = (recs.join(imap, "iid").withColumnRenamed("__item", "productId")
-            .join(umap, "uid").withColumnRenamed("__user", "userId"))
-    # back to one row per user, in the model's order (at most top_n per user)
-    grouped = recs.groupBy("userId").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "productId", "rating"))).alias("recommendations"))
-    return recommendations_to_strings(grouped)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    data = ratings.select(F.col(user).alias("__user"), F.col(item).alias("__item"),
+                          F.col(rating).cast("float").alias("r")).dropna().checkpoint()
+    data, umap = ml.int_ids(data, "__user", "uid")
+    data, imap = ml.int_ids(data, "__item", "iid")
+    return data.select("uid", "iid", "r").checkpoint(), umap, imap
 
 
 @dataclass
 class RatingModel:
-    """A fitted explicit ALS with its id maps and the RMSE on held-out pairs."""
+    """A fitted ALS with its id maps, the ratings it was fitted to (ids as in the maps; None
+    once loaded) and, where measured, its RMSE."""
 
     model: ALSModel
-    rmse: float
+    rmse: float | None
     users: DataFrame
     items: DataFrame
+    ratings: DataFrame | None = None
 
     def factors(self, side: str) -> DataFrame:
         """``(id, features)`` of ``side`` ``users`` or ``items``, with original ids."""
@@ -228,6 +210,18 @@ class RatingModel:
         key = [c for c in ids.columns if c != name][0]
         return rows.withColumnRenamed("id", name).join(ids, name).select(F.col(key).alias("id"), "features")
 
+    def top(self, side: str, n: int, some: DataFrame | None = None) -> DataFrame:
+        """``(id, recommendations)``: the best ``n`` of the other side for every row of
+        ``side``, or for those whose id is in ``some`` (its only column)."""
+        of = self.factors(side)
+        if some is not None:
+            of = of.join(some.toDF("id").distinct(), "id", "left_semi")
+        return topn.top_n(of, self.factors("items" if side == "users" else "users"), n)
+
+    def training_rmse(self) -> float:
+        """RMSE over the ratings that the model was fitted to."""
+        return ml.rmse(self.model.transform(self.ratings), label="r")
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         self.users.write.mode("overwrite").parquet(f"{path}/users")
@@ -241,67 +235,75 @@ class RatingModel:
                    spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"))
 
 
+def preference_model(logs: DataFrame, *, user: str = "global_user_id", url: str = "loc_url",
+                     item: Column | None = None, rank: int = 10, max_iter: int = 10, reg: float = 1.0,
+                     alpha: float = 1.0, measure: bool = False) -> RatingModel:
+    """Implicit ALS on the clicks per (user, item).
+
+    Item ids come from the URL (``url_to_product``) unless ``item`` is given.  Users and
+    items may be strings or numbers; null ones are left out.  ``measure`` computes the
+    RMSE of predicted preferences against the clicks they were fitted to.
+    """
+    it = item if item is not None else url_to_product(F.col(url))
+    clicks = (logs.select(F.col(user).alias("__user"), it.alias("__item"))
+              .where(F.col("__user").isNotNull() & F.col("__item").isNotNull())
+              .groupBy("__user", "__item").agg(F.count(F.lit(1)).alias("clicks")))
+    data, umap, imap = _factorised(clicks, user="__user", item="__item", rating="clicks")
+    model = ml.als(True, user="uid", item="iid", rating="r", rank=rank, max_iter=max_iter,
+                   reg=reg, alpha=alpha).fit(data)
+    fitted = RatingModel(model, None, umap, imap, data)
+    if measure:
+        fitted.rmse = fitted.training_rmse()
+    return fitted
+
+
+def preference_tag(logs: DataFrame, *, top_n: int = 5, users: DataFrame | None = None, **kw) -> DataFrame:
+    """Item preference: the top-N items per user of a :func:`preference_model` as
+    comma-joined ``productIds`` / ``ratings``; for all users or those in ``users``
+    (one column of ids)."""
+    recs = preference_model(logs, **kw).top("users", top_n, users)
+    return recommendations_to_strings(recs, user="id", item="id")
+
+
 def rating_model(ratings: DataFrame, *, user: str, item: str, rating: str, rank: int = 10,
                  max_iter: int = 10, reg: float = 0.1, train_ratio: float = 0.8,
-                 seed: int = ml.KMEANS_SEED) -> RatingModel:
-    """Explicit-rating ALS.
-
-    A seeded train/test split measures the model: predictions for the test
-    pairs are joined to the actual ratings on (user, item) and give the RMSE.
-    The returned model is then refitted on all ratings, so every user and
-    item has factors.  Ids are of any type; rows with a null id or rating are
-    left out.
+                 seed: int = ml.KMEANS_SEED, measure: bool = True) -> RatingModel:
+    """Explicit-rating ALS on all ratings, so every user and item has factors.
+
+    With ``measure`` another model, fitted on a seeded ``train_ratio`` of the ratings,
+    predicts the others: predictions are joined to the actual ratings on (user, item) and
+    give the RMSE.  Ids are of any type; rows with a null id or rating are left out.
     """
-    data = ratings.select(F.col(user).alias("__user"), F.col(item).alias("__item"),
-                          F.col(rating).cast("float").alias("r")).dropna()
-    # read by the id maps, the split and both fits: compute once
-    from kestrel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(ratings.sparkSession)
-    data = data.checkpoint()
-    data, umap = ml.int_ids(data, "__user", "uid")
-    data, imap = ml.int_ids(data, "__item", "iid")
-    data = data.select("uid", "iid", "r").checkpoint()
-    train, test = data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+    data, umap, imap = _factorised(ratings, user=user, item=item, rating=rating)
     est = ml.als(False, user="uid", item="iid", rating="r", rank=rank, max_iter=max_iter,
                  reg=reg, seed=seed)
-    pred = est.fit(train).transform(test.select("uid", "iid")).withColumnRenamed("prediction", "p")
-    scored = pred.join(test, ["uid", "iid"])
-    err = ml.rmse(scored, label="r", prediction="p") if scored.take(1) else float("nan")
-    return RatingModel(est.fit(data), err, umap, imap)
+    err = None
+    if measure:
+        train, test = data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+        pred = est.fit(train).transform(test.select("uid", "iid")).withColumnRenamed("prediction", "p")
+        scored = pred.join(test, ["uid", "iid"])
+        err = ml.rmse(scored, label="r", prediction="p") if scored.take(1) else float("nan")
+    return RatingModel(est.fit(data), err, umap, imap, data)
 
 
-def _top(recs: DataFrame, of: str, other: str, of_ids: DataFrame, other_ids: DataFrame,
-         of_key: str, other_key: str, of_name: str, other_name: str) -> DataFrame:
-    flat = recs.select(of, F.posexplode("recommendations").alias("pos", "r")).select(
-        of, "pos", F.col(f"r.{other}").alias(other), F.col("r.rating").alias("rating"))
-    flat = flat.join(of_ids, of).join(other_ids, other)
-    g = flat.groupBy(F.col(of_key).alias(of_name)).agg(F.sort_array(F.collect_list(
-        F.struct("pos", F.col(other_key).cast("string").alias("o"),
-                 F.round("rating", 4).cast("string").alias("x")))).alias("l"))
-    return g.select(of_name, F.concat_ws(",", F.col("l.o")).alias(other_name),
-                    F.concat_ws(",", F.col("l.x")).alias("ratings"))
+def _listed(recs: DataFrame, of_name: str, other_name: str) -> DataFrame:
+    return recs.select(
+        F.col("id").alias(of_name),
+        F.array_join(F.transform("recommendations", lambda r: r["id"].cast("string")), ",").alias(other_name),
+        F.array_join(F.transform("recommendations", lambda r: F.round(r["rating"], 4).cast("string")),
+                     ",").alias("ratings"))
 
 
 def top_users_per_item(m: RatingModel, n: int, items: DataFrame | None = None) -> DataFrame:
     """``(itemId, userIds, ratings)``: the best ``n`` users of every item, or of those in
     ``items`` (column itemId)."""
-    if items is None:
-        recs = m.model.recommendForAllItems(n)
-    else:
-        some = items.join(m.items, items["itemId"] == m.items["__item"]).select("iid")
-        recs = m.model.recommendForItemSubset(some, n)
-    return _top(recs, "iid", "uid", m.items, m.users, "__item", "__user", "itemId", "userIds")
+    return _listed(m.top("items", n, items), "itemId", "userIds")
 
 
 def top_items_per_user(m: RatingModel, n: int, users: DataFrame | None = None) -> DataFrame:
     """``(userId, itemIds, ratings)``: the best ``n`` items of every user, or of those in
     ``users`` (column userId)."""
-    if users is None:
-        recs = m.model.recommendForAllUsers(n)
-    else:
-        some = users.join(m.users, users["userId"] == m.users["__user"]).select("uid")
-        recs = m.model.recommendForUserSubset(some, n)
-    return _top(recs, "uid", "iid", m.users, m.items, "__user", "__item", "userId", "itemIds")
+    return _listed(m.top("users", n, users), "userId", "itemIds")
 
 
 # --------------------------------------------------------------- template

@@ -86,8 +86,7 @@ def test_explicit_als_from_pipe_separated_lines(spark, tmp_path):
     p.write_text("\n".join(rows) + "\n")
     ratings = meta.read_delimited(spark, str(p), "user int, item int, rating double, ts long", sep="|")
     from kestrel.plans import models
-    model, rmse, _, _ = models.rating_model(ratings, user="user", item="item", rating="rating",
-                                            rank=5, max_iter=10)
-    assert rmse < 2.5
-    subset = ratings.select(F.col("user").alias("uid")).distinct().limit(3)
-    assert model.recommendForUserSubset(subset, 4).count() == 3
+    m = models.rating_model(ratings, user="user", item="item", rating="rating", rank=5, max_iter=10)
+    assert m.rmse < 2.5
+    subset = ratings.select(F.col("user").alias("userId")).distinct().orderBy("userId").limit(3)
+    assert models.top_items_per_user(m, 4, subset).count() == 3

@@ -27,9 +27,9 @@ def test_rule_match_broadcasts_rules_and_prunes_columns(spark, small_bcast):
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in p
 
 
-def test_range_match_is_broadcast_nested_loop(spark, small_bcast):
+def test_few_ranges_are_a_case_chain(spark, small_bcast):
     p = plan(shop.consume_cycle(spark, SF))
-    assert "BroadcastNestedLoopJoin" in p and "CartesianProduct" not in p
+    assert "CASE WHEN" in p and "Join" not in p
 
 
 def test_top1_limits_before_shuffle(spark, small_bcast):
