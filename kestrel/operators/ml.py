@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -168,6 +168,61 @@ def cross_validate(pipeline: Pipeline, df: DataFrame, *, label: str = "label", f
                           numFolds=folds, seed=seed, parallelism=parallelism).fit(df)
 
 
+@dataclass
+class TreeSearch:
+    """The settings tried (impurity, depth, bins), the mean metric of each over the folds, the
+    best setting, and the fitted pipeline: the preparation and the best tree on all rows."""
+
+    settings: list[tuple]
+    scores: list[float]
+    best: tuple
+    pipeline: PipelineModel
+    rows: DataFrame     # the prepared rows all fits worked on
+
+
+def search_trees(prepare: Pipeline, df: DataFrame, *, label: str = "label", weight: str | None = None,
+                 fold: str = "fold", folds: int = 3, impurities=("gini", "entropy"), depths=(5, 10),
+                 bins=(32, 64), metric: str = "accuracy", seed: int = KMEANS_SEED,
+                 parallelism: int = 4) -> TreeSearch:
+    """k-fold search over impurity x depth x bins that prepares the features once.
+
+    ``prepare`` (indexers, assembler) is fitted once on all rows and its output cached;
+    only trees are fitted per setting and fold.  A row's fold is the number in column
+    ``fold``, so the folds can be given, and checked, as data.  The first of equally
+    good settings wins.
+    """
+    from itertools import product
+    fitted = prepare.fit(df)
+    rows = fitted.transform(df).persist(StorageLevel.MEMORY_AND_DISK)
+    ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
+    if weight:
+        ev = ev.setWeightCol(weight)
+
+    def tree(setting):
+        t = DecisionTreeClassifier(labelCol=label, featuresCol="features", impurity=setting[0],
+                                   maxDepth=setting[1], maxBins=setting[2], seed=seed)
+        return t.setWeightCol(weight) if weight else t
+
+    def one(job):
+        setting, k = job
+        test = rows.where(F.col(fold) == k)
+        return ev.evaluate(tree(setting).fit(rows.where(F.col(fold) != k)).transform(test))
+
+    settings = list(product(impurities, depths, bins))
+    try:
+        # a fold that got no rows measures nothing
+        held = [r[0] for r in rows.groupBy(fold).count().orderBy(fold).select(fold).collect()]
+        held = held if len(held) > 1 else []
+        jobs = [(s, k) for s in settings for k in held]
+        found = dict(zip(jobs, parallel_fits(one, jobs, parallelism)))
+        scores = [sum(found[s, k] for k in held) / len(held) if held else float("nan") for s in settings]
+        best = max(range(len(settings)), key=lambda i: (scores[i] if held else 0, -i))
+        model = tree(settings[best]).fit(rows)
+    finally:
+        rows.unpersist()
+    return TreeSearch(settings, scores, settings[best], PipelineModel(stages=[*fitted.stages, model]), rows)
+
+
 def train_validation_split(pipeline: Pipeline, df: DataFrame, *, label: str = "label",
                            ratio: float = 0.8, impurities=("gini", "entropy"),
                            depths=(5, 10), seed: int = KMEANS_SEED):

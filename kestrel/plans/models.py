@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import MinMaxScaler, StringIndexer
 from pyspark.ml.recommendation import ALSModel
@@ -68,17 +67,33 @@ def pay_type_tag(orders: DataFrame, tags: DataFrame, *, user: str = "memberid",
 
 # ----------------------------------------------------------------- mining
 
-def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int, *,
-               out: str, scale: bool = False, sweep=ml.KMEANS_SWEEP_ITERS, null_policy: str = "keep",
-               store: ml.ModelStore | None = None, model_name: str | None = None,
-               retrain: bool = False, max_iter: int = 20) -> DataFrame:
-    """Cluster users on ``cols`` and name each cluster by the rank of its
-    centre (largest coordinate sum = rank 0 = rule ``"0"``).
+@dataclass
+class ClusterFit:
+    """Users' vectors, the clusters fitted to them, and the users without a vector."""
+
+    model: KMeansModel
+    data: DataFrame          # userId and the vector column ``features``
+    features: str
+    missing: DataFrame       # userId of users with a null measure
+
+    def scored(self) -> DataFrame:
+        return self.model.transform(self.data)
+
+    def tagged(self, tags: DataFrame, out: str) -> DataFrame:
+        """``(userId, out)``: each cluster named by the rank of its centre."""
+        named = match.label_by_rank(self.scored(), ml.rank_centers(self.model), tags, out=out)
+        return named.unionByName(self.missing.select("userId", F.lit(None).cast("string").alias(out)))
+
+
+def cluster_users(features_df: DataFrame, cols: list[str], k: int, *, scale: bool = False,
+                  sweep=ml.KMEANS_SWEEP_ITERS, null_policy: str = "keep", store: ml.ModelStore | None = None,
+                  model_name: str = "clusters", retrain: bool = False, max_iter: int = 20) -> ClusterFit:
+    """Cluster users on ``cols``.
 
     ``sweep``: the iteration bounds to fit with (True: the usual ones), of which the
     cheapest fit is kept; empty or None fits once with ``max_iter``.  ``scale``: min-max scaling
-    first.  ``null_policy``: a user with a null measure keeps a row with a null
-    tag (``keep``) or fails the job (``error``).
+    first.  ``null_policy``: a user with a null measure is left out of the clusters
+    (``keep``: and gets a null tag) or fails the job (``error``).
     """
     if null_policy not in ("keep", "error"):
         raise ValueError("null_policy must be 'keep' or 'error'")
@@ -103,14 +118,16 @@ def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int,
             return ml.kmeans_sweep(data, k, iters=iters, features=feat)
         return ml.kmeans(data, k, max_iter=max_iter, features=feat)
 
-    if store is not None:
-        model = store.load_or_train(model_name or out, KMeansModel, train, retrain)
-    else:
-        model = train()
-    tagged = match.label_by_rank(model.transform(data), ml.rank_centers(model), tags, out=out)
-    if null_policy == "error":
-        return tagged
-    return tagged.unionByName(rows.where(missing).select("userId", F.lit(None).cast("string").alias(out)))
+    model = store.load_or_train(model_name, KMeansModel, train, retrain) if store is not None else train()
+    left = rows.where(missing) if null_policy == "keep" else rows.limit(0)
+    return ClusterFit(model, data, feat, left.select("userId"))
+
+
+def kmeans_tag(features_df: DataFrame, cols: list[str], tags: DataFrame, k: int, *, out: str,
+               model_name: str | None = None, **kw) -> DataFrame:
+    """Cluster users on ``cols`` (see :func:`cluster_users`) and name each cluster by the
+    rank of its centre (largest coordinate sum = rank 0 = rule ``"0"``)."""
+    return cluster_users(features_df, cols, k, model_name=model_name or out, **kw).tagged(tags, out)
 
 
 def rfm_tag(orders: DataFrame, tags: DataFrame, *, user="memberid", order_id="ordersn",
@@ -148,8 +165,29 @@ def usg_rule_tag(labelled: DataFrame, tags: DataFrame, *, out: str = "usg",
     return match.rule_match(coded, "__rule", tags, key="userId", out=out)
 
 
+def usg_search(lines: DataFrame, *, categorical: list[str], label: str = "label", folds: int = 3,
+               fold: Column | None = None, seed: int = ml.KMEANS_SEED) -> ml.TreeSearch:
+    """The search behind :func:`usg_learned_tag`.
+
+    Lines of one fold, one label and the same goods are alike to a tree, so they are
+    counted first: the indexers, the vectors and all fits work on one weighted row for
+    each such combination, however many lines there are.  ``fold`` gives a line's fold
+    from 0 on; by default a hash of the line's columns.
+    """
+    fold = F.pmod(F.xxhash64(F.lit(seed), *lines.columns), F.lit(folds)) if fold is None else fold
+    from kestrel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(lines.sparkSession)
+    counted = (lines.select(*categorical, F.col(label).cast("double").alias(label), fold.cast("int").alias("fold"))
+               .groupBy(*categorical, label, "fold").agg(F.count(F.lit(1)).cast("double").alias("weight"))).checkpoint()
+    indexed = [f"{c}_idx" for c in categorical]
+    prepare = Pipeline(stages=[
+        StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        *ml.tree_pipeline(indexed, label=label).getStages()[:-1]])
+    return ml.search_trees(prepare, counted, label=label, weight="weight", fold="fold", folds=folds, seed=seed)
+
+
 def usg_learned_tag(lines: DataFrame, tags: DataFrame, *, categorical: list[str],
-                    label: str = "label", out: str = "usg", folds: int = 3,
+                    label: str = "label", out: str = "usg", folds: int = 3, fold: Column | None = None,
                     seed: int = ml.KMEANS_SEED, store: ml.ModelStore | None = None,
                     retrain: bool = False) -> DataFrame:
     """Purchase gender with line labels predicted by a cross-validated tree.
@@ -159,17 +197,8 @@ def usg_learned_tag(lines: DataFrame, tags: DataFrame, *, categorical: list[str]
     (5, 10) x bins (32, 64) whose folds are drawn over the lines; the fitted
     pipeline labels every line, then the share rule names each user.
     """
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
-    base = ml.tree_pipeline([f"{c}_idx" for c in categorical], label=label)
-    pipe = Pipeline(stages=idx + base.getStages())
-
     def train():
-        train_df = lines.select(*categorical, F.col(label).cast("double").alias(label)).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            return ml.cross_validate(pipe, train_df, label=label, folds=folds, seed=seed).bestModel
-        finally:
-            train_df.unpersist()
+        return usg_search(lines, categorical=categorical, label=label, folds=folds, fold=fold, seed=seed).pipeline
 
     from pyspark.ml import PipelineModel
     model = store.load_or_train("usg_tree", PipelineModel, train, retrain) if store else train()

@@ -355,3 +355,103 @@ ORACLE = {
       WHERE (c_mktsegment IS NULL OR c_mktsegment = 'BUILDING')
         AND (c_nationkey IS NULL OR CAST(c_nationkey AS VARCHAR) < '2')""",
 }
+
+
+# ------------------------------------------------------------ certificates
+#
+# What a fitted model must satisfy: counts and sums are taken from the tables, all else is
+# that nothing is off.
+
+def _clusters(scores: str, cols: list[str], scaled: bool = False) -> str:
+    one = (lambda c: f"CASE WHEN max({c}) OVER () > min({c}) OVER () THEN ({c} - min({c}) OVER ()) / "
+                     f"(max({c}) OVER () - min({c}) OVER ()) ELSE 0.5 END") if scaled else (lambda c: c)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return f"""
+      WITH s AS ({scores}),
+      k AS (SELECT {' + '.join('(' + one(c) + ')' for c in cols)} AS total FROM s WHERE {known})
+      SELECT (SELECT count(*) FROM s) AS n_users, (SELECT count(*) FROM s WHERE NOT ({known})) AS n_untagged,
+             CAST(0 AS BIGINT) AS n_mistagged, CAST(0 AS BIGINT) AS n_not_nearest, true AS centres_are_means,
+             true AS cost_adds_up, (SELECT round(sum(total), 3) FROM k) AS coordinate_sum"""
+
+
+FACTORS = f"""
+  WITH c AS (SELECT * FROM ({ORACLE['click_ratings']}) t WHERE userId IS NOT NULL AND productId IS NOT NULL)
+  SELECT count(DISTINCT userId) AS n_users, CAST(0 AS BIGINT) AS n_unsolved, count(*) AS n_ratings,
+         count(DISTINCT productId) AS n_items, CAST(0 AS BIGINT) AS n_lists_off,
+         count(DISTINCT userId) * least(5, count(DISTINCT productId)) AS n_recommended"""
+
+_DOCS = "documents d JOIN labels l ON d.doc_id = l.doc_id"
+_TREES = """
+  SELECT count(*) AS n_rows, count(*) FILTER (WHERE {label} = 1) AS n_labelled_1, CAST(0 AS BIGINT) AS n_replayed_off{more}
+  FROM {rows}"""
+_LEAVES = ", CAST(0 AS BIGINT) AS n_leaves_off"
+_LOGISTIC = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_replayed_off, true AS no_worse_than_constant FROM "
+
+ORACLE |= {
+    "rfm_certificate": _clusters(RFM_SCORES, ["r_score", "f_score", "m_score"]),
+    "rfm_scaled_certificate": _clusters(RFM_SCORES, ["r_score", "f_score", "m_score"], scaled=True),
+    "rfe_certificate": _clusters(RFE_SCORES, ["r_score", "f_score", "e_score"]),
+    "psm_certificate": _clusters(ORACLE["psm_score"], ["psm"]),
+    "als_explicit_certificate": f"{FACTORS} FROM c",
+    "als_implicit_certificate": f"{FACTORS}, true AS rmse_within_clicks FROM c",
+    "usg_tree_certificate": _TREES.format(
+        label="label", rows=f"({LABELLED}) t",
+        more=_LEAVES + "".join(f", count(*) FILTER (WHERE (l_orderkey + l_linenumber) % 3 = {k}) AS n_fold_{k}"
+                               for k in range(3)) + ", CAST(8 AS BIGINT) AS n_settings, true AS best_wins"),
+    "vector_tree_certificate": _TREES.format(label="label", rows="embeddings", more=_LEAVES),
+    "random_forest_certificate": _TREES.format(label="l.quality", rows=_DOCS, more=""),
+    "gbt_certificate": _TREES.format(label="l.quality", rows=_DOCS, more=""),
+    "logreg_certificate": _LOGISTIC + _DOCS,
+    "vector_logreg_certificate": _LOGISTIC + "embeddings",
+    "linreg_certificate": """
+      SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_replayed_off, true AS residuals_cancel,
+             true AS gradient_vanishes
+      FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+}
+
+# ------------------------------------------- catalog, bands, stores, export
+
+_LEAF = ("CAST(1000000000000 * {level} AS BIGINT) + CAST(100000 + c_nationkey * 100 + ascii(c_mktsegment) AS BIGINT) * 10000000 "
+         "+ c_custkey // {size}")
+
+ORACLE |= {
+    "tag_fetch": f"SELECT DISTINCT id, name, level FROM ({GEO}) g WHERE id = {s.NATION_TAG} OR pid = {s.NATION_TAG}",
+    "tag_level_children": f"""
+      SELECT id, name, 'level 4' AS kind FROM ({GEO}) g WHERE level = 4
+      UNION ALL SELECT id, name, 'child' FROM ({GEO}) g WHERE pid = {s.NATION_TAG}""",
+    "tag_deep_path": f"""
+      SELECT {_LEAF.format(level=9, size=1)} AS id,
+             concat_ws('/', 'shop', 'geography', r_name, n_name, lower(c_mktsegment), c_custkey // 1000,
+                       c_custkey // 100, c_custkey // 10, c_custkey) AS path
+      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "catalog_merge": f"""
+      WITH geo AS ({GEO}),
+      top AS (SELECT max(id) AS m FROM geo),
+      h AS (SELECT DISTINCT o_orderpriority AS p, n_name
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+      p AS (SELECT p, row_number() OVER (ORDER BY p) AS i FROM (SELECT DISTINCT p FROM h)),
+      l AS (SELECT m + 1 + i AS pid, n_name FROM h JOIN p USING (p), top)
+      SELECT id, name, level, pid FROM geo
+      UNION ALL SELECT m + 1, 'payment', 2, 1 FROM top
+      UNION ALL SELECT m + 1 + i, p, 3, m + 1 FROM p, top
+      UNION ALL SELECT m + 1 + (SELECT count(*) FROM p) + row_number() OVER (ORDER BY pid, n_name), n_name, 4, pid
+                FROM l, top""",
+    "price_band": f"""
+      WITH o AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders),
+      b AS (SELECT o_orderkey, v // {s.BAND_WIDTH} AS k, v % {s.BAND_WIDTH} AS r FROM o WHERE v >= 0)
+      SELECT o_orderkey AS userId,
+             CASE WHEN k BETWEEN 1 AND {s.N_BANDS - 1} AND r <= 499 THEN 'upper ' || CAST(k - 1 AS VARCHAR)
+                  WHEN k >= {s.N_BANDS - 1} THEN 'band {s.N_BANDS - 1}'
+                  WHEN k % 2 = 1 AND r = {s.BAND_WIDTH - 1} THEN 'upper ' || CAST(k AS VARCHAR)
+                  ELSE 'band ' || CAST(k AS VARCHAR) END AS band
+      FROM b""",
+    "profile_store_upsert": f"""
+      SELECT coalesce(a.userId, b.userId) AS userId, a.segment, b.cycle
+      FROM ({SEGMENT}) a FULL OUTER JOIN (SELECT * FROM ({CYCLE}) c WHERE userId % 100 < 3) b ON a.userId = b.userId""",
+    "export_regions": f"""
+      WITH cells AS ({ORACLE['to_cells']}),
+      r AS (SELECT row_key, CAST({' + '.join(f"CASE WHEN row_key >= {_q(k)} THEN 1 ELSE 0 END" for k in s.EXPORT_SPLITS)}
+                                 AS INTEGER) AS region FROM cells)
+      SELECT region, min(row_key) AS first_key, max(row_key) AS last_key, count(*) AS n_cells, true AS in_order
+      FROM r GROUP BY region""",
+}

@@ -14,6 +14,8 @@ SQL_CHECKED = [
     "tags_string_to_cells", "order_cleanup", "mean_impute", "contingency", "topk_limit",
     "tag_fetch_union", "tag_children", "tag_path", "tag_model_left", "center_rank",
     "log_cells", "sql_group_order", "sql_two_key_count", "template_pay_type", "cells_round_trip",
+    "tag_fetch", "tag_level_children", "tag_deep_path", "catalog_merge", "price_band", "profile_store_upsert",
+    "export_regions",
 ]
 
 

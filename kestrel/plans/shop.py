@@ -100,6 +100,10 @@ MEMBER_LIMIT = 1000
 ORDER_CONDITIONS = "o_orderstatus[eq]F,o_orderpriority[le]2-HIGH,o_orderdate[GE]1997-01-01"
 ORDER_WINDOW = ("o_orderdate", "month", 6)
 TOP_K = 20
+# The nation tag of the single-tag queries; price bands; region bounds of the split export.
+NATION_TAG = 1003
+BAND_WIDTH, N_BANDS = 2500, 200
+EXPORT_SPLITS = ["1", "25", "5", "7"]
 
 
 def tag_rows(tag_id: int, name: str, rules, rule: str = "") -> list[tuple]:
@@ -273,6 +277,20 @@ def line_money(t: Tables) -> tuple[DataFrame, F.Column, F.Column]:
     return lines, amount, coupon
 
 
+def price_band(spark, sf_dir):
+    """Orders by price band: 200 ranges, every second a unit short and the last without an
+    end, and 199 more that lie across the bounds; where two hold a price the earlier wins."""
+    k, width = F.col("id"), F.lit(BAND_WIDTH)
+    bands = spark.range(N_BANDS).select(
+        F.concat(F.lit("band "), k.cast("string")).alias("name"), (k * width).alias("start"),
+        F.when(k < N_BANDS - 1, (k + 1) * width - 1 - F.pmod(k, F.lit(2))).alias("end"))
+    upper = spark.range(N_BANDS - 1).select(
+        F.concat(F.lit("upper "), k.cast("string")).alias("name"), (k * width + 2000).alias("start"),
+        (k * width + 2999).alias("end"))
+    o = _t(spark, sf_dir).orders
+    return match.range_match(o, F.floor("o_totalprice"), bands.unionByName(upper), key="o_orderkey", out="band")
+
+
 def psm_score(spark, sf_dir):
     """Price sensitivity per customer.  Lines are summed per order first
     (exact integer sums), so the join with orders takes one row per order
@@ -388,6 +406,35 @@ def profile_upsert(spark, sf_dir):
     return profile.upsert(old, new)
 
 
+def profile_store_upsert(spark, sf_dir):
+    """The profile in copy-on-write buckets: all segment tags, then the consumption cycle of
+    some customers, whose buckets alone are rewritten."""
+    import uuid
+
+    from kestrel.operators.bucket_store import BucketStore
+    store = BucketStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/profile-{uuid.uuid4().hex}", buckets=16)
+    store.save(rule_match_inner(spark, sf_dir))
+    store.save(consume_cycle(spark, sf_dir).where(F.col("userId") % 100 < 3))
+    return store.read()
+
+
+def export_regions(spark, sf_dir):
+    """Split-aligned export of the customers' cells: each region's keys, cells, and whether
+    its files follow each other without overlap."""
+    import uuid
+
+    from pyspark.sql import Window
+
+    from kestrel.sources.sinks import export_split_cells
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/regions-{uuid.uuid4().hex}"
+    files = export_split_cells(_t(spark, sf_dir).customer, "c_custkey", "user", folder, EXPORT_SPLITS)
+    # a row per file
+    before = F.lag("last_key").over(Window.partitionBy("region").orderBy("first_key", "last_key"))
+    return files.withColumn("in_order", F.coalesce(before <= F.col("first_key"), F.lit(True))).groupBy("region").agg(
+        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"), F.sum("n_cells").alias("n_cells"),
+        F.bool_and("in_order").alias("in_order"))
+
+
 def sync_table_strings(spark, sf_dir):
     return profile.sync_strings(_t(spark, sf_dir).customer)
 
@@ -515,10 +562,7 @@ def geo_catalog(t: Tables) -> DataFrame:
                         F.lower("c_mktsegment").alias("name"), F.col("c_mktsegment").alias("rule"),
                         F.lit(5).alias("level"), (F.lit(1000) + F.col("c_nationkey")).cast("long").alias("pid"))
     catalog = top.unionByName(regions).unionByName(nations).unionByName(attrs)
-    # Built once (one pass over customer) and cut from its lineage in the
-    # shared checkpoint folder; the catalog queries join it with itself.
-    ensure_checkpoint_dir(spark)
-    return catalog.checkpoint()
+    return catalog
 
 
 def tag_fetch_union(spark, sf_dir):
@@ -541,6 +585,70 @@ def tag_path(spark, sf_dir):
     return cat.paths(geo_catalog(_t(spark, sf_dir)))
 
 
+def tag_fetch(spark, sf_dir):
+    """One nation's tag with its attribute tags, as the tag template fetches it."""
+    return cat.fetch_tag(geo_catalog(_t(spark, sf_dir)), NATION_TAG).select("id", "name", "level")
+
+
+def tag_level_children(spark, sf_dir):
+    """All tags of level 4, and the children of one of them."""
+    g = geo_catalog(_t(spark, sf_dir))
+    kinds = [(cat.at_level(g, 4), "level 4"), (cat.children(g, NATION_TAG), "child")]
+    a, b = (df.select("id", "name", F.lit(kind).alias("kind")) for df, kind in kinds)
+    return a.unionByName(b)
+
+
+def deep_catalog(t: Tables) -> DataFrame:
+    """The geography catalog carried on to nine levels: under a nation's segments the
+    balance decade of its customers, their hundreds, tens and keys."""
+    g = geo_catalog(t).select("id", "name", "level", "pid")
+    c = t.customer.select("c_custkey", (F.lit(100000) + F.col("c_nationkey") * 100 + F.ascii("c_mktsegment"))
+                          .cast("long").alias("top"))
+    base = F.lit(10**9).cast("long")
+    parts = []
+    for level, size in ((6, 1000), (7, 100), (8, 10), (9, 1)):
+        group = F.floor(F.col("c_custkey") / size).cast("long")
+        above = F.floor(F.col("c_custkey") / (size * 10)).cast("long")
+        scope = F.col("top") * 10**7
+        node = base * level * 10**3 + scope + group
+        parent = F.col("top") if level == 6 else base * (level - 1) * 10**3 + scope + above
+        parts.append(c.select(node.alias("id"), group.cast("string").alias("name"), F.lit(level).alias("level"),
+                              parent.cast("long").alias("pid")).distinct())
+    for p in parts:
+        g = g.unionByName(p)
+    return g
+
+
+def tag_deep_path(spark, sf_dir):
+    """Ancestor paths of the leaves of a nine-level catalog."""
+    return cat.paths(deep_catalog(_t(spark, sf_dir)), level=9)
+
+
+CHAIN = ["l1", "l2", "l3", "l4"]
+
+
+def catalog_merge(spark, sf_dir):
+    """Get-or-create chains merged into the stored geography catalog: the regions' nations
+    are there already, payment habits per nation are new."""
+    import uuid
+    t = _t(spark, sf_dir)
+    store = cat.CatalogStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}")
+    geo = geo_catalog(t).select("id", "name", "level", "pid")
+    geo.write.parquet(f"{store.root}/v=1")
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    r = t.region.select("r_regionkey", "r_name")
+    known = n.join(checked_broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+        F.lit("shop").alias("l1"), F.lit("geography").alias("l2"), F.col("r_name").alias("l3"), F.col("n_name").alias("l4"))
+    o = t.orders.select("o_custkey", "o_orderpriority")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    habits = (o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderpriority", "c_nationkey").distinct()
+              .join(checked_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+              .select(F.lit("shop").alias("l1"), F.lit("payment").alias("l2"), F.col("o_orderpriority").alias("l3"),
+                      F.col("n_name").alias("l4")))
+    store.merge(known.unionByName(habits), CHAIN)
+    return store.read()
+
+
 def tag_model_left(spark, sf_dir):
     """Nation tags left-joined to the models registered for them (a model per
     nation that has suppliers)."""

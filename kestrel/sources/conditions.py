@@ -1,7 +1,9 @@
 """Predicates given as text in a business rule.
 
 * condition list ``field[op]value,field[op]value`` (``op`` in eq ne gt lt ge
-  le, any case), ANDed, compared as strings like cells of a wide table;
+  le, any case), ANDed, compared as strings like cells of a wide table; where a
+  column's type compares alike (see :meth:`Condition.typed`) the value is turned
+  into that type, so row-group statistics can skip what does not match;
 * relative date window ``field#unit#n`` (see
   :func:`kestrel.functions.dates.relative_window`).
 
@@ -11,6 +13,7 @@ parquet / JDBC scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from dataclasses import dataclass
 from functools import reduce
@@ -33,6 +36,18 @@ OPERATORS = {
 _COND = re.compile(r"^\s*(?P<field>[^\[\]]+?)\s*\[(?P<op>[A-Za-z]{2})\]\s*(?P<value>.*?)\s*$")
 
 
+_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+_SECOND = re.compile(r"^\d{4}-\d{2}-\d{2} ([01]\d|2[0-3]):[0-5]\d:[0-5]\d$")
+_WHOLE = re.compile(r"^(0|-?[1-9]\d{0,17})$")
+
+
+def _is_day(text: str) -> bool:
+    try:
+        return dt.date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
 @dataclass(frozen=True)
 class Condition:
     field: str
@@ -46,9 +61,32 @@ class Condition:
             raise ValueError(f"bad condition {text!r}: expected field[op]value")
         return cls(m.group("field"), m.group("op").lower(), m.group("value"))
 
-    def column(self, missing_passes: bool = True) -> Column:
-        c = F.col(self.field).cast("string")
-        pred = OPERATORS[self.op](c, F.lit(self.value))
+    def typed(self, field_type: str | None) -> Column | None:
+        """The comparison in the column's own type, where that gives what comparing text
+        gives; else None.
+
+        Dates and zone-free timestamps are written in order of time, a time of day behind
+        its date.  Whole numbers are only equal alike: as text, 10 is below 9.
+        """
+        c, v = F.col(self.field), self.value
+        if field_type == "date" and _DAY.match(v) and _is_day(v):
+            return OPERATORS[self.op](c, F.lit(v).cast("date"))
+        if field_type == "timestamp_ntz" and _is_day(v[:10]):
+            if _SECOND.match(v):
+                return OPERATORS[self.op](c, F.lit(v).cast("timestamp_ntz"))
+            if _DAY.match(v):
+                # every time of the day, midnight too, is written longer than the day alone
+                midnight = F.lit(v).cast("timestamp_ntz")
+                return {"ge": c >= midnight, "gt": c >= midnight, "lt": c < midnight, "le": c < midnight,
+                        "eq": F.lit(False), "ne": F.lit(True)}[self.op]
+        if field_type in ("tinyint", "smallint", "int", "bigint") and self.op in ("eq", "ne") and _WHOLE.match(v):
+            return OPERATORS[self.op](c, F.lit(int(v)))
+        return None
+
+    def column(self, missing_passes: bool = True, field_type: str | None = None) -> Column:
+        c, pred = F.col(self.field), self.typed(field_type)
+        if pred is None:
+            pred = OPERATORS[self.op](c.cast("string"), F.lit(self.value))
         # A row lacking the field passes unless told otherwise.
         return (c.isNull() | pred) if missing_passes else (c.isNotNull() & pred)
 
@@ -59,11 +97,14 @@ def parse_conditions(text: str | None) -> list[Condition]:
     return [Condition.parse(p) for p in text.split(",") if p.strip()]
 
 
-def conditions_predicate(text: str | None, missing_passes: bool = True) -> Column | None:
+def conditions_predicate(text: str | None, missing_passes: bool = True, df=None) -> Column | None:
+    """The conditions, ANDed; None when there are none.  With the DataFrame they are built
+    for its columns' types."""
     conds = parse_conditions(text)
     if not conds:
         return None
-    return reduce(lambda a, b: a & b, [c.column(missing_passes) for c in conds])
+    types = dict(df.dtypes) if df is not None else {}
+    return reduce(lambda a, b: a & b, [c.column(missing_passes, types.get(c.field)) for c in conds])
 
 
 def where_condition_predicate(text: str | None, as_of=None, df=None) -> Column | None:

@@ -91,7 +91,7 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
         return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
     if in_type == "parquet":
         df = spark.read.parquet(rule.get("inPath") or rule["path"])
-        cond = conditions_predicate(rule.get("filterConditions"), missing_passes=False)
+        cond = conditions_predicate(rule.get("filterConditions"), missing_passes=False, df=df)
         return _project(_filter(df, [cond, where_condition_predicate(where, as_of, df)]), fields)
     if in_type in ("mysql", "jdbc"):
         # partitionColumn, lowerBound, upperBound and numPartitions make it parallel
@@ -162,7 +162,7 @@ def wide_scan(spark: SparkSession, table_or_path: str, select_fields=None,
     if isinstance(select_fields, str):
         select_fields = [f.strip() for f in select_fields.split(",") if f.strip()]
     fields = list(select_fields or df.columns)
-    preds = [conditions_predicate(filter_conditions, missing_passes),
+    preds = [conditions_predicate(filter_conditions, missing_passes, df),
              where_condition_predicate(where_condition, as_of, df)]
     return _project(_filter(df, preds), fields, as_string=True)
 
