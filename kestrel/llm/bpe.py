@@ -4,26 +4,28 @@ A text is cut into pieces by the tokenizer's pattern.  The distinct pieces that
 most often are encoded once: a fold turns a piece's bytes into ids and merges
 neighbours, lowest rank first, until no pair of them is a token.  Ranks are looked up
 in a fixed table that the plan holds as one literal value (the result of a scalar
-subquery): an array that two hashes of a pair point into.  The encoded pieces join the
-tokens in such a table of whole pieces, and a text's ids are looked up there.  Pieces
-that are too rare for the table, which has a bound, are merged where they stand by the
-same rule in Python: the fold itself takes some ten times as long a piece.  Decoding
-concatenates the ids' bytes.
+subquery): an array that two hashes of a pair point into.  The encoded pieces are a table
+of bounded size that every task gets; there a text's pieces are looked up, and what its
+ids come to (the ids, their bytes, the bytes they decode to) is joined piece by piece.
+Pieces that are too rare for the table are merged where they stand by the same rule in
+Python: the fold itself takes some ten times as long a piece.  Decoding concatenates the
+ids' bytes.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import public_tokenizers
-import xxhash
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ KNOWN_PIECES = 1 << 18   # frequent pieces in the table, at most (some 25 MB)
 ID_BITS = 20             # ids are below 2^20
 SHORT = 48               # bytes; longer pieces are merged with a heap and not counted
 NONE = (1 << 31) - 1     # rank of a pair that is no token
+KEPT = 1 << 16           # rare pieces that a task keeps the ids of
+FOLD_TASKS = 64          # tasks that fold the frequent pieces
 
 
 def load_ranks(path: str = RANKS) -> dict[bytes, int]:
@@ -87,70 +91,39 @@ def pair_table(ranks: dict[bytes, int]) -> np.ndarray:
         size = _prime(size + size // 2)
 
 
-def piece_table(texts: pa.Array) -> np.ndarray:
-    """Slots, a power of two, of whole pieces by the two ends of their xxhash64."""
-    hashes = np.fromiter((xxhash.xxh64_intdigest(t.as_py().encode(), seed=42) for t in texts),
-                         dtype=np.uint64, count=len(texts))  # as Spark computes it
-    bits = max(2, len(texts).bit_length() + 1)
-    while True:
-        first = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-        second = (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
-        table = _cuckoo(first, second, np.arange(len(texts)), 1 << bits)
-        if table is not None:
-            return table
-        bits += 1
-
-
-_FIELDS = {"bytes": pa.list_(pa.int32()), "pairs": pa.list_(pa.int64()), "slots": pa.list_(pa.int32()),
-           "texts": pa.list_(pa.string()), "ids": pa.list_(pa.list_(pa.int32())),
-           "little": pa.list_(pa.binary()), "tokens": pa.list_(pa.binary())}
+_FIELDS = {"bytes": pa.list_(pa.int32()), "pairs": pa.list_(pa.int64()), "tokens": pa.list_(pa.binary())}
 
 
 @dataclass
 class Tables:
-    """What the expressions look up, of a size that the ranks and ``KNOWN_PIECES`` bound.
-
-    ``row`` is one row with one struct: the id of each byte, the pair slots, the piece
-    slots with the pieces' texts and ids, and of each id its number as four bytes, low
-    first, and its token's bytes.  Plans hold it as a scalar subquery,
-    so it reaches the tasks as one literal value.  ``beside`` adds it as a column, which
-    one expression of the next projection may use: Catalyst then puts the subquery in
-    its place, and no row carries the tables.
+    """What the expressions look up, of a size that the ranks bound.
+
+    ``row`` is one row with one struct: the id of each byte, the pair slots, and of each id
+    its token's bytes.  Plans hold it as a scalar subquery, so it reaches the tasks as one
+    literal value.  ``beside`` adds it as a column, which one expression of the next
+    projection may use: Catalyst then puts the subquery in its place, and no row carries
+    the tables.
     """
 
     row: DataFrame
     n_pairs: int
-    n_slots: int
 
     def beside(self, df: DataFrame) -> DataFrame:
         return df.withColumn("__tables", self.row.scalar())
 
 
-def tables(spark: SparkSession, ranks: dict[bytes, int], known: pa.Table | None = None) -> Tables:
-    """``known`` has piece, ids: pieces besides the tokens themselves."""
+def tables(spark: SparkSession, ranks: dict[bytes, int]) -> Tables:
     if max(ranks.values()) >= 1 << ID_BITS:
         raise ValueError("token ids must be below 2^20")
-    whole_tokens = {}
     tokens = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
         tokens[i] = token
-        try:
-            whole_tokens[token.decode()] = [i]
-        except UnicodeDecodeError:  # part of a character: never a whole piece
-            pass
-    texts = pa.array(list(whole_tokens), pa.string())
-    ids = pa.array(list(whole_tokens.values()), _FIELDS["ids"].value_type)
-    if known is not None:
-        known = known.filter(pc.invert(pc.is_in(known["piece"], texts))).combine_chunks()
-        texts = pa.concat_arrays([texts, *known["piece"].cast(pa.string()).chunks])
-        ids = pa.concat_arrays([ids, *known["ids"].cast(ids.type).chunks])
-    pairs, slots = pair_table(ranks), piece_table(texts)
-    row = (pa.array([ranks[bytes([b])] for b in range(256)]), pa.array(pairs), pa.array(slots), texts, ids,
-           pa.array([i.to_bytes(4, "little") for i in range(len(tokens))]), pa.array(tokens))
+    pairs = pair_table(ranks)
+    row = (pa.array([ranks[bytes([b])] for b in range(256)]), pa.array(pairs), pa.array(tokens))
     columns = {name: pa.ListArray.from_arrays([0, len(values)], values.cast(kind.value_type))
                for (name, kind), values in zip(_FIELDS.items(), row)}
     one = spark.createDataFrame(pa.table(columns)).select(F.struct(*_FIELDS).alias("t"))
-    return Tables(one, len(pairs), len(slots))
+    return Tables(one, len(pairs))
 
 
 # White space as Unicode defines it; Java's own \s knows ASCII only, and its flag for
@@ -278,69 +251,103 @@ def frequent_pieces(docs: DataFrame, text: str, pattern: str, most: int) -> Data
     return counts.filter(size >= cut).select("piece")
 
 
-def with_ids(df: DataFrame, text: str = "text", out: str = "ids", ranks_path: str = RANKS,
-             pattern: str = PATTERN, known_pieces: int = KNOWN_PIECES,
-             body=lambda t, ids: ids) -> tuple[DataFrame, Tables]:
-    """``df`` plus the ids of its whole text (array<int>), and the tables for decoding.
+class Encoder:
+    """A task's look-up of pieces: known ones, tokens that are whole pieces, and, for as
+    long as ``KEPT`` allows, the rare ones it merged itself."""
+
+    def __init__(self, ranks: dict[bytes, int], known: bytes, pattern: str):
+        self.ranks, self.find, self.known, self.rare = ranks, regex.compile(pattern).findall, {}, {}
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.tokens[i] = token
+        for batch in pa.ipc.open_stream(known):
+            ids = batch["ids"].cast(pa.list_(pa.uint32()))
+            flat, at = ids.flatten().to_numpy(), (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist()
+            for piece, a, b in zip(batch["piece"].to_pylist(), at, at[1:]):
+                self.known[piece] = self.entry(flat[a:b])
+
+    def entry(self, ids) -> tuple[bytes, bytes]:
+        """The ids as unsigned 32-bit integers, low byte first, and the bytes of their tokens."""
+        return np.asarray(ids, dtype="<u4").tobytes(), b"".join([self.tokens[i] for i in ids])
+
+    def __call__(self, text: str) -> list[tuple[bytes, bytes]]:
+        out, known, rare = [], self.known, self.rare
+        for piece in self.find(text):
+            found = known.get(piece) or rare.get(piece)
+            if found is None:
+                raw = piece.encode("utf-8")
+                own = self.ranks.get(raw)
+                found = self.entry(merge(raw, self.ranks) if own is None else [own])
+                if len(raw) <= SHORT:
+                    if len(rare) >= KEPT:
+                        rare.clear()
+                    rare[piece] = found
+            out.append(found)
+        return out
+
+
+_ENCODERS: dict = {}
+
+
+def _encoder(shared) -> Encoder:
+    """The encoder of a broadcast, made once in a Python worker."""
+    if shared.id not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[shared.id] = Encoder(*shared.value)
+    return _ENCODERS[shared.id]
 
-    ``body`` turns the tables and the ids into the column; what it computes from both
-    stays in the one expression that uses the tables.
-    Null and empty texts have no ids; special tokens are ordinary text; repeated rows
-    and an empty table are rows like any other.
-    """
+
+@dataclass
+class SharedEncoder:
+    """What tasks make their encoder of: the ranks and the known pieces, bounded by them."""
+
+    id: str
+    content: object    # broadcast of ranks, known pieces as an Arrow stream, pattern
+
+    @property
+    def value(self):
+        return self.content.value
+
+
+def encoder(df: DataFrame, text: str = "text", ranks_path: str = RANKS, pattern: str = PATTERN,
+            known_pieces: int = KNOWN_PIECES) -> tuple[SharedEncoder, Tables]:
+    """The encoder for the texts of ``df``, whose most frequent pieces it knows."""
     spark = df.sparkSession
     ranks = load_ranks(ranks_path)
     bare = tables(spark, ranks)
-    known = None
+    known = pa.table({"piece": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
     if known_pieces:
-        folded = bare.beside(frequent_pieces(df, text, pattern, known_pieces)).select(
+        frequent = frequent_pieces(df, text, pattern, known_pieces).repartition(FOLD_TASKS)
+        own = spark.createDataFrame(pa.table({"token": pa.array(list(ranks), pa.binary())}))
+        # a piece that is a token has that token's id, whether or not merges would lead there
+        other = frequent.join(F.broadcast(own), frequent["piece"].cast("binary") == own["token"], "left_anti")
+        folded = bare.beside(other).select(
             "piece", let(F.struct(F.col("__tables").alias("t"), "piece"),
                          lambda s: fold(s["t"], bare.n_pairs, s["piece"])).alias("ids"))
         known = folded.toArrow()  # known_pieces rows at most
-    full = tables(spark, ranks, known)
-    shared = spark.sparkContext.broadcast(ranks)
-
-    @F.pandas_udf("array<array<int>>")
-    def encode_rare(lists: pd.Series) -> pd.Series:
-        return pd.Series([[merge(p.encode(), shared.value) for p in ps] for ps in lists])
-
-    mask = F.lit(full.n_slots - 1).cast("long")
-    shift = 64 - (full.n_slots.bit_length() - 1)
-
-    def entry(t: Column, p: Column) -> Column:
-        """The place of a piece in the table; null for a rare one."""
-        def lookup(at: Column) -> Column:
-            e = F.get(t["slots"], at.cast("int"))
-            return F.when(F.get(t["texts"], e) == p, e)
-
-        return let(F.xxhash64(p), lambda h: F.coalesce(
-            lookup(F.call_function("shiftrightunsigned", h, F.lit(shift))), lookup(h.bitwiseAND(mask))))
-
-    def joined(s: Column) -> Column:
-        """Known pieces' ids in order, each gap filled with the next rare piece's."""
-        def part(j: Column) -> Column:
-            first = F.coalesce(F.get(s["gaps"], j - 1) + 1, F.lit(0))
-            end = F.coalesce(F.get(s["gaps"], j), F.size(s["known"]))
-            known_ids = F.transform(F.slice(s["known"], first + 1, end - first), lambda e: F.get(s["t"]["ids"], e))
-            return F.concat(F.flatten(known_ids), F.coalesce(F.get(s["rare"], j), F.array().cast("array<int>")))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["gaps"])), part))
-
-    cut = full.beside(df.withColumn("__pieces", pieces(F.col(text), pattern)))
-    looked_up = let(F.struct(F.col("__tables").alias("t"), F.col("__pieces").alias("pieces")), lambda s: F.struct(
-        s["pieces"].alias("pieces"), F.transform(s["pieces"], lambda p: entry(s["t"], p)).alias("known")))
-    gaps = F.array_compact(F.transform("__k.known", lambda x, i: F.when(x.isNull(), i)))
-    cut = cut.select(*df.columns, looked_up.alias("__k")).withColumn("__gaps", gaps)
-    rare = let(F.struct("__k.pieces", F.col("__gaps").alias("gaps")),
-               lambda s: F.transform(s["gaps"], lambda i: F.get(s["pieces"], i)))
-    cut = cut.select(*df.columns, F.col("__k.known").alias("__known"), "__gaps", rare.alias("__rare"))
-    # A second use of __rare keeps it a column: Python functions take no lambdas' results.
-    cut = cut.withColumn("__rare_ids", encode_rare("__rare"))
-    state = F.struct(F.col("__tables").alias("t"), F.col("__known").alias("known"),
-                     F.col("__gaps").alias("gaps"), F.col("__rare").alias("pieces"),
-                     F.col("__rare_ids").alias("rare"))
-    column = let(state, lambda s: let(joined(s), lambda ids: body(s["t"], ids)))
-    return full.beside(cut).select(*df.columns, column.alias(out)), full
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, known.schema) as w:
+        w.write_table(known)
+    shared = spark.sparkContext.broadcast((ranks, sink.getvalue().to_pybytes(), pattern))
+    return SharedEncoder(uuid.uuid4().hex, shared), bare
+
+
+def with_ids(df: DataFrame, text: str = "text", out: str = "ids", ranks_path: str = RANKS,
+             pattern: str = PATTERN, known_pieces: int = KNOWN_PIECES) -> tuple[DataFrame, Tables]:
+    """``df`` plus the ids of its whole text (array<int>), and the tables for decoding.
+
+    Null and empty texts have no ids; special tokens are ordinary text; repeated rows
+    and an empty table are rows like any other.
+    """
+    shared, known = encoder(df, text, ranks_path, pattern, known_pieces)
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        encode = _encoder(shared)
+        return pd.Series([np.frombuffer(b"".join([e[0] for e in encode(t or "")]), "<u4").astype(np.int32)
+                          for t in texts], dtype=object)
+
+    return df.withColumn(out, ids(F.col(text).cast("string"))), known
 
 
 def _bytes(table: Column, ids: Column) -> Column:
@@ -349,11 +356,6 @@ def _bytes(table: Column, ids: Column) -> Column:
     return F.array_join(F.transform(ids, lambda i: F.get(table, i).cast("string")), "").cast("binary")
 
 
-def little_endian(t: Column, ids: Column) -> Column:
-    """The ids as unsigned 32-bit integers, low byte first, one after the other."""
-    return _bytes(t["little"], ids)
-
-
 def decoded(t: Column, ids: Column) -> Column:
     """The bytes of the ids' tokens, one after the other."""
     return _bytes(t["tokens"], ids)
@@ -366,13 +368,20 @@ def with_text(df: DataFrame, known: Tables, ids: str = "ids", out: str = "text")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    def digests(t: Column, ids: Column) -> Column:
-        return F.struct(F.size(ids).cast("long").alias("n_tokens"),
-                        F.sha2(little_endian(t, ids), 256).alias("ids_sha256"),
-                        F.sha2(decoded(t, ids), 256).alias("decoded_sha256"))
-
-    rows, _ = with_ids(docs.select("doc_id", "text"), out="d", body=digests)
-    return rows.select("doc_id", "d.*")
+    """doc_id, n_tokens, and the digests of the ids and of the bytes they decode to."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    shared, _ = encoder(rows)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(texts: pd.Series) -> pd.DataFrame:
+        encode, out = _encoder(shared), []
+        for t in texts:
+            found = encode(t or "")
+            ids, back = b"".join([e[0] for e in found]), b"".join([e[1] for e in found])
+            out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()))
+        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return rows.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,6 +188,18 @@ def test_tokens_match_the_library(spark, odd, none):
     assert bpe.query(none).collect() == []
 
 
+def test_tokens_of_the_table_match_the_library(spark):
+    """Every row of the table: number of tokens, ids and what they decode to."""
+    lib = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.load_ranks(), special_tokens={})
+    docs = table(spark, SF, "documents")
+    want = []
+    for r in docs.collect():
+        ids = lib.encode_ordinary(r["text"] or "")
+        want.append((r["doc_id"], len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(),
+                     hashlib.sha256(lib.decode_bytes(ids)).hexdigest()))
+    assert sorted(tuple(r) for r in bpe.query(docs).collect()) == sorted(want)
+
+
 def test_fold_equals_task_merges(spark):
     from pyspark.sql import functions as F
     from kestrel.llm.common import let
@@ -218,4 +230,4 @@ def test_pipeline_runs_its_stages(spark, odd, none):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
