@@ -15,12 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import held_out
+from kestrel.llm.common import held_out, written
 
 FOLDS, HELD_OUT = 5, 0
 BITS = 15                # n-grams are hashed into 2^15 features
 ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 3_000      # labelled documents the weights are fitted on, at most
+SAMPLE_FEATURES = 4 << 20  # and their features together (6 bytes each): the driver's memory
 UNKNOWN = "und"
 _MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
@@ -89,13 +90,16 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, epoch
         pull = np.maximum(np.abs(z[:, at]) - l1, 0) * -np.sign(z[:, at])
         return pull / ((beta + np.sqrt(n[:, at])) / alpha + l2)
 
-    data = [(np.append(at, width), np.append(model.vector(at, c), 1.0), languages.index(lang))
-            for at, c, lang in rows]
+    def ready(row):
+        """Places and values of a row, and its language; made anew each time, not kept."""
+        at, c, lang = row
+        return np.append(at.astype(np.int64), width), np.append(model.vector(at, c), 1.0), languages.index(lang)
+
     order = np.random.default_rng(7)
-    fit_on = [d for i, d in enumerate(data) if i % 5 or len(data) < 10]
+    fit_on = [d for i, d in enumerate(rows) if i % 5 or len(rows) < 10]
     for _ in range(epochs):
         for i in order.permutation(len(fit_on)):
-            at, x, y = fit_on[i]
+            at, x, y = ready(fit_on[i])
             w = weights(at)
             p = softmax(w @ x)
             p[y] -= 1.0
@@ -106,9 +110,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, epoch
     if rows:
         final = weights(np.arange(width + 1))
         model.weights, model.bias = final[:, :-1], final[:, -1]
-        kept = [d for i, d in enumerate(data) if i % 5 == 0] or data
-        raw = np.array([model.logits(at[:-1], x[:-1]) for at, x, _ in kept])
-        truth = np.array([y for _, _, y in kept])
+        kept = [d for i, d in enumerate(rows) if i % 5 == 0] or rows
+        raw = np.array([model.logits(at[:-1], x[:-1]) for at, x, _ in map(ready, kept)])
+        truth = np.array([languages.index(lang) for _, _, lang in kept])
         model.temperature = min(
             np.geomspace(0.05, 20, 121),
             key=lambda t: -np.log(softmax(raw / t)[np.arange(len(truth)), truth] + 1e-12).mean())
@@ -118,8 +122,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, epoch
 def fit(learnable: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on a table doc_id, text, lang (rows without lang or id are left out).
 
-    The sample is the ``sample_rows`` documents whose hashed ids are lowest; ties
-    at the last hash are all taken.  The driver holds their sparse counts only.
+    The sample is the ``sample_rows`` documents whose hashed ids are lowest, fewer where
+    these have more than ``SAMPLE_FEATURES`` features; ties at the last hash are all taken.
+    The driver holds their sparse counts only, as bytes.
     """
     width = 1 << BITS
     learnable = learnable.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -146,17 +151,19 @@ def fit(learnable: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     def sparse(batches):
         for pdf in batches:
             pairs = [counts(t) for t in pdf["text"]]
-            yield pd.DataFrame({"h": pdf["h"], "lang": pdf["lang"],
-                                "at": [a.astype(np.int32) for a, _ in pairs],
-                                "n": [c.astype(np.int32) for _, c in pairs]})
+            yield pd.DataFrame({"h": pdf["h"], "lang": pdf["lang"], "size": [len(a) for a, _ in pairs],
+                                "at": [a.astype(np.uint16).tobytes() for a, _ in pairs],
+                                "n": [c.astype(np.uint32).tobytes() for _, c in pairs]})
 
     if last is None:
         return train([], idf)
-    sample = (learnable.select(order.alias("h"), "text", "lang").filter(F.col("h") <= last)
-              .mapInPandas(sparse, "h long, lang string, at array<int>, n array<int>")
-              .toPandas().sort_values(["h", "lang"], kind="stable"))
-    return train([(np.asarray(a, np.int64), np.asarray(n, np.int64), lang)
-                  for a, n, lang in zip(sample["at"], sample["n"], sample["lang"])], idf)
+    sample = written(learnable.select(order.alias("h"), "text", "lang").filter(F.col("h") <= last)
+                     .mapInPandas(sparse, "h long, lang string, size long, at binary, n binary"), "language-sample")
+    sizes = sample.groupBy("h").agg(F.sum("size").alias("size")).toPandas().sort_values("h")
+    fits = sizes["h"][(sizes["size"].cumsum() <= SAMPLE_FEATURES).to_numpy() | (np.arange(len(sizes)) == 0)]
+    rows = sample.filter(F.col("h") <= int(fits.max())).toPandas().sort_values(["h", "lang"], kind="stable")
+    return train([(np.frombuffer(a, np.uint16), np.frombuffer(n, np.uint32), lang)
+                  for a, n, lang in zip(rows["at"], rows["n"], rows["lang"])], idf)
 
 
 def with_language(df: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred",
@@ -195,6 +202,6 @@ def stage(spark, docs: DataFrame, sf_dir: str, min_score: float = 0.4) -> DataFr
     Rejected are texts without letters and those scored under ``min_score`` (the
     even share of four languages is 0.25).  Columns and values stay as they are.
     """
-    rows = with_language(docs, fit(learnable(docs)), lang="__lang", score="__score")
-    keep = (F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)
+    rows = with_language(docs, fit(learnable(docs)), lang="__told_language", score="__told_score")
+    keep = (F.col("__told_language") != UNKNOWN) & (F.col("__told_score") >= min_score)
     return rows.filter(keep).select(*docs.columns)

@@ -101,6 +101,59 @@ def test_pairs_of_one_band_are_compared_however_few_samples_agree(spark):
     assert got == ["b"]
 
 
+def _template_group(n, seed=3):
+    """Copies of one text with some words replaced: many pairs just above and below 0.8."""
+    import random
+    rnd = random.Random(seed)
+    vocabulary = [f"word{k}" for k in range(3000)]
+    base = rnd.choices(vocabulary, k=150)
+    out = []
+    for k in range(n):
+        words = list(base)
+        for _ in range(rnd.randint(1, 7)):
+            words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+        out.append((k, " ".join(words)))
+    return out + [(n + k, " ".join(rnd.choices(vocabulary, k=150))) for k in range(300)]
+
+
+def test_large_group_is_linear_and_keeps_its_links(spark, monkeypatch):
+    """Against all pairs of a group of 400 near copies: nine in ten of those with a link are
+    joined, and a member is compared some dozens of times; ``exact`` finds them all."""
+    n = 400
+    docs = spark.createDataFrame(_template_group(n), "doc_id long, text string")
+    hashed = docs.select("doc_id", neardup.word_hashes(docs.text).alias("w"))
+    idf = neardup.inverse_frequencies(hashed.select("w"))
+    sets = {r["doc_id"]: neardup.shingles(r["w"], idf) for r in hashed.collect()}
+    links = [(a, b) for a in range(n) for b in range(a) if neardup.weighted_jaccard(sets[a], sets[b]) >= neardup.SIMILAR]
+    compared, plain = [], neardup.verify
+
+    def counted(pairs, texts, idf):
+        compared.append(pairs.count())
+        return plain(pairs, texts, idf)
+
+    monkeypatch.setattr(neardup, "verify", counted)
+    for exact, least in ((False, 0.9), (True, 0.99)):
+        compared.clear()
+        got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs, exact=exact).collect()}
+        assert sum(got[a] == got[b] for a, b in links) >= least * len(links)
+        linked = {x for pair in links for x in pair}
+        alone = {i for i in linked if sum(c == got[i] for c in got.values()) == 1}
+        assert len(alone) <= (1 - least) * len(linked)
+        assert all(got[n + k] == n + k for k in range(300))      # the others stay alone
+        if not exact:
+            assert sum(compared) <= 30 * n
+
+
+def test_documents_with_columns_of_any_name(spark, odd):
+    from pyspark.sql import functions as F
+    more = odd
+    for name in ("n", "node", "b", "label", "__n", "class_id", "samples", "lang_pred", "score", "h"):
+        more = more.withColumn(name, F.lit("x"))
+    for operator in (neardup.stage, corpus_pipeline.STAGES[0][1]):
+        out = operator(spark, more, SF)
+        assert out.columns == more.columns and out.count() <= more.count()
+
+
 def test_samples_agree_with_weighted_similarity():
     rng = np.random.default_rng(4)
     idf = (1 + rng.random(1 << neardup.WORD_BITS)).astype(np.float32)
