@@ -1,20 +1,22 @@
 """Secrets: fixed patterns, and tokens that a battery of randomness tests finds.
 
-A long token's encoding is inferred from its characters.  Three tests ask whether
-its symbols look uniform and independent in that encoding: chi-squared over the
-alphabet, runs about the alphabet's middle, and lag-one serial correlation.  How
-often ordinary words look as random turns the result into a p-value;
-Benjamini-Hochberg over all tokens of the corpus bounds the share of false
-discoveries.  Ordinary words are the long ones of all documents and, as a small corpus
-has few, 20,000 for each length class joined from common English words.
+A long token's encoding is inferred from its characters.  Three tests ask whether its
+symbols look uniform and independent in that encoding: chi-squared over the alphabet, runs
+about the alphabet's middle, and lag-one serial correlation; their squared deviations add
+up to the token's result, which is small for random symbols.
+
+How small it is by chance for an ordinary token depends on encoding and length, so each
+(encoding, length) has a null of its own: tokens joined from words of a letter chain that
+is fitted to all documents, in the forms such tokens have there (one case, capitals, numbers
+between, separators).  A token's p-value is the share of those that look at least as
+random, and Benjamini-Hochberg over all tested tokens of the corpus bounds the share of
+false discoveries at 1 %, as far as ordinary tokens are no more random than that null.
+What the fixed patterns hold is known and not tested.
 """
 
 from __future__ import annotations
 
-import math
-import random
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,11 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 LEAST = 20                               # characters of a token to test
 CLASSES = (20, 24, 28, 32, 40, 48, 64)   # lower ends of the length classes
-BINS = 48                                # bins of the battery's result, quarter decades
+STEP, BINS = 0.25, 400                   # width and number of the result's bins
 RATE = 0.01                              # bound on the share of false discoveries
 MARK = "[SECRET]"
-SIMULATED = 20_000                       # joined words of each length class
+SIMULATED = 40_000                       # tokens of each null
+STATES = 37                              # a word's edge, letters, digits
 COMMON = """the of and to in is that for it as was with be by on not he his but at are this have from or had an they
 which one you were all her she there would their we him been has when who will no more if out so up said what its about
 than into them can only other time new some could these two may first then do any like my now over such our man me even
@@ -44,11 +47,22 @@ both life being under never same another know while last might us great old agai
 _DIGITS, _LOW = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _UP = _LOW.upper()
 ENCODINGS = (  # smallest first: a token gets the first that has all its characters
-    ("decimal", _DIGITS), ("hex", _DIGITS + "abcdef"), ("HEX", _DIGITS + "ABCDEF"),
+    ("decimal", _DIGITS), ("base26", _LOW), ("BASE26", _UP), ("hex", _DIGITS + "abcdef"), ("HEX", _DIGITS + "ABCDEF"),
     ("base32", _UP + "234567"), ("base36", _DIGITS + _LOW), ("BASE36", _DIGITS + _UP),
     ("base62", _DIGITS + _UP + _LOW), ("base64", _UP + _LOW + _DIGITS + "+/"),
     ("base64url", _UP + _LOW + _DIGITS + "-_"))
 _VALUES = [(name, len(a), {c: i for i, c in enumerate(a)}) for name, a in ENCODINGS]
+_NAMES = [name for name, _ in ENCODINGS]
+ENCODING_SIZE = {name: len(a) for name, a in ENCODINGS}
+
+
+def _blocks(alphabet: str) -> np.ndarray:
+    """Bounds of the stretches of one kind of character."""
+    kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in alphabet]
+    return np.array([0, *(k for k in range(1, len(kinds)) if kinds[k] != kinds[k - 1]), len(kinds)])
+
+
+BLOCKS = {name: _blocks(a) for name, a in ENCODINGS}
 _TOKEN = np.zeros(128, dtype=bool)
 _TOKEN[[ord(c) for c in _DIGITS + _LOW + _UP + "+/-_"]] = True
 
@@ -86,121 +100,184 @@ def encoding(token: str) -> tuple[str, int, dict] | None:
     return next((e for e in _VALUES if chars <= e[2].keys()), None)
 
 
-def battery(symbols: np.ndarray, size: int) -> float:
-    """Bonferroni-combined p-value of the three tests under uniform, independent
-    symbols 0..size-1: near 0 for ordinary text, spread over (0, 1) for secrets."""
-    n = len(symbols)
-
-    def two_sided(z):
-        return math.erfc(abs(z) / math.sqrt(2))
-
-    counts = np.bincount(symbols, minlength=size)
-    chi = float(((counts - n / size) ** 2).sum() * size / n)
-    spread = math.sqrt(2.0 * (size - 1) * (n - 1) / n)
-    p_uniform = 0.5 * math.erfc((chi - (size - 1)) / spread / math.sqrt(2))
-    high = symbols >= size / 2
-    ones = int(high.sum())
-    zeros = n - ones
-    if ones and zeros:
-        expected = 1 + 2.0 * ones * zeros / n
-        variance = max(1e-9, (expected - 1) * (expected - 2) / (n - 1))
-        p_runs = two_sided((1 + int((high[1:] != high[:-1]).sum()) - expected) / math.sqrt(variance))
+def battery(symbols: np.ndarray, size: int, blocks: np.ndarray) -> np.ndarray:
+    """The result of each row of symbols 0..size-1: the squared deviations of the three
+    tests, in standard deviations under uniform, independent symbols, added up.  Uniformity
+    is asked of the alphabet's symbols and of its kinds of character (digits, capitals,
+    small letters, signs: ``blocks`` has their bounds); only a surplus counts."""
+    rows, n = symbols.shape
+    cells = (symbols + np.arange(rows)[:, None] * size).ravel()
+    counts = np.bincount(cells, minlength=rows * size).reshape(rows, size)
+    chi = (counts.astype(np.float64) ** 2).sum(axis=1) * size / n - n
+    uniform = np.maximum(0, (chi - (size - 1)) / np.sqrt(2.0 * (size - 1) * (n - 1) / n))
+    width = np.diff(blocks)
+    if len(width) > 1:
+        held = np.stack([counts[:, a:b].sum(axis=1) for a, b in zip(blocks, blocks[1:])], axis=1)
+        off = ((held - n * width / size) ** 2 / (n * width / size)).sum(axis=1)
+        kinds = np.maximum(0, (off - (len(width) - 1)) / np.sqrt(2.0 * (len(width) - 1)))
     else:
-        p_runs = 2.0 ** (1 - n)
+        kinds = np.zeros(rows)
+    high = symbols >= size / 2
+    ones = high.sum(axis=1)
+    pairs = ones * (n - ones)
+    expected = 1 + 2.0 * pairs / n
+    variance = np.maximum(1e-9, (expected - 1) * (expected - 2) / (n - 1))
+    changes = (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    one_sided = np.sqrt(2.0 * n * np.log(2))     # symbols of one half only: 2^(1-n) of all
+    runs_off = np.where(pairs > 0, (1 + changes - expected) / np.sqrt(variance), one_sided)
     centred = symbols - (size - 1) / 2.0
-    correlation = float((centred[1:] * centred[:-1]).sum()) / ((size * size - 1) / 12.0) / math.sqrt(n - 1)
-    return min(1.0, 3 * min(p_uniform, p_runs, two_sided(correlation)))
+    serial = (centred[:, 1:] * centred[:, :-1]).sum(axis=1) / ((size * size - 1) / 12.0) / np.sqrt(n - 1)
+    return uniform ** 2 + kinds ** 2 + runs_off ** 2 + serial ** 2
 
 
-def tested(text: str, found: list[tuple[int, int]]) -> list[tuple[int, int, int, int, bool]]:
-    """Start, end, length class, result's bin and whether it is an ordinary word, for
-    each run of ``LEAST`` and more.  Digits alone are numbers, not secrets."""
+def tested(text: str, found: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Start, end, encoding, length class and the result's bin of each run of ``LEAST`` and
+    more.  Of a run that no encoding holds, as it mixes + or / with - or _, the longest part
+    between such signs is tested.  Digits alone are numbers, not secrets."""
     out = []
     for a, b in found:
-        token = text[a:b]
-        if b - a < LEAST or (e := encoding(token)) is None or e[0] == "decimal":
+        if b - a < LEAST:
             continue
-        p = battery(np.array([e[2][c] for c in token]), e[1])
+        e = encoding(text[a:b])
+        if e is None:
+            parts = [m.span() for signs in ("+/", "-_") for m in re.finditer(f"[^{signs}]+", text[a:b])]
+            start, end = max(parts, key=lambda x: (x[1] - x[0], -x[0]))
+            a, b = a + start, a + end
+            e = encoding(text[a:b])
+        if b - a < LEAST or e is None or e[0] == "decimal":
+            continue
+        result = battery(np.array([[e[2][c] for c in text[a:b]]]), e[1], BLOCKS[e[0]])[0]
         cls = int(np.searchsorted(CLASSES, b - a, side="right")) - 1
-        plain = token.isalpha() and (token[1:].islower() or token.isupper())
-        out.append((a, b, cls, min(BINS - 1, int(-4 * math.log10(max(p, 1e-300)))), plain))
-    return out
-
-
-@lru_cache(maxsize=1)
-def simulated() -> np.ndarray:
-    """Counts by (class, bin) of common words joined to the least length of each class,
-    alike in every run."""
-    rng, out = random.Random(17), np.zeros((len(CLASSES), BINS))
-    _, size, values = next(e for e in _VALUES if e[0] == "base36")
-    for cls, n in enumerate(CLASSES):
-        for _ in range(SIMULATED):
-            joined = "".join(rng.choices(COMMON, k=n))[:n]
-            p = battery(np.array([values[c] for c in joined]), size)
-            out[cls, min(BINS - 1, int(-4 * math.log10(max(p, 1e-300))))] += 1
+        out.append((a, b, _NAMES.index(e[0]), cls, min(BINS - 1, int(result / STEP))))
     return out
 
 
-def discoveries(cells: list[tuple[int, int, bool, int]], rate: float = RATE) -> set[tuple[int, int]]:
-    """The (class, bin) cells whose tokens are secrets, from counts of
-    (class, bin, ordinary, n).
-
-    A token's p-value is the share of ordinary words whose result is as high: of the
-    counted ones of its class or a shorter one (shorter words look random more easily,
-    so pooling them errs to the safe side), or of the simulated ones of its class if
-    that is less.  Cells are accepted as Benjamini-Hochberg says.  Where the simulated
-    share decides, the bound holds as far as the corpus's ordinary tokens look no more
-    random than joined English words.
+def letter_pairs(text: str, found: list[tuple[int, int]]) -> np.ndarray:
+    """Counts of what follows what in the text's words: 1..26 letters of either case,
+    27..36 digits, 0 a word's edge.  The tokens to test, runs of ``LEAST`` and more in
+    ``found``, are no words: a small corpus's secrets would be its words."""
+    chars = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+    chars = np.where((chars >= 65) & (chars <= 90), chars + 32, chars)
+    for a, b in found:
+        if b - a >= LEAST:
+            chars[a:b] = 0
+    state = np.zeros(len(chars) + 2, dtype=np.int64)
+    state[1:-1] = np.where((chars >= 97) & (chars <= 122), chars - 96, np.where((chars >= 48) & (chars <= 57), chars - 21, 0))
+    at = state[:-1] * STATES + state[1:]
+    return np.bincount(at[at > 0], minlength=STATES * STATES).reshape(STATES, STATES)
+
+
+def simulated(pairs: np.ndarray, name: str, n: int, rows: int = SIMULATED) -> np.ndarray:
+    """Sorted results of ordinary tokens of ``n`` characters in the form of an encoding:
+    words and numbers that follow the pairs, one after the other, in half of the tokens with
+    capitals where the encoding has them, and with signs between where it has signs.
+    Alike in every run."""
+    rng = np.random.default_rng([n, len(name), ENCODING_SIZE[name]])
+    _, size, values = next(e for e in _VALUES if e[0] == name)
+    if name in ("hex", "HEX"):      # ordinary ones are numbers with a letter here and there
+        letters = rng.random((rows, n)) < 0.15
+        return np.sort(battery(np.where(letters, rng.integers(10, 16, (rows, n)), rng.integers(0, 10, (rows, n))), size, BLOCKS[name]))
+    low, up = ([values.get(c, values.get(d, 0)) for c, d in zip(a, b)] for a, b in ((_LOW, _UP), (_UP, _LOW)))
+    digits = [values.get(c, 0) for c in _DIGITS]
+    low, up = np.array([0, *low, *digits]), np.array([0, *up, *digits])
+    if name in ("base26", "BASE26"):
+        pairs = pairs * (np.arange(STATES) < 27)
+    steps = np.cumsum(pairs / np.maximum(1e-9, pairs.sum(axis=1, keepdims=True)), axis=1)
+    first = np.cumsum(np.append(0.0, pairs[0, 1:] / max(1e-9, pairs[0, 1:].sum())))
+    signs, capitals = [values[c] for c in "+/-_" if c in values], rng.random(rows) < 0.5
+    state, out = np.zeros(rows, dtype=np.int64), np.empty((rows, n), dtype=np.int64)
+    for k in range(n):
+        after = np.minimum(STATES - 1, (rng.random(rows)[:, None] > steps[state]).sum(axis=1))
+        ends = (state == 0) | (after == 0)       # the next word begins
+        begin = np.clip((rng.random(rows)[:, None] > first).sum(axis=1), 1, STATES - 1)
+        state = np.where(ends, begin, after)
+        out[:, k] = np.where(ends & capitals, up[state], low[state])
+        if signs and k:
+            sign = ends & (rng.random(rows) < 0.6)
+            out[:, k], state = np.where(sign, rng.choice(signs, rows), out[:, k]), np.where(sign, 0, state)
+    return np.sort(battery(out, size, BLOCKS[name]))
+
+
+def discoveries(cells: list[tuple[int, int, int, int]], pairs: np.ndarray, rate: float = RATE) -> dict[tuple[int, int], int]:
+    """For (encoding, length class) the highest bin whose tokens are secrets, from counts of
+    (encoding, class, bin, n) over the corpus, as Benjamini-Hochberg says.
+
+    A bin's p-value is that of its upper end; the null is that of the class's least length,
+    as shorter tokens look random more easily.  Letters of one case are a family of their
+    own: most are long words, whose number would only raise the bar for the others.
     """
-    ordinary = np.zeros((len(CLASSES), BINS))
-    tokens = np.zeros((len(CLASSES), BINS))
-    for cls, b, plain, n in cells:
-        (ordinary if plain else tokens)[cls, b] += n
-    def share(n):
-        return (1 + n.cumsum(axis=1)) / (1 + n.sum(axis=1, keepdims=True))
-
-    p = np.minimum(share(ordinary.cumsum(axis=0)), share(simulated()))
-    total, at, accepted = tokens.sum(), 0.0, set()
-    ranked = sorted((p[c, b], c, b) for c in range(len(CLASSES)) for b in range(BINS) if tokens[c, b])
-    cut = -1.0
-    for value, c, b in ranked:
-        at += tokens[c, b]
+    letters = [c for c in cells if _NAMES[c[0]] in ("base26", "BASE26")]
+    others = [c for c in cells if _NAMES[c[0]] not in ("base26", "BASE26")]
+    return _family(letters, pairs, rate) | _family(others, pairs, rate)
+
+
+def _family(cells, pairs, rate):
+    nulls, ranked = {}, []
+    for e, cls, b, n in cells:
+        if (e, cls) not in nulls:
+            nulls[e, cls] = simulated(pairs, _NAMES[e], CLASSES[cls])
+        null = nulls[e, cls]
+        below = np.searchsorted(null, (b + 1) * STEP, side="right") if b < BINS - 1 else len(null)
+        ranked.append(((1 + below) / (1 + len(null)), e, cls, b, n))
+    total, at, cut = sum(n for *_, n in cells), 0, -1.0
+    for value, group in _by_value(sorted(ranked)):
+        at += sum(r[4] for r in group)
         if value <= rate * at / total:
             cut = value
-    return {(c, b) for value, c, b in ranked if value <= cut}
+    out: dict[tuple[int, int], int] = {}
+    for value, e, cls, b, _ in ranked:
+        if value <= cut:
+            out[e, cls] = max(b, out.get((e, cls), -1))
+    return out
 
 
-def fit(df: DataFrame, text: str = "text", rate: float = RATE) -> set[tuple[int, int]]:
-    """Count the battery's results over all texts; the driver gets 672 rows at most."""
+def _by_value(ranked):
+    from itertools import groupby
+    return ((value, list(group)) for value, group in groupby(ranked, key=lambda r: r[0]))
+
+
+def fit(df: DataFrame, text: str = "text", rate: float = RATE) -> dict[tuple[int, int], int]:
+    """Results and letter pairs are counted over all texts; the driver gets one row a cell
+    and pair, some 30,000 at most."""
     def count(batches):
-        seen: dict = {}
+        seen, pairs = {}, np.zeros((STATES, STATES), dtype=np.int64)
         for pdf in batches:
             for t in pdf["text"]:
                 if t:
-                    for _, _, cls, b, plain in tested(t, runs(t)):
-                        seen[cls, b, plain] = seen.get((cls, b, plain), 0) + 1
-        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["cls", "bin", "plain", "n"])
-
-    rows = (df.select(F.col(text).alias("text"))
-            .mapInPandas(count, "cls int, bin int, plain boolean, n long")
-            .groupBy("cls", "bin", "plain").agg(F.sum("n").alias("n")).collect())
-    return discoveries([(r["cls"], r["bin"], r["plain"], r["n"]) for r in rows], rate)
-
-
-def spans(text: str | None, accepted: set[tuple[int, int]]) -> list[tuple[str, int, int]]:
+                    found = runs(t)
+                    pairs += letter_pairs(t, found)
+                    base = base_spans(t, found)
+                    for start, end, e, cls, b in tested(t, found):
+                        if any(start < y and x < end for _, x, y in base):
+                            continue             # known already
+                        seen[e, cls, b] = seen.get((e, cls, b), 0) + 1
+        out = [(*k, n) for k, n in seen.items()]
+        out += [(-1, a, b, int(pairs[a, b])) for a, b in zip(*np.nonzero(pairs))]
+        yield pd.DataFrame(out, columns=["e", "cls", "bin", "n"])
+
+    rows = (df.select(F.col(text).alias("text")).mapInPandas(count, "e int, cls int, bin int, n long")
+            .groupBy("e", "cls", "bin").agg(F.sum("n").alias("n")).collect())
+    # common English words beside the corpus's own, so that a corpus of few words has a chain
+    pairs = letter_pairs(" ".join(COMMON), []).astype(np.float64)
+    for r in rows:
+        if r["e"] < 0:
+            pairs[r["cls"], r["bin"]] += r["n"]
+    return discoveries([(r["e"], r["cls"], r["bin"], r["n"]) for r in rows if r["e"] >= 0], pairs, rate)
+
+
+def spans(text: str | None, accepted: dict[tuple[int, int], int]) -> list[tuple[str, int, int]]:
     """All secrets of one whole text, by start, then by kind as listed in ``KINDS``."""
     if not text:
         return []
     found = runs(text)
     out = base_spans(text, found)
     base = list(out)
-    out += [("random", a, b) for a, b, cls, bin_, plain in tested(text, found)
-            if not plain and (cls, bin_) in accepted
-            and not any(a < e and s < b for _, s, e in base)]
+    out += [("random", a, b) for a, b, e, cls, bin_ in tested(text, found)
+            if bin_ <= accepted.get((e, cls), -1) and not any(a < end and start < b for _, start, end in base)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def with_secrets(df: DataFrame, accepted: set[tuple[int, int]], text: str = "text",
+def with_secrets(df: DataFrame, accepted: dict[tuple[int, int], int], text: str = "text",
                  out: str = "secrets") -> DataFrame:
     """``df`` plus an array of (kind, start, end) in code points, end exclusive."""
     @F.pandas_udf("array<struct<kind:string,start:int,end:int>>")
@@ -228,7 +305,8 @@ def _joined(column):
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """A row per row of ``documents``; null and empty texts have no spans."""
+    """A row per row of ``documents``, repeated rows and null ids included; null and empty
+    texts have no spans, an empty table no rows; columns beyond doc_id and text are not read."""
     rows = with_secrets(docs.select("doc_id", "text"), fit(docs))
     base = F.filter("secrets", lambda s: s["kind"] != "random")
 

@@ -94,7 +94,7 @@ def test_flat_trees_fit_a_step():
 def test_base_secrets_by_the_patterns(spark, odd, none):
     h = "0123456789abcdef" * 3
     text = f"é token = \"{h[:40]}\" AKIAABCDEFGHIJKL12 AKIA12 {h}z password: short Api_Key='abcd=efgh' SECRET:12345678"
-    found = secrets.spans(text, set())
+    found = secrets.spans(text, {})
     got = [(k, text[a:b]) for k, a, b in found]
     assert got == [("assign", f'token = "{h[:40]}'), ("hex", h[:40]), ("access", "AKIAABCDEFGHIJKL12"),
                    ("hex", h), ("assign", "Api_Key='abcd=efgh"), ("assign", "SECRET:12345678")]
@@ -136,3 +136,62 @@ def test_secret_stage_keeps_rows_and_other_columns(spark, odd):
     r = out.filter("doc_id = 50").first()
     assert r["text"] == "my [SECRET] here" and r["n_chars"] == len(r["text"])
     assert out.filter("doc_id = 4").first()["text"] is None
+
+
+def _with_keys(texts, lengths, n, seed=5):
+    """Texts with ``n`` random base62 keys of each length, dealt over them."""
+    rng = random.Random(seed)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = {m: ["".join(rng.choice(alphabet) for _ in range(m)) for _ in range(n)] for m in lengths}
+    out = list(texts)
+    for i, k in enumerate(k for ks in keys.values() for k in ks):
+        at = i * 7919 % len(out)
+        out[at] += f" {k} x"
+    return out, keys
+
+
+def test_short_keys_are_found_in_the_table(spark, docs):
+    """24 characters and more; and nothing in the table as it is."""
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    for planted in (False, True):
+        rows, keys = _with_keys(texts, (24, 32, 40), 40 if planted else 0)
+        accepted = secrets.fit(spark.createDataFrame([(t,) for t in rows], "text string"))
+        found = {t[a:b] for t in rows for k, a, b in secrets.spans(t, accepted) if k == "random"}
+        for m, ks in keys.items():
+            assert sum(k in found for k in ks) >= (0.9 if m == 24 else 0.95) * len(ks)
+        assert not found - {k for ks in keys.values() for k in ks}
+
+
+def test_keys_beside_other_signs_and_in_one_case(spark):
+    rng = random.Random(9)
+    token = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(64)) for _ in range(10)]
+    mixed = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(44))
+             for _ in range(10)]
+    texts = [f"some words {a} and key-{b} more" for a, b in zip(token, mixed)]
+    accepted = secrets.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    found = [t[a:b] for t in texts for k, a, b in secrets.spans(t, accepted) if k == "random"]
+    assert sum(t in found for t in token) >= 8
+    # the part without the hyphen, or, for a key without + or /, the whole run, or a long part of it
+    assert sum(any(len(f) >= 22 and f in f"key-{m}" for f in found) for m in mixed) >= 8
+
+
+def test_secrets_query_equals_a_plain_recomputation(spark, docs):
+    """Every column over the table: leftmost matches per kind, by plain regular expressions."""
+    import hashlib
+    import re
+    accepted = secrets.fit(docs)
+    want = {}
+    for r in docs.collect():
+        t = r["text"] or ""
+        base = [(m.start(), 0, m.end()) for m in re.finditer(
+            r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 8]
+        base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
+        joined = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base))
+        n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
+        more = [s for s in secrets.spans(t, accepted) if s[0] == "random"]
+        spans = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(
+            [(secrets.KINDS[k], a, b) for a, k, b in base] + more, key=lambda s: (s[1], secrets.KINDS.index(s[0]))))
+        want[r["doc_id"]] = (*n, hashlib.sha256(joined.encode()).hexdigest(), spans, len(more))
+    got = {r["doc_id"]: tuple(r)[1:] for r in secrets.query(docs).collect()}
+    assert got == want
