@@ -20,7 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from kestrel.operators.match import BUSINESS_LEVEL
 from kestrel.sources.conditions import conditions_predicate, parse_conditions, where_condition_predicate
@@ -96,6 +96,10 @@ def read_source(spark: SparkSession, rule: dict, as_of=None) -> DataFrame:
     if in_type in ("mysql", "jdbc"):
         # partitionColumn, lowerBound, upperBound and numPartitions make it parallel
         column = rule.get("partitionColumn")
+        if column and rule.get("lowerBound") is None:   # bounds are found in the database
+            df = read_jdbc_split(spark, rule["url"], rule["sql"], column, int(rule.get("numPartitions") or 8),
+                                 driver=rule.get("driver"), user=rule.get("user"), password=rule.get("password"))
+            return _project(_filter(df, [where_condition_predicate(where, as_of, df)]), fields)
         parts = {"partition_column": column, "lower": int(rule["lowerBound"]), "upper": int(rule["upperBound"]),
                  "num_partitions": int(rule["numPartitions"])} if column else {}
         df = read_jdbc_query(spark, rule["url"], rule["sql"], driver=rule.get("driver"),
@@ -118,6 +122,41 @@ def read_delimited_with_header(spark: SparkSession, path: str, sep: str = ",",
             .option("inferSchema", infer).csv(path))
 
 
+CORRUPT = "__corrupt_line"
+
+
+def sampled_schema(spark: SparkSession, path: str, sep: str = ",", sample_lines: int = 10_000) -> StructType:
+    """Column names from the header and types from the first lines of the files: a scan that
+    stops after ``sample_lines`` lines, instead of one over all of them."""
+    lines = [r[0] for r in spark.read.text(path).limit(sample_lines).collect()]
+    sample = (spark.read.option("sep", sep).option("header", True).option("inferSchema", True)
+              .csv(spark.sparkContext.parallelize(lines, 1)))
+    return sample.schema
+
+
+def read_delimited_sampled(spark: SparkSession, path: str, sep: str = ",", sample_lines: int = 10_000,
+                           on_misfit: str = "error") -> DataFrame:
+    """Header CSV/TSV in one full pass, its types taken from the first lines.
+
+    A later line that does not fit them, in a column that is read, is noticed in that same
+    pass by the reader's column of corrupt lines: it fails the job (``error``), naming the
+    line, or stays with nulls and its text in ``__corrupt_line`` (``keep``).
+    """
+    if on_misfit not in ("error", "keep"):
+        raise ValueError("on_misfit must be 'error' or 'keep'")
+    schema = sampled_schema(spark, path, sep, sample_lines)
+    df = (spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+          .option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    if on_misfit == "keep":
+        return df
+    bad = F.col(CORRUPT).isNotNull()
+    # On every column, so that each projection checks the columns it reads.
+    message = F.concat(F.lit("line does not fit the sampled types: "), F.col(CORRUPT))
+    return df.select(*[F.when(bad, F.raise_error(message)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+                       for f in schema.fields])
+
+
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str,
                    sep: str = ",") -> DataFrame:
     """Headerless CSV/TSV with an explicit schema (no inference pass)."""
@@ -139,6 +178,63 @@ def read_jdbc_query(spark: SparkSession, url: str, sql: str, *, driver: str | No
     return r.load()
 
 
+def jdbc_splits(spark: SparkSession, url: str, sql: str, column: str, partitions: int, *,
+                probes: int | None = None, **connection) -> list[str]:
+    """Predicates that cut a sub-query into parts of about equal numbers of rows.
+
+    The database counts the rows in even cells between the column's least and greatest
+    value, in one query; cells that hold too much are cut finer, again in one query a round,
+    until none holds more than half a part or is one value.  Neighbouring cells then make
+    the parts, so a hot range is cut where its rows are.  The last part takes nulls too.
+    The driver gets the cells' counts only.
+    """
+    probes = probes or 4 * partitions
+
+    def ask(query: str) -> list:
+        return read_jdbc_query(spark, url, query, **connection).collect()
+
+    low, high, n = ask(f"SELECT MIN({column}) AS LO, MAX({column}) AS HI, COUNT(*) AS N FROM ( {sql} ) t")[0]
+    if low is None or partitions < 2:
+        return ["1 = 1"]
+    low, high = int(low), int(high)
+    limit, cells, rough = max(1, n // (2 * partitions)), [], [(low, high + 1)]
+    while rough:
+        asked, rough = rough, []
+        tests = []
+        for a, b in asked:
+            step = max(1, -(-(b - a) // max(2, probes // len(asked))))
+            tests += [(c, min(c + step, b)) for c in range(a, b, step)]
+        counts = ask("SELECT " + ", ".join(
+            f"COUNT(CASE WHEN {column} >= {a} AND {column} < {b} THEN 1 END) AS C{k}"
+            for k, (a, b) in enumerate(tests)) + f" FROM ( {sql} ) t")[0]
+        for (a, b), held in zip(tests, counts):
+            if held > limit and b - a > 1:
+                rough.append((a, b))
+            elif held:
+                cells.append((a, b, int(held)))
+    cells.sort()
+    edges, held = [], 0
+    for a, _, size in cells:
+        if held and held + size > n / partitions and len(edges) < partitions - 1:
+            edges.append(a)
+            held = 0
+        held += size
+    bounds = [None, *edges, None]
+    parts = [" AND ".join(p for p in (f"{column} >= {a}" if a is not None else "",
+                                      f"{column} < {b}" if b is not None else "") if p) or "1 = 1"
+             for a, b in zip(bounds, bounds[1:])]
+    if edges:
+        parts[-1] = f"{parts[-1]} OR {column} IS NULL"
+    return parts
+
+
+def read_jdbc_split(spark: SparkSession, url: str, sql: str, column: str, partitions: int, **connection) -> DataFrame:
+    """A sub-query scan in parallel parts of about equal size (see :func:`jdbc_splits`)."""
+    parts = jdbc_splits(spark, url, sql, column, partitions, **connection)
+    props = {k: v for k, v in connection.items() if v and k in ("driver", "user", "password")}
+    return spark.read.jdbc(url, f"( {sql} ) tmp", predicates=parts, properties=props)
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                     **partitioning) -> DataFrame:
     props = dict(properties or {})

@@ -61,3 +61,14 @@ def test_bench_prints_one_json_line():
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and rec["sf"] == 0.001 and set(rec["queries"]) == {"rule_match_inner"}
     assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-6
+
+
+def test_queries_without_a_library_of_the_text_operators(monkeypatch):
+    """A missing third-party module takes the text queries away, and nothing else."""
+    import sys
+    for name in [m for m in sys.modules if m.startswith("kestrel.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    names = E.queries()
+    assert len(names) > 60 and not any(n.startswith("op") and n[2:3].isdigit() for n in names) and "pipeline" not in names
+    assert set(E.oracle_sql()) <= set(names)

@@ -9,6 +9,7 @@ from kestrel.plans import models
 from kestrel.streaming.profile_sink import start_tag_stream
 
 CATALOG = "id long, name string, rule string, level int, pid long"
+DAY = 86400
 
 
 def test_sync_table_upserts_without_blanks(spark, tmp_path):
@@ -104,7 +105,7 @@ def test_job_runner_rule_and_cycle_models(spark, tmp_path):
     users = str(tmp_path / "users")
     spark.createDataFrame([(1, "1"), (2, "2"), (3, "1")], "id long, gender string").write.parquet(users)
     orders = str(tmp_path / "orders")
-    spark.createDataFrame([(1, 1594569600), (1, 1593446400), (2, 1577836800)],
+    spark.createDataFrame([(1, DAY * 95), (1, DAY * 80), (2, DAY * 10)],
                           "memberid long, finishtime long").write.parquet(orders)
     catalog = spark.createDataFrame(
         [(318, "gender", f"inType=parquet\ninPath={users}\nselectFieldNames=id,gender", 4, 1),
@@ -113,7 +114,7 @@ def test_job_runner_rule_and_cycle_models(spark, tmp_path):
          (348, "0-7", "0-7", 5, 347), (349, "8-14", "8-14", 5, 347)], CATALOG)
     store = ProfileStore(spark, str(tmp_path / "profile"))
     jobs.run(spark, catalog, 318, "gender", store=store)
-    jobs.run(spark, catalog, 347, "consume_cycle", store=store, as_of="2020-07-20")
+    jobs.run(spark, catalog, 347, "consume_cycle", store=store, as_of="1970-04-16")
     assert rows(store.read(), "userId", "gender", "consumecycle") == [
         (1, "m", "8-14"), (2, "f", None), (3, "m", None)]
 

@@ -32,22 +32,22 @@ def test_unknown_in_type_raises(spark):
 
 
 def test_condition_parse_and_ops():
-    cs = conditions.parse_conditions("modified[lt]2019-09-01, gender[EQ]1")
-    assert [(c.field, c.op, c.value) for c in cs] == [("modified", "lt", "2019-09-01"), ("gender", "eq", "1")]
+    cs = conditions.parse_conditions("seen[lt]2011-04-05, kind[EQ]b7")
+    assert [(c.field, c.op, c.value) for c in cs] == [("seen", "lt", "2011-04-05"), ("kind", "eq", "b7")]
     with pytest.raises(ValueError):
-        conditions.Condition.parse("modified<2019")
+        conditions.Condition.parse("seen<2011")
 
 
 def test_wide_scan_strings_and_conditions(spark, tmp_path):
     p = str(tmp_path / "users")
-    spark.createDataFrame([(1, "2019-08-01", 1), (2, "2019-10-01", 2), (3, None, 1)],
-                          "id long, modified string, gender int").write.parquet(p)
-    got = meta.wide_scan(spark, p, "id,modified", "modified[lt]2019-09-01")
-    assert dict(got.dtypes) == {"id": "string", "modified": "string"}
-    assert rows(got) == [("1", "2019-08-01"), ("3", None)]
-    strict = meta.wide_scan(spark, p, ["id"], "modified[lt]2019-09-01", missing_passes=False)
+    spark.createDataFrame([(1, "2011-03-01", 1), (2, "2011-06-01", 2), (3, None, 1)],
+                          "id long, seen string, kind int").write.parquet(p)
+    got = meta.wide_scan(spark, p, "id,seen", "seen[lt]2011-04-05")
+    assert dict(got.dtypes) == {"id": "string", "seen": "string"}
+    assert rows(got) == [("1", "2011-03-01"), ("3", None)]
+    strict = meta.wide_scan(spark, p, ["id"], "seen[lt]2011-04-05", missing_passes=False)
     assert rows(strict) == [("1",)]
-    assert rows(meta.wide_scan(spark, p, ["id"], "gender[eq]1,modified[ge]2019-01-01")) == [("1",), ("3",)]
+    assert rows(meta.wide_scan(spark, p, ["id"], "kind[eq]1,seen[ge]2011-01-01")) == [("1",), ("3",)]
 
 
 def test_wide_scan_pushes_filters_to_parquet(spark):
@@ -167,3 +167,66 @@ def test_cells_scan_filters_on_unselected_columns(spark, tmp_path):
     assert [tuple(r) for r in meta.cells_scan(spark, path, "f", "x", "y[eq]8").collect()] == [("b", "2")]
     got = meta.cells_scan(spark, path, "f", "x", None, "d#day#5", as_of="2020-01-10").collect()
     assert [tuple(r) for r in got] == [("a", "1")]
+
+
+def _tasks(spark, group, run):
+    """Number of tasks that ``run`` starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    return sum(i.numTasks for i in infos if i is not None), out
+
+
+def test_sampled_schema_reads_the_files_once(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    for k in range(24):
+        (folder / f"p{k}.csv").write_text("id,name,score\n" + "".join(f"{k * 1000 + i},n{i},{i / 4}\n" for i in range(1000)))
+    path = str(folder)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        few, df = _tasks(spark, "sampled", lambda: meta.read_delimited_sampled(spark, path, sample_lines=50))
+        all_, plain = _tasks(spark, "inferred", lambda: meta.read_delimited_with_header(spark, path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert df.dtypes == plain.dtypes == [("id", "int"), ("name", "string"), ("score", "double")]
+    assert few <= 6 < all_ and df.count() == 24_000 and rows(df.where("id < 3")) == rows(plain.where("id < 3"))
+
+
+def test_a_line_that_does_not_fit_the_sample_is_noticed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n" + "".join(f"{i},x\n" for i in range(100)) + "late,y\n")
+    path = str(tmp_path / "a.csv")
+    with pytest.raises(Exception, match="late,y"):
+        meta.read_delimited_sampled(spark, path, sample_lines=20).select("id").collect()
+    assert meta.read_delimited_sampled(spark, path, sample_lines=20).select("name").count() == 101
+    kept = meta.read_delimited_sampled(spark, path, sample_lines=20, on_misfit="keep")
+    assert [tuple(r) for r in kept.where(F.col(meta.CORRUPT).isNotNull()).collect()] == [(None, "y", "late,y")]
+    assert meta.read_delimited_sampled(spark, path, sample_lines=1000).dtypes == [("id", "string"), ("name", "string")]
+
+
+def test_jdbc_splits_follow_the_rows(spark):
+    url = "jdbc:derby:memory:kestrel_splits;create=true"
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    # nine rows in ten lie in a hundredth of the range; one value is hot; some ids are null
+    ids = [i % 100 for i in range(1800)] + [7] * 300 + list(range(0, 10_000, 50)) + [None] * 20
+    df = spark.createDataFrame([(i,) for i in ids], "ID int")
+    df.write.mode("overwrite").jdbc(url, "SKEWED", properties={"driver": driver})
+    parts = meta.jdbc_splits(spark, url, "SELECT * FROM SKEWED", '"ID"', 4, driver=driver)
+    assert 2 <= len(parts) <= 4
+    got = meta.read_jdbc_split(spark, url, "SELECT * FROM SKEWED", '"ID"', 4, driver=driver)
+    sizes = got.rdd.glom().map(len).collect()
+    assert sum(sizes) == len(ids) and max(sizes) <= len(ids) / 4 + 400     # a part, and the hot value
+    assert rows(got) == rows(df)
+    ruled = meta.read_source(spark, {"inType": "jdbc", "url": url, "driver": driver, "sql": "SELECT * FROM SKEWED",
+                                     "partitionColumn": '"ID"', "numPartitions": "3"})
+    assert ruled.count() == len(ids) and ruled.rdd.getNumPartitions() <= 3
+    df.limit(0).write.mode("overwrite").jdbc(url, "NOTHING", properties={"driver": driver})
+    assert meta.read_jdbc_split(spark, url, "SELECT * FROM NOTHING", '"ID"', 4, driver=driver).count() == 0
