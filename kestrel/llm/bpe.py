@@ -386,5 +386,5 @@ def query(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: every document's number of tokens and the digests of
-    its ids and of their decoded bytes."""
+    its ids and of their decoded bytes.  Repeated rows are encoded alike."""
     return query(docs)

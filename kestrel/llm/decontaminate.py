@@ -133,6 +133,7 @@ def is_contaminated() -> Column:
 
 
 def query(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """A row per row of ``documents``, of any length; see :func:`contamination`."""
     return contamination(docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),

@@ -190,7 +190,8 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 def query(docs: DataFrame) -> DataFrame:
     """A null doc_id is never learned from and is not held out; repeated rows are
-    predicted once each."""
+    predicted once each.  An empty table gives an empty one; texts of any length are read
+    whole; columns beyond doc_id, text and lang are not read."""
     model = fit(learnable(docs))
     rows = docs.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), "text")
     return with_language(rows, model).select("doc_id", "held_out", "lang_pred", "score")

@@ -320,7 +320,7 @@ def query(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stays, each secret replaced by ``[SECRET]`` and
-    n_chars counted anew where the text has changed."""
+    n_chars counted anew where the text has changed.  Repeated rows are cleaned alike."""
     accepted = fit(docs)
 
     @F.pandas_udf("string")

@@ -136,7 +136,11 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def query(docs: DataFrame) -> DataFrame:
     """Each text's fingerprint and that of its edited text: the last half of the code
-    points (rounded down) gives way to the first as many, or all, of the next text."""
+    points (rounded down) gives way to the first as many, or all, of the next text.
+
+    A null text is empty; rows with a null or a repeated doc_id are rows like any other; an
+    empty table gives an empty one; columns beyond doc_id and text are not read.
+    """
     half = F.floor(F.col("n_chars") / 2).cast("int")
     kept = F.col("n_chars").cast("int") - half
     edited = F.concat(F.substring("text", F.lit(1), kept), F.substring("next_text", F.lit(1), half))

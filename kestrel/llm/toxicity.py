@@ -163,7 +163,13 @@ def with_toxicity(df: DataFrame, model: Model, text: str = "text", out: str = "s
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """A row per row of ``documents``; a null doc_id is neither learned from nor held out."""
+    """A row per row of ``documents``; a null doc_id is neither learned from nor held out.
+
+    Null and empty texts get the score of a text without windows; a text of any length is
+    scored whole, window by window.  Repeated rows are scored once each, an empty table
+    gives an empty one, without labels the score is the same for all; columns beyond doc_id
+    and text are not read.
+    """
     rows = docs.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), "text")
     model = fit(rows.filter(~F.col("held_out")).select("doc_id", "text"), labels)
     return with_toxicity(rows, model).select(
