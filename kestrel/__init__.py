@@ -14,6 +14,7 @@ The main entry points, by task:
 """
 
 from kestrel.functions.scoring import score
+from kestrel.operators.bucket_store import BucketStore
 from kestrel.operators.match import range_match, rule_match
 from kestrel.operators.measures import most_frequent, psm_measures, rfe_measures, rfm_measures
 from kestrel.operators.profile import BucketedProfileTable, ProfileStore, to_cells, upsert
@@ -23,5 +24,5 @@ from kestrel.sources.meta import parse_rule, read_source, wide_scan
 __version__ = "0.1.0"
 
 __all__ = ["score", "range_match", "rule_match", "most_frequent", "psm_measures", "rfe_measures",
-           "rfm_measures", "BucketedProfileTable", "ProfileStore", "to_cells", "upsert",
+           "rfm_measures", "BucketStore", "BucketedProfileTable", "ProfileStore", "to_cells", "upsert",
            "run_tag_model", "parse_rule", "read_source", "wide_scan"]
