@@ -144,6 +144,61 @@ def test_large_group_is_linear_and_keeps_its_links(spark, monkeypatch):
             assert sum(compared) <= 30 * n
 
 
+def test_no_link_is_lost(spark, monkeypatch):
+    """Chains, texts whose only links are just above 0.8 and pairs that share no band: the
+    classes are those of all pairs, compared pair by pair or in blocks of any size."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for c in range(30):
+        w = [f"v{x}" for x in rng.integers(0, 10 ** 9, 204 + 11 * 21)]
+        rows += [(c * 12 + k, " ".join(w[k * 21:k * 21 + 204])) for k in range(12)]
+    rows += [(1000 + i, t) for i, t in _template_group(150, seed=5)]
+    rows += [(3000, "one two"), (3001, "one two"), (3002, "One, two!"), (3003, ""), (3004, None), (3005, "..")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_classes(rows)
+    assert {want[c * 12 + 11] for c in range(30)} == {c * 12 for c in range(30)}
+    for hot, side in ((neardup.HOT, neardup.SIDE), (1, 16)):
+        monkeypatch.setattr(neardup, "HOT", hot)
+        monkeypatch.setattr(neardup, "SIDE", side)
+        assert {r["doc_id"]: r["class_id"] for r in neardup.query(df).collect()} == want
+
+
+def test_links_without_a_common_band(spark, monkeypatch):
+    """With samples that never agree the bands find nothing, the exact join all links."""
+    from pyspark.sql import functions as F
+    rows = _template_group(100, seed=8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = df.select(neardup.node_of(df.text).alias("node"), neardup.word_hashes(df.text).alias("w"))
+    idf = spark.sparkContext.broadcast(neardup.inverse_frequencies(hashed))
+    plain = neardup.signatures
+
+    def unlike(hashed, idf):
+        numbers = F.sequence(F.lit(1), F.lit(neardup.BANDS * neardup.ROWS))
+        return plain(hashed, idf).withColumn("samples", F.transform(numbers, lambda k: F.hash("node", k)))
+
+    monkeypatch.setattr(neardup, "signatures", unlike)
+    assert neardup.buckets(neardup.signatures(hashed, idf)).count() == 0
+    assert {r["doc_id"]: r["class_id"] for r in neardup.query(df).collect()} == plain_classes(rows)
+
+
+def test_few_rows_go_to_python_at_once(spark, monkeypatch):
+    """Words of thousands of whole texts in one batch filled the executors' memory."""
+    docs = spark.createDataFrame([(k, f"w{k} " * 20) for k in range(3000)], "doc_id long, text string")
+    seen, plain, before = [], neardup._links, spark.conf.get(neardup.ARROW_CONF)
+
+    def counted(docs, text, exact):
+        def sizes(batches):
+            for pdf in batches:
+                yield pdf.assign(n=len(pdf))[["n"]]
+
+        seen.extend(r["n"] for r in docs.select("doc_id").mapInPandas(sizes, "n long").distinct().collect())
+        return plain(docs, text, exact)
+
+    monkeypatch.setattr(neardup, "_links", counted)
+    assert neardup.query(docs.coalesce(1)).count() == 3000
+    assert seen and max(seen) <= 1000 and spark.conf.get(neardup.ARROW_CONF) == before
+
+
 def test_documents_with_columns_of_any_name(spark, odd):
     from pyspark.sql import functions as F
     more = odd
