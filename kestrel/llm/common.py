@@ -26,8 +26,11 @@ def whole(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of a text with A-Z lower-cased; null and empty texts have none."""
-    lower = F.translate(whole(text), _UPPER, _UPPER.lower())
-    return F.filter(F.split(lower, SEPARATORS), lambda w: w != "")
+    text = whole(text)
+    # ``translate`` looks up every character; of an ASCII text, ``lower`` gives the same.
+    lower = F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
+        F.translate(text, _UPPER, _UPPER.lower()))
+    return F.array_remove(F.split(lower, SEPARATORS), "")
 
 
 def let(value: Column, body) -> Column:

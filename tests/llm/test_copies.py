@@ -181,6 +181,56 @@ def test_links_without_a_common_band(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in neardup.query(df).collect()} == plain_classes(rows)
 
 
+def test_long_texts_unlike_share_few_bits():
+    """Parities of 1,024 cells told nothing of texts with thousands of shingles."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 1 << 63, 4000, dtype=np.uint64)
+    half = np.unique(np.append(base[:2000], rng.integers(1, 1 << 63, 2000, dtype=np.uint64)))
+    near = np.unique(np.append(base[:3900], rng.integers(1, 1 << 63, 90, dtype=np.uint64)))
+    short = np.unique(base[:300])
+    bits = [neardup.parities(np.unique(k)) for k in (base, half, near, short)]
+
+    def differ(v, w):
+        words = min(len(v), len(w))
+        return int(np.bitwise_count((neardup.folded(v, words) ^ neardup.folded(w, words)).view(np.uint64)).sum())
+
+    most = 8000 * 1.5 * (1 - 2 * neardup.LEAST)   # weights of 1.5 a shingle
+    assert differ(bits[0], bits[1]) > most > 190 >= differ(bits[0], bits[2])
+    assert len(bits[3]) * 64 == neardup.BITS and differ(bits[0], bits[3]) <= 3700
+    assert (neardup.folded(bits[0], 16) == np.packbits(np.bincount(
+        (base >> np.uint64(32)).astype(np.int64) % 1024, minlength=1024) & 1 == 1).view(np.int64)).all()
+
+
+def test_blocks_deal_out_texts_at_their_first_common_token_only():
+    """Of 40 texts that share 30 tokens, whole sets went out 30 times."""
+    import pandas as pd
+    bits = neardup.parities(np.arange(1, 301, dtype=np.uint64) << np.uint64(40))
+    tokens = np.arange(1, 31, dtype=np.int64) << 8
+    rows = pd.DataFrame({"token": 0, "id": range(40), "label": range(40), "mass": 400.0, "after": 400.0, "size": 300,
+                         "own": 0, "low": 0, "high": 0, "bits": [bits] * 40, "tokens": [tokens | k for k in range(40)]})
+    dealt = [len(neardup._block_rows(rows.assign(token=int(t)))) for t in tokens]
+    assert dealt == [40] + [0] * 29
+
+
+def test_texts_are_looked_up_among_those_asked_for(spark):
+    """All documents' texts were exchanged to find a few."""
+    rows = spark.range(20000).selectExpr("md5(cast(id AS string)) AS node")
+    asked = rows.limit(500).localCheckpoint()
+    passed = rows.filter(neardup._among(asked)(rows.node))
+    assert passed.join(asked, "node").count() == 500 and passed.count() < 4000
+    none = neardup._among(asked.filter("false"))
+    assert rows.filter(none(rows.node)).count() == 0
+
+
+def test_words_are_those_of_a_plain_split(spark):
+    import re
+    from kestrel.llm.common import SEPARATORS, words as column
+    texts = ["A bC-d  9Z", "ÄB İI \u212a Ça va ABC", None, "", "..", "ẞ Ω x" * 3, "naïve CAFÉ\x00B\nC"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", column("text").alias("w")).collect()
+    upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    assert [r["w"] for r in got] == [[w for w in re.split(SEPARATORS, (r["text"] or "").translate(upper)) if w] for r in got]
+
+
 def test_few_rows_go_to_python_at_once(spark, monkeypatch):
     """Words of thousands of whole texts in one batch filled the executors' memory."""
     docs = spark.createDataFrame([(k, f"w{k} " * 20) for k in range(3000)], "doc_id long, text string")
