@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import bpe, decontaminate, langid, neardup, secrets
 from kestrel.llm.common import documents, written
-from kestrel.session import ship_package
+from kestrel.session import few_rows_at_once, ship_package
 
 
 def _stage(operator):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        few_rows_at_once(spark)
         return operator(spark, docs, sf_dir)
 
     return run_stage

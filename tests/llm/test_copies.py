@@ -386,6 +386,18 @@ def test_pipeline_runs_its_stages(spark, odd, none):
         assert stage(spark, none, SF).collect() == []
 
 
+def test_pipeline_sends_few_rows_to_python_at_once(spark, none):
+    """Batches of 10,000 whole texts filled the executors' memory, also in the stages' last step."""
+    before = spark.conf.get(neardup.ARROW_CONF)
+    try:
+        for given, want in ((10_000, 1000), (200, 200), (0, 1000)):
+            spark.conf.set(neardup.ARROW_CONF, str(given))
+            corpus_pipeline.STAGES[0][1](spark, none, SF)
+            assert int(spark.conf.get(neardup.ARROW_CONF)) == want
+    finally:
+        spark.conf.set(neardup.ARROW_CONF, before)
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
