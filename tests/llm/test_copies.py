@@ -231,6 +231,20 @@ def test_words_are_those_of_a_plain_split(spark):
     assert [r["w"] for r in got] == [[w for w in re.split(SEPARATORS, (r["text"] or "").translate(upper)) if w] for r in got]
 
 
+def test_stage_keeps_one_document_of_each_class_of_all_links(spark, monkeypatch):
+    """Also of classes whose members share no band."""
+    from pyspark.sql import functions as F
+    rows = _template_group(60, seed=9)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = neardup.signatures
+    numbers = F.sequence(F.lit(1), F.lit(neardup.BANDS * neardup.ROWS))
+    monkeypatch.setattr(neardup, "signatures", lambda hashed, idf: plain(hashed, idf).withColumn(
+        "samples", F.transform(numbers, lambda k: F.hash("node", k))))
+    want = set(plain_classes(rows).values())
+    assert len(want) < len(rows)
+    assert sorted(r["doc_id"] for r in neardup.stage(spark, df, "").collect()) == sorted(want)
+
+
 def test_few_rows_go_to_python_at_once(spark, monkeypatch):
     """Words of thousands of whole texts in one batch filled the executors' memory."""
     docs = spark.createDataFrame([(k, f"w{k} " * 20) for k in range(3000)], "doc_id long, text string")
