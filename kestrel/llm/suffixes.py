@@ -8,10 +8,10 @@ anchor), so only strings with equal anchors need to meet:
 2. an anchor's group tells which are found in two documents at least, a text's group
    which document holds it first;
 3. documents that hold their text first send the bytes around repeated anchors;
-4. an anchor's group sorts the 50-byte windows there, equal ones by document.  The head
-   of a class of equal windows has its least document, and a longest previous factor
-   would reach 50 bytes exactly where that is smaller; no suffix array beyond 50 bytes
-   and no factor lengths are computed;
+4. an anchor's group sorts the 50-byte windows there by a hash and compares the bytes of
+   those with equal ones, a bounded number at a time.  A class of equal windows has a
+   least document, and a longest previous factor would reach 50 bytes exactly where that
+   is smaller; no suffix array beyond 50 bytes and no factor lengths are computed;
 5. the documents drop what was found, later copies of a whole text drop everything.
 
 Groups hold a few megabytes: repeats within a group are settled where they are, so a
@@ -34,6 +34,7 @@ LENGTH = 50              # bytes of a repeated string
 ANCHOR = 20              # bytes that an anchor's hash covers
 GROUP_BYTES = 4 << 20    # text of a group of documents, about
 LEAST_GROUPS = 64
+PART = 1 << 16           # windows of an anchor group that are hashed or compared at once
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD)]
@@ -106,7 +107,9 @@ def send_anchors(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
     out = []
     for b in np.flatnonzero(np.diff(bounds)):
         at = order[bounds[b]:bounds[b + 1]]
-        out.append((int(b), pid, u[at].tobytes(), np.packbits(several[at]).tobytes()))
+        # 32 bits of an anchor: beside the bucket they tell all but a few apart, and what is taken
+        # for repeated by mistake is only sent to be compared.
+        out.append((int(b), pid, (u[at] >> np.uint64(32)).astype(np.uint32).tobytes(), np.packbits(several[at]).tobytes()))
     texts, least = group.texts, np.array(group.least, dtype=np.int64)
     bucket = (texts[:, 0] % np.uint64(n)).astype(np.int64)
     for b in np.unique(bucket):
@@ -119,7 +122,7 @@ def find_repeats(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
     """For anchors, bits that tell the repeated ones; for texts, their first documents."""
     bucket, out = int(pdf["bucket"].iloc[0]), []
     if bucket < n:
-        each = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        each = [np.frombuffer(k, np.uint32) for k in pdf["keys"]]
         several = [np.unpackbits(np.frombuffer(m, np.uint8))[:len(k)].astype(bool) for k, m in zip(each, pdf["more"])]
         u, back, counts = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
         known = counts > 1
@@ -199,13 +202,34 @@ def send_segments(pdf: pd.DataFrame, found: pd.DataFrame, n: int) -> pd.DataFram
     return pd.DataFrame(out, columns=columns)
 
 
-def previous_factors(data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether a smaller id has the ``LENGTH`` bytes at ``at`` of ``data`` too: what a
-    longest previous factor of that length would say, from classes of equal windows."""
-    words = np.empty((7, len(at)), dtype=np.uint64)
+def _words(data: np.ndarray, at: np.ndarray):
+    """The windows at ``at`` of ``data`` as seven numbers each, one after the other."""
     view = np.lib.stride_tricks.sliding_window_view(data, 8)
-    for w, offset in enumerate((*range(0, LENGTH - 8, 8), LENGTH - 8)):
-        words[w] = np.ascontiguousarray(view[at + offset]).view(">u8").ravel()
+    for offset in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        yield np.ascontiguousarray(view[at + offset]).view(np.uint64).ravel()
+
+
+def window_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for word in _words(data, at):
+            h = (h ^ word) * _ODD[5]
+            h ^= h >> np.uint64(29)
+    return h
+
+
+def previous_factors(data: np.ndarray, at: np.ndarray, ids: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Whether a smaller id has the ``LENGTH`` bytes at ``at`` of ``data`` too: what a
+    longest previous factor of that length would say, from classes of equal windows.
+
+    The windows come in classes of equal hashes, which begin at ``heads``; only classes of
+    unlike bytes are sorted.
+    """
+    sizes = np.diff(np.append(heads, len(at)))
+    of = np.repeat(heads, sizes)
+    if not any((word != word[of]).any() for word in _words(data, at)):
+        return np.repeat(np.minimum.reduceat(ids, heads), sizes) < ids
+    words = np.stack([*_words(data, at)])
     order = np.lexsort((ids, *words[::-1]))       # equal windows by document
     words, ordered = words[:, order], ids[order]
     head = np.concatenate([[True], (words[:, 1:] != words[:, :-1]).any(axis=0)])
@@ -216,36 +240,50 @@ def previous_factors(data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.nd
 
 
 def find_spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The spans of an anchor group's segments that a smaller document holds too."""
+    """The spans of an anchor group's segments that a smaller document holds too.
+
+    The group's windows are numbered; all at once have a hash, its place in their order
+    and a bit each, the rest is made for ``PART`` of them at a time.
+    """
     unpack = zstandard.ZstdDecompressor().decompress
     data = np.frombuffer(b"".join(unpack(d) for d in pdf["data"]), np.uint8)
     docs, ids, starts, lengths = (np.concatenate([np.frombuffer(x, kind) for x in pdf[c]]) for c, kind in (
         ("docs", np.int32), ("ids", np.int64), ("starts", np.int32), ("lengths", np.int32)))
     pids = np.repeat(pdf["pid"].to_numpy(), [len(x) // 4 for x in pdf["docs"]])
-    windows = lengths.astype(np.int64) - LENGTH + 1
-    base = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))[:-1]])
-    segment = np.repeat(np.arange(len(docs)), windows)
-    inside = np.arange(len(segment)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at, owner = base[segment] + inside, ids[segment]
-    # Windows whose hash occurs once have no match: only the others are sorted in full.
-    view = np.lib.stride_tricks.sliding_window_view(data, 8)
-    h = np.zeros(len(at), np.uint64)
-    with np.errstate(over="ignore"):
-        for offset in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-            h = (h ^ np.ascontiguousarray(view[at + offset]).view(np.uint64).ravel()) * _ODD[5]
-            h ^= h >> np.uint64(29)
-    _, back, counts = np.unique(h, return_inverse=True, return_counts=True)
-    some = np.flatnonzero(counts[back] > 1)
-    hit = np.zeros(len(at), dtype=bool)
-    if len(some):
-        hit[some] = previous_factors(data, at[some], owner[some])
-    edge = np.concatenate([[False], hit[:-1] & (segment[1:] == segment[:-1])]) if len(hit) else hit
-    first = np.flatnonzero(hit & ~edge)
-    follows = np.concatenate([hit[1:] & (segment[1:] == segment[:-1]), [False]]) if len(hit) else hit
-    last = np.flatnonzero(hit & ~follows)
-    s = segment[first]
-    spans = pd.DataFrame({"pid": pids[s], "doc": docs[s], "start": starts[s] + inside[first],
-                          "length": inside[last] - inside[first] + LENGTH})
+    ends = np.cumsum(lengths.astype(np.int64) - LENGTH + 1)
+    begins = np.concatenate([[0], ends[:-1]])     # of segments, in windows
+    shift = np.cumsum(lengths, dtype=np.int64) - lengths - begins
+    n = int(ends[-1]) if len(ends) else 0
+    h = np.empty(n, np.uint64)
+    for low in range(0, n, PART):
+        high = min(low + PART, n)
+        a, b = np.searchsorted(ends, [low, high - 1], "right")
+        each = np.minimum(ends[a:b + 1], high) - np.maximum(begins[a:b + 1], low)
+        h[low:high] = window_hashes(data, np.arange(low, high) + np.repeat(shift[a:b + 1], each))
+    order = np.argsort(h)
+    h = h[order]
+    same = h[1:] == h[:-1]
+    del h
+    # Windows whose hash occurs once have no match.
+    more, again = np.append(same, False), np.append(False, same)
+    some = order[more | again]
+    heads = np.flatnonzero(more[more | again] & ~again[more | again])
+    del order, same, more, again
+    hit = np.zeros(n, dtype=bool)
+    cuts = np.unique(np.searchsorted(heads, np.arange(0, len(some), PART)))   # whole classes
+    for i, j in zip(cuts, [*cuts[1:], len(heads)]):
+        if i < j:
+            low, high = heads[i], heads[j] if j < len(heads) else len(some)
+            k = some[low:high]
+            s = np.searchsorted(ends, k, "right")
+            hit[k] = previous_factors(data, k + shift[s], ids[s], heads[i:j] - low)
+    inner = np.ones(n + 1, dtype=bool)            # whether a window's segment has the one before, too
+    inner[begins[:len(docs)]] = inner[n] = False
+    before, after = np.append(False, hit[:-1]) & inner[:-1], np.append(hit[1:], False) & inner[1:]
+    first, last = np.flatnonzero(hit & ~before[:n]), np.flatnonzero(hit & ~after[:n])
+    s = np.searchsorted(ends, first, "right")
+    spans = pd.DataFrame({"pid": pids[s], "doc": docs[s], "start": starts[s] + first - begins[s],
+                          "length": last - first + LENGTH})
     out = [(int(pid), -2, _packed(g)) for pid, g in spans.groupby("pid")]
     return pd.DataFrame(out, columns=["pid", "bucket", "found"])
 

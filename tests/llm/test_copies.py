@@ -2,8 +2,11 @@
 
 import hashlib
 import struct
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pytest
 import tiktoken
 import xxhash
 from conftest import SF
@@ -316,6 +319,49 @@ def test_repeats_match_plain_search(spark, odd, none):
     assert suffixes.query(none).collect() == []
 
 
+def _anchor_group(texts):
+    """What one anchor group gets of the texts, each a group of documents by itself, and their segments."""
+    groups = [pd.DataFrame({"pid": [i], "doc_id": [i], "text": [t]}) for i, t in enumerate(texts)]
+    anchors = pd.concat([suffixes.send_anchors(g, 1) for g in groups])
+    found = pd.concat([suffixes.find_repeats(g, 1) for _, g in anchors.groupby("bucket")])
+    segments = pd.concat([suffixes.send_segments(g, found[found["pid"] == i], 1) for i, g in enumerate(groups)])
+    return groups, anchors, found, segments
+
+
+def test_anchor_groups_take_little_memory():
+    """Some 30 bytes a window; about 200 when all were copied and sorted at once."""
+    rng = np.random.default_rng(4)
+    passages = ["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(100)]
+    _, anchors, _, segments = _anchor_group(
+        ["".join(passages[k][i:] for k in rng.permutation(100)) for i in range(3)])
+    windows = sum(int((np.frombuffer(x, np.int32) - 49).sum()) for x in segments["lengths"])
+    assert windows > 500_000
+    sent = anchors[anchors["bucket"] == 0]
+    assert all(len(k) <= 4 * 8 * len(m) for k, m in zip(sent["keys"], sent["more"]))  # 4 bytes an anchor
+    tracemalloc.start()
+    try:
+        suffixes.find_spans(segments)
+        assert tracemalloc.get_traced_memory()[1] < 64 * windows
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("part, alike", [(1 << 16, False), (7, False), (1 << 16, True), (7, True)])
+def test_spans_whatever_the_parts_and_hashes(monkeypatch, part, alike):
+    rng = np.random.default_rng(5)
+    passages = ["".join(map(chr, rng.integers(97, 123, 90))) for _ in range(6)]
+    texts = ["".join(passages[k] for k in rng.integers(0, 6, 5))[i:] + "é" * 40 * (i % 2) for i in range(8)]
+    monkeypatch.setattr(suffixes, "PART", part)
+    if alike:  # all strings have one hash: the bytes tell them apart
+        monkeypatch.setattr(suffixes, "window_hashes", lambda data, at: np.zeros(len(at), np.uint64))
+    groups, _, found, segments = _anchor_group(texts)
+    notes = pd.concat([found[found["bucket"] >= 1], suffixes.find_spans(segments[segments["bucket"] >= 0])])
+    got = pd.concat([suffixes.drop_spans(g, notes[notes["pid"] == i], 1) for i, g in enumerate(groups)])
+    assert sorted((*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in got.itertuples(index=False)) == plain_repeats(
+        list(enumerate(texts)))
+    assert got["n_removed"].sum() > 0
+
+
 def test_shards(spark, odd, none):
     docs = table(spark, SF, "documents")
     n = docs.count()
