@@ -504,3 +504,18 @@ def test_shingles_and_samples_are_those_of_plain_formulas(monkeypatch):
                 best.append(((beta - t - np.float32(1)) * r + log_c, k, int(t)))
             _, k, t = min(best, key=lambda x: x[0])
             assert int(found) & 0xFFFFFFFF == (k ^ t * neardup.SEED % (1 << 64)) * odd % (1 << 64) >> 32
+
+
+def test_pairs_are_compared_once(spark, monkeypatch):
+    plain, plans = neardup.written, []
+
+    def seen(df, name):
+        if name == "neardup-met":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(neardup, "written", seen)
+    rows = [(i, " ".join(f"w{k}" for k in range(i, i + 60))) for i in range(4)]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_classes(rows)
+    assert [p.count("[similarity(") for p in plans if "[similarity(" in p] == [1, 1]  # of the bands, of the rest
